@@ -1,0 +1,160 @@
+"""CSV dialect, malformed rows, timestamps and JSON."""
+
+from datetime import datetime
+
+import pytest
+from helpers import rows
+
+from tierwell import (
+    DEPARTMENT,
+    HIRED_EMPLOYEE,
+    accepted_rows,
+    csv_status,
+    json_records,
+    parse_csv_column,
+    parse_timestamp,
+    quarantined_rows,
+    read_csv,
+    without_corrupt,
+    write_json,
+)
+
+LINES = [
+    "1,Ann,2021-01-01T00:00:00Z,1,2",
+    "",
+    '2,"O, B",2021-12-31T10:00:00Z,,3',
+    "x,Bad,notadate,1,1",
+    "4,short",
+    "5,long,2021-01-01T00:00:00Z,1,1,EXTRA",
+    "6,,,,",
+]
+PARSED = [
+    (1, "Ann", "2021-01-01T00:00:00Z", 1, 2),
+    (2, "O, B", "2021-12-31T10:00:00Z", None, 3),
+    (None, "Bad", "notadate", 1, 1),
+    (4, "short", None, None, None),
+    (5, "long", "2021-01-01T00:00:00Z", 1, 1),
+    (6, None, None, None, None),
+]
+
+
+def write(tmp_path, text, name="file.csv"):
+    path = tmp_path / name
+    path.write_bytes(text.encode())
+    return f"file://{path}"
+
+
+@pytest.fixture
+def hires_csv(tmp_path):
+    return write(tmp_path, "\n".join(LINES))
+
+
+def test_permissive_scan(spark, hires_csv):
+    df = read_csv(spark, hires_csv, HIRED_EMPLOYEE.schema)
+    assert df.schema == HIRED_EMPLOYEE.schema
+    assert rows(df) == PARSED
+
+
+def test_malformed_rows_are_set_aside_and_nothing_is_lost(spark, hires_csv):
+    df = read_csv(spark, hires_csv, HIRED_EMPLOYEE.schema, corrupt_column="corrupt_record")
+    bad = quarantined_rows(df)
+    assert [r.corrupt_record for r in bad.collect()] == [LINES[3], LINES[4], LINES[5]]
+    assert rows(without_corrupt(df)) == [PARSED[0], PARSED[1], PARSED[5]]
+    assert accepted_rows(df).count() + bad.count() == df.count() == 6
+
+
+def test_fault_in_a_column_that_is_not_selected_is_seen(spark, hires_csv):
+    df = read_csv(spark, hires_csv, HIRED_EMPLOYEE.schema, corrupt_column="corrupt_record")
+    assert sorted(r.NAME for r in quarantined_rows(df).select("NAME").collect()) == [
+        "Bad",
+        "long",
+        "short",
+    ]
+
+
+def test_other_modes(spark, hires_csv):
+    dropped = read_csv(spark, hires_csv, HIRED_EMPLOYEE.schema, mode="DROPMALFORMED")
+    assert [r[0] for r in rows(dropped)] == [1, 2, 6]
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        read_csv(spark, hires_csv, HIRED_EMPLOYEE.schema, mode="FAILFAST").collect()
+
+
+def test_values_that_do_not_fit(spark, tmp_path):
+    path = write(tmp_path, ' 6,padded\n2147483648,big\n"",empty\n7,""\n8,"R D"\n')
+    assert rows(read_csv(spark, path, DEPARTMENT.schema)) == [
+        (None, "padded"),
+        (None, "big"),
+        (None, "empty"),
+        (7, None),
+        (8, "R D"),
+    ]
+
+
+def test_line_ends_inside_quotes(spark, tmp_path):
+    path = write(tmp_path, '1,"two\nlines"\n2,one\n')
+    assert rows(read_csv(spark, path, DEPARTMENT.schema, multi_line=True)) == [
+        (1, "two\nlines"),
+        (2, "one"),
+    ]
+    assert read_csv(spark, path, DEPARTMENT.schema).count() == 3
+
+
+def test_mixed_line_ends(spark, tmp_path):
+    path = write(tmp_path, "1,a\n2,b\n3,c")
+    df = read_csv(spark, path, DEPARTMENT.schema, multi_line=True, line_separator="\n")
+    assert rows(df) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_several_files(spark, tmp_path):
+    paths = [write(tmp_path, f"{i},d{i}\n", f"{i}.csv") for i in range(3)]
+    assert sorted(rows(read_csv(spark, paths, DEPARTMENT.schema))) == [
+        (0, "d0"),
+        (1, "d1"),
+        (2, "d2"),
+    ]
+
+
+def test_status(spark, tmp_path):
+    schema = DEPARTMENT.schema
+    assert csv_status(spark, f"file://{tmp_path}/none.csv", schema) == "MISSING"
+    assert csv_status(spark, write(tmp_path, "", "empty.csv"), schema) == "EMPTY"
+    assert csv_status(spark, write(tmp_path, "\n\n", "blank.csv"), schema) == "EMPTY"
+    assert csv_status(spark, write(tmp_path, "1,a", "full.csv"), schema) == "OK"
+
+
+def test_column_of_csv_text(spark):
+    lines = spark.createDataFrame([(line,) for line in LINES if line], "value string")
+    record = parse_csv_column("value", HIRED_EMPLOYEE.schema, corrupt_column="bad")
+    parsed = rows(lines.select(record.alias("r")).select("r.*"))
+    assert [r[:5] for r in parsed] == PARSED
+    assert [r[5] for r in parsed] == [None, None, *LINES[3:6], None]
+
+
+def test_timestamps(spark):
+    texts = [
+        ("2021-12-31T10:00:01Z", datetime(2021, 12, 31, 10, 0, 1)),
+        ("2021-12-31 10:00:01.25", datetime(2021, 12, 31, 10, 0, 1, 250000)),
+        ("2021-12-31", datetime(2021, 12, 31)),
+        ("2021-02-30", None),
+        ("notadate", None),
+        ("", None),
+        (None, None),
+    ]
+    df = spark.createDataFrame([(t,) for t, _ in texts], "t string")
+    parsed = df.select(parse_timestamp("t").alias("p"))
+    assert parsed.schema["p"].dataType.simpleString() == "timestamp_ntz"
+    assert [r.p for r in parsed.collect()] == [p for _, p in texts]
+    strict = df.filter("t like '2021-12%'").select(parse_timestamp("t", strict=True).alias("p"))
+    assert [r.p for r in strict.collect()] == [p for _, p in texts[:3]]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE"):
+        df.select(parse_timestamp("t", strict=True)).collect()
+
+
+def test_json(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "ID int, V string")
+    assert [r.json for r in json_records(df).collect()] == ['{"ID":1,"V":"a"}', '{"ID":2}']
+    kept = [r.json for r in json_records(df, keep_nulls=True).collect()]
+    assert kept == ['{"ID":1,"V":"a"}', '{"ID":2,"V":null}']
+    write_json(df, f"file://{tmp_path}/out", keep_nulls=True)
+    assert sorted(r.value for r in spark.read.text(f"file://{tmp_path}/out").collect()) == kept
+    assert json_records(df.filter("ID > 9")).collect() == []

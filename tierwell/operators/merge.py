@@ -8,7 +8,6 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 # Largest total size of source keys sent to every executor.
 BROADCAST_BYTES = 64 << 20
@@ -28,22 +27,24 @@ def key_bytes(keys: Sequence[str]) -> Column:
     return F.sum(reduce(lambda a, b: a + b, texts) + 32 * len(texts))
 
 
-def first_per_key(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]
-) -> DataFrame:
-    """The first row of each key in the given order; rows without a key all stay.
+def _first_of_keyed(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    # An aggregate, so each task sends one row per key: a hot key does not collect in one task.
+    # The keys stay columns of their own, so that a join on them finds the rows in place.
+    named = {k.lower() for k in keys}
+    rest = [c for c in df.columns if c.lower() not in named]
+    value = F.struct(*(rest or keys))
+    first = df.groupBy(*keys).agg(F.min_by(value, F.struct(*order_by)).alias("_first"))
+    return first.select(*keys, *[F.col("_first")[c].alias(c) for c in rest]).select(*df.columns)
+
 
-    Spark keeps one row per key and task before the shuffle (window group limit), so a hot key
-    does not collect in one task.
+def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The row of each key that is least in the columns ``order_by``; rows without a key all stay.
+
+    Nulls come first, as in an ascending sort. Make the order total where the row must be the same
+    in every run.
     """
-    window = Window.partitionBy(*keys).orderBy(*order_by)
-    first = (
-        df.filter(all_present(keys))
-        .withColumn("_rank", F.row_number().over(window))
-        .filter("_rank = 1")
-        .drop("_rank")
-    )
-    return first.unionByName(df.filter(any_null(keys)))
+    keyed = _first_of_keyed(df.filter(all_present(keys)), keys, order_by)
+    return keyed.unionByName(df.filter(any_null(keys)))
 
 
 def absent_rows(
@@ -52,7 +53,7 @@ def absent_rows(
     keys: Sequence[str],
     null_keys: str = "insert",
     source_duplicates: str = "keep",
-    order_by: Sequence[str | Column] = (),
+    order_by: Sequence[str] = (),
     source_key_bytes: int | None = None,
 ) -> DataFrame:
     """Source rows whose key is not in the target.
@@ -73,14 +74,20 @@ def absent_rows(
 
     # Rows without a key skip the join: they would all hash to one partition.
     keyed = source.filter(all_present(keys))
-    if source_duplicates == "first":
-        keyed = first_per_key(keyed, keys, order_by).filter(all_present(keys))
-
-    known = target.select(*keys)
+    known = target.filter(all_present(keys)).select(*keys)
+    first = source_duplicates == "first"
     if source_key_bytes is not None and source_key_bytes <= BROADCAST_BYTES:
-        wanted = source.filter(all_present(keys)).select(*keys).distinct()
-        known = known.join(F.broadcast(wanted), list(keys), "left_semi").distinct()
-    absent = keyed.join(known, list(keys), "left_anti").select(*source.columns)
+        known = known.join(F.broadcast(keyed.select(*keys)), list(keys), "left_semi").distinct()
+        # No more keys than the source has, so within the same bound. Known rows drop out where
+        # they are read, before those of a key are compared.
+        absent = keyed.join(F.broadcast(known), list(keys), "left_anti")
+        absent = _first_of_keyed(absent, keys, order_by) if first else absent
+    else:
+        # Both sides meet on the key, each key at most once per task on the target's side; the
+        # source's first rows are already in place for the join.
+        keyed = _first_of_keyed(keyed, keys, order_by) if first else keyed
+        absent = keyed.join(known.distinct(), list(keys), "left_anti")
+    absent = absent.select(*source.columns)
 
     if null_keys == "insert":
         absent = absent.unionByName(source.filter(any_null(keys)))

@@ -182,12 +182,18 @@ def merge_into_trusted(
             "rebalance", "event_year"
         )
     path = f"{root}/load_id={load_id}"
-    writer_rows.write.mode("overwrite").partitionBy(*partitions).parquet(path)
+    # Static: the folder holds this merge and nothing of an earlier attempt.
+    writer_rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        *partitions
+    ).parquet(path)
     return _of_load(spark, entity, base, TRUSTED, load_id).count()
 
 
 def _outcome(spark: SparkSession, base: str, *values) -> DataFrame:
-    outcome = spark.createDataFrame([values], OUTCOME)
+    fields = zip(values, OUTCOME.fields, strict=True)
+    outcome = spark.range(1).select(
+        *[F.lit(value).cast(field.dataType).alias(field.name) for value, field in fields]
+    )
     outcome.coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/load_log")
     return outcome
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +35,15 @@ def read_csv(
     )
     if line_separator:
         reader = reader.option("lineSep", line_separator)
-    if corrupt_column:
-        schema = StructType([*schema, StructField(corrupt_column, StringType(), True)])
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-        # A pruned column is not parsed, so a fault in it would go unseen.
-        reader = reader.option("columnPruning", False)
-    return reader.schema(schema).csv(path)
+    if corrupt_column is None:
+        return reader.schema(schema).csv(path)
+
+    marked = StructType([*schema, StructField(corrupt_column, StringType(), True)])
+    df = reader.option("columnNameOfCorruptRecord", corrupt_column).schema(marked).csv(path)
+    # Only columns that a query uses are parsed, and a fault in another would go unseen; so the
+    # mark uses them all. The condition always holds.
+    nulls = reduce(add, [F.col(name).isNull().cast("int") for name in schema.names])
+    return df.withColumn(corrupt_column, F.when(nulls >= 0, F.col(corrupt_column)))
 
 
 def csv_status(spark: SparkSession, path: str | list[str], schema: StructType) -> str:

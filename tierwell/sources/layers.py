@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 RAW = "raw"
@@ -14,6 +15,12 @@ def layer_path(base: str, layer: str, table: str) -> str:
     return f"{base.rstrip('/')}/{layer.lower()}/{table}"
 
 
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty table that the optimizer sees to be empty, so joins with it vanish."""
+    nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
+    return spark.range(1).select(*nulls).filter(F.lit(False))
+
+
 def read_layer(
     spark: SparkSession, base: str, layer: str, table: str, schema: StructType
 ) -> DataFrame:
@@ -25,7 +32,7 @@ def read_layer(
         return spark.read.schema(schema).parquet(layer_path(base, layer, table))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
+            return no_rows(spark, schema)
         raise
 
 
