@@ -17,6 +17,7 @@ from tierwell import (
     number_rows,
     quarterly_counts,
 )
+from tierwell.operators import merge
 
 FOLDER = "/root/testdata/sf0.01"
 SHIPPED = {"ts": "l_shipdate", "department_id": "l_suppkey", "year": 1997}
@@ -86,9 +87,23 @@ def test_merge_sends_small_sources_to_the_targets_scan(lineitem, no_broadcast):
     small = physical(absent_rows(source, lineitem, ["l_orderkey"], source_key_bytes=1000))
     assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
     large = physical(absent_rows(source, lineitem, ["l_orderkey"], source_key_bytes=1 << 40))
-    assert "SortMergeJoin" in large and "BroadcastHashJoin" not in large
-    # One exchange per side: the source's rows and the target's distinct keys.
-    assert len(re.findall("Exchange hashpartitioning", large)) == 2
+    assert "SortMergeJoin" in large
+
+
+def test_rows_of_hot_keys_are_not_gathered(spark, lineitem, no_broadcast, monkeypatch):
+    """All but a few rows share one key: no task may read them through a shuffle."""
+    monkeypatch.setattr(merge, "HOT_ROWS", 1000)
+    source = lineitem.selectExpr(
+        "if(l_orderkey > 100, 7, l_orderkey) as k", "l_linenumber", "l_shipdate"
+    )
+    target = spark.range(5).selectExpr("id as k")
+    absent = absent_rows(source, target, ["k"], null_keys="reject")
+    assert absent.count() == source.filter("k >= 5").count()
+    hot, rest = (part.split("FileScan")[0] for part in physical(absent).split(":- ", 1)[1].split(
+        "\n   +- SortMergeJoin"
+    ))
+    assert "LeftSemi, BuildRight" in hot and "Exchange" not in hot
+    assert rest.index("Exchange") < rest.index("LeftAnti, BuildRight")
 
 
 def test_first_of_a_large_source_meets_the_target_in_place(lineitem, no_broadcast):

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Largest total size of source keys sent to every executor.
 BROADCAST_BYTES = 64 << 20
+# A key with this many source rows is hot. There are at most rows / HOT_ROWS such keys.
+HOT_ROWS = 1_000_000
 
 
 def any_null(columns: Sequence[str]) -> Column:
@@ -47,6 +49,19 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
     return keyed.unionByName(df.filter(any_null(keys)))
 
 
+def _all_absent(keyed: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Every row whose key is not known, without gathering the rows of a hot key.
+
+    Hot keys are compared as keys, and their rows filtered where they are read.
+    """
+    hot = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = hot.filter(F.col("_rows") >= HOT_ROWS).select(*keys)
+    hot_absent = hot.join(known, keys, "left_anti")
+    hot_rows = keyed.join(F.broadcast(hot_absent), keys, "left_semi")
+    other_rows = keyed.join(F.broadcast(hot), keys, "left_anti")
+    return hot_rows.unionByName(other_rows.join(known, keys, "left_anti"))
+
+
 def absent_rows(
     source: DataFrame,
     target: DataFrame,
@@ -64,6 +79,8 @@ def absent_rows(
 
     Give ``source_key_bytes`` (see ``key_bytes``) if known: up to BROADCAST_BYTES the source keys
     go to the target's scan instead of the target's keys through a shuffle.
+
+    The source is read more than once: stage one whose rows are not the same at every reading.
     """
     if null_keys not in ("insert", "reject"):
         raise ValueError(f"null_keys={null_keys!r}")
@@ -82,11 +99,13 @@ def absent_rows(
         # they are read, before those of a key are compared.
         absent = keyed.join(F.broadcast(known), list(keys), "left_anti")
         absent = _first_of_keyed(absent, keys, order_by) if first else absent
-    else:
-        # Both sides meet on the key, each key at most once per task on the target's side; the
-        # source's first rows are already in place for the join.
-        keyed = _first_of_keyed(keyed, keys, order_by) if first else keyed
+    elif first:
+        # Both sides meet on the key, at most once per task each; the source's first rows are
+        # already in place for the join.
+        keyed = _first_of_keyed(keyed, keys, order_by)
         absent = keyed.join(known.distinct(), list(keys), "left_anti")
+    else:
+        absent = _all_absent(keyed, known.distinct(), list(keys))
     absent = absent.select(*source.columns)
 
     if null_keys == "insert":
