@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 # Largest total size of source keys sent to every executor.
 BROADCAST_BYTES = 64 << 20
@@ -23,27 +24,37 @@ def all_present(columns: Sequence[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in columns])
 
 
-def key_bytes(keys: Sequence[str]) -> Column:
+def key_bytes(df: DataFrame, keys: Sequence[str]) -> Column:
     """Aggregate: an upper estimate of the size of the rows' keys in a hash table."""
-    texts = [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys]
-    return F.sum(reduce(lambda a, b: a + b, texts) + 32 * len(texts))
+    sizes = [
+        F.coalesce(F.octet_length(k), F.lit(0)) + 32
+        if isinstance(df.schema[k].dataType, (StringType, BinaryType))
+        else F.lit(32)
+        for k in keys
+    ]
+    return F.sum(reduce(add, sizes))
 
 
 def _first_of_keyed(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     # An aggregate, so each task sends one row per key: a hot key does not collect in one task.
     # The keys stay columns of their own, so that a join on them finds the rows in place.
-    named = {k.lower() for k in keys}
-    rest = [c for c in df.columns if c.lower() not in named]
-    value = F.struct(*(rest or keys))
-    first = df.groupBy(*keys).agg(F.min_by(value, F.struct(*order_by)).alias("_first"))
-    return first.select(*keys, *[F.col("_first")[c].alias(c) for c in rest]).select(*df.columns)
+    named = {c.lower() for c in (*keys, *order_by)}
+    others = [c for c in df.columns if c.lower() not in named]
+    if not order_by and not others:
+        return df.distinct()
+    least = F.min(F.struct(*order_by, *others)).alias("_least")
+    first = df.groupBy(*keys).agg(least)
+    ordered = [c for c in order_by if c.lower() not in {k.lower() for k in keys}]
+    return first.select(
+        *keys, *[F.col("_least")[c].alias(c) for c in (*ordered, *others)]
+    ).select(*df.columns)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The row of each key that is least in the columns ``order_by``; rows without a key all stay.
 
-    Nulls come first, as in an ascending sort. Make the order total where the row must be the same
-    in every run.
+    Nulls come first, as in an ascending sort. Ties go to the row that is least in its other
+    columns, so the result is the same in every run; all columns must be of types with an order.
     """
     keyed = _first_of_keyed(df.filter(all_present(keys)), keys, order_by)
     return keyed.unionByName(df.filter(any_null(keys)))

@@ -24,7 +24,8 @@ def number_rows(
     partition's number range follows from the partition sizes. Those sizes are one row per task
     of the staging job, which bounds what is broadcast. With ``order_by`` the input is sorted by
     range first; arrival is part of the sort key, so a value shared by many rows is spread over
-    partitions.
+    partitions. Arrival is the order of the input's partitions and of the rows in them: for an
+    order that is the same in every run, number a stored table, or stage the input.
     """
     if order_by:
         df = df.withColumn("_arrival", F.monotonically_increasing_id())

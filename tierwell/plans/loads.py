@@ -108,7 +108,7 @@ def _raw_facts(raw: DataFrame, entity: Entity) -> dict:
         .groupBy("_file")
         .agg(
             *measures,
-            key_bytes(entity.keys).alias("key_bytes"),
+            key_bytes(raw, entity.keys).alias("key_bytes"),
             F.min(F.when(accepted, F.col(key))).alias("low"),
             F.max(F.when(accepted, F.col(key))).alias("high"),
         )
@@ -155,6 +155,7 @@ def merge_into_trusted(
         order_by = ARRIVAL
         facts = facts or _raw_facts(raw, entity)
     accepted = raw.filter(F.col("reject_reason").isNull())
+    accepted = accepted.select(*entity.schema.names, *order_by)
 
     trusted = read_layer(spark, base, TRUSTED, entity.name, entity.trusted_table_schema)
     others = trusted.filter(F.col("load_id") != load_id)

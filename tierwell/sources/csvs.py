@@ -49,7 +49,9 @@ def read_csv(
 def csv_status(spark: SparkSession, path: str | list[str], schema: StructType) -> str:
     """``MISSING`` if the path does not exist, ``EMPTY`` if it holds no rows, else ``OK``."""
     try:
-        return "EMPTY" if read_csv(spark, path, schema).isEmpty() else "OK"
+        # One column of one row: taken from the first split that has any, not from every split.
+        first = read_csv(spark, path, schema).select(schema.names[0]).take(1)
+        return "OK" if first else "EMPTY"
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return "MISSING"
