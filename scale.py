@@ -86,6 +86,13 @@ def operators(spark, path):
             source_duplicates="first",
             order_by=order,
         ),
+        "absent_rows, small source": lambda: absent_rows(
+            spark.read.parquet(f"{TABLES}/orders.parquet"),
+            fact().select(F.col("l_orderkey").alias("o_orderkey")),
+            ["o_orderkey"],
+            null_keys="reject",
+            source_key_bytes=150_000 * 32,
+        ),
         "number_rows, hot value": lambda: batch_counts(
             assign_batches(number_rows(fact().select("l_suppkey"), ["l_suppkey"]), 1000)
         ),

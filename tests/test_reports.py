@@ -11,12 +11,14 @@ from tierwell import (
     Dimension,
     groups_above_mean,
     groups_above_mean_literal,
+    in_year,
     mean_of_counts,
     quarterly_counts,
     quarterly_counts_literal,
     report_status,
     yearly_counts,
 )
+from tierwell.functions.times import between_year_dates
 
 QUARTERLY = [
     ("Legal", "Ops", 0, 0, 1, 0),
@@ -167,3 +169,23 @@ def test_year_must_be_a_year_and_time_a_time(spark):
     text = spark.createDataFrame(HIRES, "ID int, NAME string, DATETIME string, a int, b int")
     with pytest.raises(TypeError):
         yearly_counts(text, departments(spark), department_id="a")
+
+
+@pytest.mark.parametrize("dtype", ["date", "timestamp", "timestamp_ntz"])
+def test_time_types(spark, dtype):
+    texts = ["2020-12-31 23:59:59", "2021-01-01", "2021-12-31", "2021-12-31 23:59:59", "2022-01-01"]
+    days = spark.createDataFrame([(t,) for t in texts], "t string")
+    fact = days.selectExpr(f"cast(t as {dtype}) as DATETIME", "1 as ID", "1 as DEPARTMENT_ID")
+    assert rows(yearly_counts(fact, departments(spark))) == [(1, "Sales", 3)]
+    literal = fact.filter(between_year_dates(fact, "DATETIME", 2021)).count()
+    assert literal == (3 if dtype == "date" else 2)
+
+
+def test_bounds_of_the_calendar(spark):
+    fact = spark.createDataFrame(
+        [("0001-01-01",), ("9998-12-31",), (None,)], "t string"
+    ).selectExpr("cast(t as timestamp_ntz) as DATETIME")
+    assert fact.filter(in_year(fact, "DATETIME", 1)).count() == 1
+    assert fact.filter(in_year(fact, "DATETIME", 9998)).count() == 1
+    with pytest.raises(ValueError):
+        in_year(fact, "DATETIME", 9999)

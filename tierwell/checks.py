@@ -44,8 +44,15 @@ def check(oracle: str | None) -> Callable[[Query], Query]:
     return register
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table, its schema inferred at the first reading only."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def suppliers(spark: SparkSession, folder: str) -> Dimension:

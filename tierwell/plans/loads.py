@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
 
@@ -228,6 +229,8 @@ def load_entity(
     columnar files.
     """
     load_id = load_id or uuid.uuid4().hex
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
+        raise ValueError(f"load_id {load_id!r} names a folder: letters, digits, '_', '.', '-' only")
     try:
         status = csv_status(spark, source, entity.schema)
         if status != "OK":
