@@ -99,9 +99,8 @@ def test_rows_of_hot_keys_are_not_gathered(spark, lineitem, no_broadcast, monkey
     target = spark.range(5).selectExpr("id as k")
     absent = absent_rows(source, target, ["k"], null_keys="reject")
     assert absent.count() == source.filter("k >= 5").count()
-    hot, rest = (part.split("FileScan")[0] for part in physical(absent).split(":- ", 1)[1].split(
-        "\n   +- SortMergeJoin"
-    ))
+    branches = physical(absent).split(":- ", 1)[1].split("\n   +- SortMergeJoin")
+    hot, rest = (branch.split("FileScan")[0] for branch in branches)
     assert "LeftSemi, BuildRight" in hot and "Exchange" not in hot
     assert rest.index("Exchange") < rest.index("LeftAnti, BuildRight")
 
@@ -136,3 +135,27 @@ def test_report_opens_only_the_year(spark, tmp_path):
     text = physical(report)
     assert re.search(r"PartitionFilters: \[[^\]]*event_year#\d+ = 2021", text)
     assert [tuple(r) for r in report.collect()] == [("UNKNOWN", "UNKNOWN", 0, 10, 0, 0)]
+
+
+def test_hot_id_with_many_pairs_is_split(spark, lineitem, supplier, part, no_broadcast):
+    """Half of the pairs share one department: AQE splits them, the settings scaled to the data."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    fact = lineitem.selectExpr(
+        "l_orderkey as l_partkey", "if(l_orderkey % 2 = 0, 1, l_suppkey) l_suppkey", "l_shipdate"
+    )
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        report = quarterly_counts(fact, supplier, part, job_id="l_partkey", **SHIPPED)
+        total = sum(sum(r[2:]) for r in report.collect())
+        final = physical(report).split("== Initial Plan ==")[0]
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert total == fact.filter("year(l_shipdate) = 1997").count()
+    assert "SortMergeJoin(skew=true)" in final

@@ -21,7 +21,12 @@ from tierwell.operators.numbering import (
     number_rows,
 )
 from tierwell.plans.loads import load_entity, merge_into_trusted, run_pipeline
-from tierwell.plans.reports import departments_above_mean, hires_by_quarter, report_status
+from tierwell.plans.reports import (
+    create_views,
+    departments_above_mean,
+    hires_by_quarter,
+    report_status,
+)
 from tierwell.session import new_shared_path, session, shared_folder, staged
 from tierwell.sources.csvs import (
     accepted_rows,
@@ -48,6 +53,7 @@ __all__ = [
     "assign_batches",
     "batch_counts",
     "between_dates",
+    "create_views",
     "csv_status",
     "departments_above_mean",
     "first_per_key",

@@ -219,7 +219,8 @@ def load_entity(
     The status is ``OK``, ``MISSING`` or ``EMPTY`` (no such source, or no rows in it; nothing is
     written) or ``ERROR`` with a message, unless ``on_error='raise'``.
 
-    The defaults are safe to repeat: give the ``load_id`` of a load that failed to run it again.
+    The defaults are safe to repeat: give the ``load_id`` of a load that failed, and the same
+    source, to run it again.
     Rows that do not fit the schema, rows without a key and rows with an unreadable timestamp
     stay in the raw table with a ``reject_reason``, and of rows that share a key the first
     enters. ``null_keys='insert'``, ``source_duplicates='keep'``, ``keep_malformed=True`` and

@@ -30,6 +30,20 @@ def _table(spark: SparkSession, base: str, layer: str, entity: Entity) -> DataFr
     return rows
 
 
+def create_views(
+    spark: SparkSession,
+    base: str,
+    layer: str = TRUSTED,
+    entities: Mapping[str, Entity] | None = None,
+) -> list[str]:
+    """Temporary views ``<layer>_<table>`` for statements in SQL; returns their names."""
+    names = []
+    for entity in (entities or ENTITIES).values():
+        names.append(f"{layer.lower()}_{entity.name}")
+        _table(spark, base, layer, entity).createOrReplaceTempView(names[-1])
+    return names
+
+
 def _hires(
     spark: SparkSession, base: str, layer: str, entity: Entity, year: int
 ) -> DataFrame:

@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the operators count on. Shuffles start wide and AQE merges small partitions, so one
-# number serves small and large inputs; AQE also splits hot join partitions at run time.
+# Settings the operators count on: AQE merges small shuffle partitions and splits hot ones. How wide
+# a shuffle starts is for the caller to set, see README.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
