@@ -80,13 +80,13 @@ def test_other_modes(spark, hires_csv):
 
 
 def test_values_that_do_not_fit(spark, tmp_path):
-    path = write(tmp_path, ' 6,padded\n2147483648,big\n"",empty\n7,""\n8,"R D"\n')
+    path = write(tmp_path, ' 6,padded\n2147483648,big\n"",empty\n7,""\n8,"R\u2028D"\n')
     assert rows(read_csv(spark, path, DEPARTMENT.schema)) == [
         (None, "padded"),
         (None, "big"),
         (None, "empty"),
         (7, None),
-        (8, "R D"),
+        (8, "R\u2028D"),
     ]
 
 

@@ -19,7 +19,7 @@ def test_literal_merge_of_all_history_grows(spark):
     raw, trusted, sizes = [], [], []
     for _ in range(4):
         raw = raw + SOURCE
-        trusted = rows(insert_if_absent(table(spark, trusted), table(spark, raw), ["ID"]))
+        trusted = rows(insert_if_absent(table(spark, raw), table(spark, trusted), ["ID"]))
         sizes.append((len(raw), len(trusted), sum(r[0] is None for r in trusted)))
     assert sizes == [(4, 4, 1), (8, 6, 3), (12, 9, 6), (16, 13, 10)]
 
@@ -34,8 +34,8 @@ def test_safe_merge_does_not_grow(spark):
         raw = raw + [(*r, load, i) for i, r in enumerate(SOURCE)]
         source = spark.createDataFrame(raw, "ID int, V string, load int, place int")
         merged = insert_if_absent(
-            table(spark, trusted),
             source,
+            table(spark, trusted),
             ["ID"],
             null_keys="reject",
             source_duplicates="first",
@@ -46,7 +46,7 @@ def test_safe_merge_does_not_grow(spark):
 
 
 def test_existing_rows_are_never_changed(spark):
-    merged = insert_if_absent(table(spark, [(1, "old")]), table(spark, [(1, "new")]), ["ID"])
+    merged = insert_if_absent(table(spark, [(1, "new")]), table(spark, [(1, "old")]), ["ID"])
     assert rows(merged) == [(1, "old")]
 
 

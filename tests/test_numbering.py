@@ -22,6 +22,12 @@ def test_numbers_follow_arrival_without_gaps(spark, partitions):
     assert numbered.count() == 5001
 
 
+def test_staged_table_is_where_the_caller_says(spark, tmp_path):
+    path = f"file://{tmp_path}/numbered"
+    assert number_rows(spark.range(10), path=path).inputFiles()[0].startswith(f"file://{tmp_path}")
+    assert spark.read.parquet(path).count() == 10
+
+
 def test_uneven_and_empty_partitions(spark):
     df = spark.range(0, 1000, 1, 10).filter("id < 7 or id between 300 and 777")
     numbers = [r[0] for r in number_rows(df).select("row_number").orderBy("row_number").collect()]

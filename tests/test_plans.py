@@ -18,6 +18,7 @@ from tierwell import (
     quarterly_counts,
 )
 from tierwell.operators import merge
+from tierwell.plans import loads
 
 FOLDER = "/root/testdata/sf0.01"
 SHIPPED = {"ts": "l_shipdate", "department_id": "l_suppkey", "year": 1997}
@@ -159,3 +160,8 @@ def test_hot_id_with_many_pairs_is_split(spark, lineitem, supplier, part, no_bro
             spark.conf.unset(key)
     assert total == fact.filter("year(l_shipdate) = 1997").count()
     assert "SortMergeJoin(skew=true)" in final
+
+
+def test_years_are_rebalanced_before_they_are_written(lineitem):
+    text = physical(loads._by_year(lineitem.select("l_orderkey", "l_shipdate"), "l_shipdate"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in text

@@ -273,7 +273,7 @@ ORDERS_SQL = """
 )
 def insert_if_absent(spark: SparkSession, folder: str) -> DataFrame:
     target, source = _orders(spark, folder)
-    return merge.insert_if_absent(target, source, ["o_orderkey"])
+    return merge.insert_if_absent(source, target, ["o_orderkey"])
 
 
 NULLED_SQL = (
@@ -296,13 +296,13 @@ def _nulled(spark: SparkSession, folder: str) -> tuple[DataFrame, ...]:
 @check(NULLED_SQL)
 def insert_if_absent_null_keys_insert(spark: SparkSession, folder: str) -> DataFrame:
     target, source = _nulled(spark, folder)
-    return merge.insert_if_absent(target, source, ["k"], null_keys="insert")
+    return merge.insert_if_absent(source, target, ["k"], null_keys="insert")
 
 
 @check(NULLED_SQL + " AND s.k IS NOT NULL")
 def insert_if_absent_null_keys_reject(spark: SparkSession, folder: str) -> DataFrame:
     target, source = _nulled(spark, folder)
-    return merge.insert_if_absent(target, source, ["k"], null_keys="reject")
+    return merge.insert_if_absent(source, target, ["k"], null_keys="reject")
 
 
 @check(
@@ -323,7 +323,7 @@ def insert_if_absent_first(spark: SparkSession, folder: str) -> DataFrame:
     first = source.withColumn("o_orderstatus", F.lit("first"))
     both = source.withColumn("load", F.lit(2)).unionByName(first.withColumn("load", F.lit(1)))
     return merge.insert_if_absent(
-        target, both, ["o_orderkey"], source_duplicates="first", order_by=["load"]
+        both, target, ["o_orderkey"], source_duplicates="first", order_by=["load"]
     )
 
 

@@ -68,13 +68,14 @@ def _per_quarter(
     department_id: str,
     job_id: str,
 ) -> DataFrame:
-    # Counting per pair of ids before the joins leaves one row per pair and task to shuffle, so
-    # neither a hot id nor a hot orphan is moved row by row. A sum of counts over matching
-    # dimension rows equals the count of joined rows, also where dimension ids repeat.
-    quarter = F.quarter(ts)
+    # Counting per pair of ids before the joins leaves one narrow row per pair, quarter and task to
+    # shuffle, so neither a hot id nor a hot orphan is moved row by row. A sum of counts over
+    # matching dimension rows equals the count of joined rows, also where dimension ids repeat.
     per_ids = rows.groupBy(
-        F.col(department_id).alias("_department_id"), F.col(job_id).alias("_job_id")
-    ).agg(*[F.count_if(quarter == q).alias(f"Q{q}") for q in QUARTERS])
+        F.col(department_id).alias("_department_id"),
+        F.col(job_id).alias("_job_id"),
+        F.quarter(ts).alias("_quarter"),
+    ).agg(F.count(F.lit(1)).alias("_rows"))
 
     departments = department.named("_department_key", "_department")
     jobs = job.named("_job_key", "_job")
@@ -83,7 +84,10 @@ def _per_quarter(
     )
     # Grouped by the label as stored: a label that reads UNKNOWN stays apart from a missing one.
     per_labels = labelled.groupBy("_department", "_job").agg(
-        *[F.sum(f"Q{q}").alias(f"Q{q}") for q in QUARTERS]
+        *[
+            F.sum(F.when(F.col("_quarter") == q, F.col("_rows")).otherwise(0)).alias(f"Q{q}")
+            for q in QUARTERS
+        ]
     )
     return per_labels.select(
         label_or_default("_department").alias("DEPARTMENT"),

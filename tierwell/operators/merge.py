@@ -125,7 +125,7 @@ def absent_rows(
 
 
 def insert_if_absent(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], **policy
+    source: DataFrame, target: DataFrame, keys: Sequence[str], **policy
 ) -> DataFrame:
     """The target after the merge: its own rows, never changed, and the ``absent_rows``."""
     return target.unionByName(absent_rows(source, target, keys, **policy).select(*target.columns))

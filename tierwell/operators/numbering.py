@@ -16,7 +16,10 @@ PLACE_BITS = 33
 
 
 def number_rows(
-    df: DataFrame, order_by: Sequence[str | Column] = (), name: str = "row_number"
+    df: DataFrame,
+    order_by: Sequence[str | Column] = (),
+    name: str = "row_number",
+    path: str | None = None,
 ) -> DataFrame:
     """Dense numbers 1..n in order of arrival, or in the given order with ties by arrival.
 
@@ -26,11 +29,14 @@ def number_rows(
     range first; arrival is part of the sort key, so a value shared by many rows is spread over
     partitions. Arrival is the order of the input's partitions and of the rows in them: for an
     order that is the same in every run, number a stored table, or stage the input.
+
+    The result reads the staged table: give ``path`` to say where it is, and clear it when done.
     """
     if order_by:
         df = df.withColumn("_arrival", F.monotonically_increasing_id())
         df = df.orderBy(*order_by, "_arrival").drop("_arrival")
-    tagged = staged(df.withColumn("_position", F.monotonically_increasing_id()), "numbered")
+    tagged = df.withColumn("_position", F.monotonically_increasing_id())
+    tagged = staged(tagged, "numbered", path)
 
     place = F.col("_position").bitwiseAND((1 << PLACE_BITS) - 1)
     numbered = tagged.withColumn("_partition", F.shiftright("_position", PLACE_BITS))

@@ -12,7 +12,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tierwell.entities import DEPARTMENT, HIRED_EMPLOYEE, JOB, Entity
 from tierwell.functions.times import parse_timestamp
-from tierwell.operators.merge import absent_rows, all_present, any_null, key_bytes
+from tierwell.operators.merge import absent_rows, any_null, key_bytes
 from tierwell.plans.reports import departments_above_mean, hires_by_quarter
 from tierwell.sources.csvs import CORRUPT, csv_status, read_csv
 from tierwell.sources.layers import RAW, TRUSTED, layer_path, read_layer
@@ -96,19 +96,15 @@ def _of_load(
 
 
 def _raw_facts(raw: DataFrame, entity: Entity) -> dict:
-    """Counts of one load's raw rows, and size and range of the accepted keys; one small job."""
+    """Counts of one load's raw rows, size of their keys and range of the accepted ones."""
     accepted = F.col("reject_reason").isNull()
-    measures = [
-        F.count(F.lit(1)).alias("rows"),
-        F.count("reject_reason").alias("rejected"),
-        F.sum(F.when(accepted, 1).otherwise(0)).alias("accepted"),
-    ]
     key = entity.keys[0]
     per_file = (
         raw.withColumn("_file", F.col("_metadata.file_path"))
         .groupBy("_file")
         .agg(
-            *measures,
+            F.count(F.lit(1)).alias("rows"),
+            F.count("reject_reason").alias("rejected"),
             key_bytes(raw, entity.keys).alias("key_bytes"),
             F.min(F.when(accepted, F.col(key))).alias("low"),
             F.max(F.when(accepted, F.col(key))).alias("high"),
@@ -128,6 +124,14 @@ def _raw_facts(raw: DataFrame, entity: Entity) -> dict:
     )
 
 
+def _by_year(rows: DataFrame, ts: str) -> DataFrame:
+    """Rows with their year, brought together to be written to one folder per year.
+
+    Rebalancing keeps each task from writing to every year and splits a year of many rows.
+    """
+    return rows.withColumn("event_year", F.year(ts)).hint("rebalance", "event_year")
+
+
 def merge_into_trusted(
     spark: SparkSession,
     entity: Entity,
@@ -174,19 +178,14 @@ def merge_into_trusted(
         source_key_bytes=facts["key_bytes"] if facts else None,
     )
     fresh = to_trusted(absent, entity)
-    writer_rows = fresh
-    partitions: tuple[str, ...] = ()
+    folders: tuple[str, ...] = ()
     if entity.year_of:
-        # One folder per year for the reports; rebalancing keeps one task from writing to every
-        # year and splits a year that holds many rows.
-        partitions = ("event_year",)
-        writer_rows = fresh.withColumn("event_year", F.year(entity.year_of)).hint(
-            "rebalance", "event_year"
-        )
+        fresh = _by_year(fresh, entity.year_of)
+        folders = ("event_year",)
     path = f"{root}/load_id={load_id}"
     # Static: the folder holds this merge and nothing of an earlier attempt.
-    writer_rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *partitions
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        *folders
     ).parquet(path)
     return _of_load(spark, entity, base, TRUSTED, load_id).count()
 
@@ -206,7 +205,7 @@ def load_entity(
     source: str | list[str],
     base: str,
     load_id: str | None = None,
-    max_records: int = 1_000_000,
+    max_records: int = 10_000_000,
     null_keys: str = "reject",
     source_duplicates: str = "first",
     keep_malformed: bool = False,
@@ -220,20 +219,19 @@ def load_entity(
     written) or ``ERROR`` with a message, unless ``on_error='raise'``.
 
     The defaults are safe to repeat: give the ``load_id`` of a load that failed, and the same
-    source, to run it again.
-    Rows that do not fit the schema, rows without a key and rows with an unreadable timestamp
-    stay in the raw table with a ``reject_reason``, and of rows that share a key the first
-    enters. ``null_keys='insert'``, ``source_duplicates='keep'``, ``keep_malformed=True`` and
-    ``whole_raw=True`` turn these off one by one.
-
-    ``max_records`` bounds the rows of a raw file, the batch of this sink; the default suits
-    columnar files.
+    source, to run it again. Rows that do not fit the schema, rows without a key and rows with an
+    unreadable timestamp stay in the raw table with a ``reject_reason``, and of rows that share a
+    key the first enters. ``null_keys='insert'``, ``source_duplicates='keep'``,
+    ``keep_malformed=True`` and ``whole_raw=True`` turn these off one by one.
+
+    ``max_records`` bounds the rows of a raw file, the batch of this sink; the default leaves a
+    split of the source in one file.
     """
     load_id = load_id or uuid.uuid4().hex
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
         raise ValueError(f"load_id {load_id!r} names a folder: letters, digits, '_', '.', '-' only")
     try:
-        status = csv_status(spark, source, entity.schema)
+        status = csv_status(spark, source, entity.schema, **csv_options)
         if status != "OK":
             return _outcome(spark, base, entity.name, load_id, status, 0, 0, 0, 0, 0, None)
         write_raw(
@@ -284,12 +282,6 @@ def quarantine(spark: SparkSession, base: str, entity: Entity) -> DataFrame:
     return raw.filter(F.col("reject_reason").isNotNull())
 
 
-def accepted_raw(spark: SparkSession, base: str, entity: Entity) -> DataFrame:
-    """Raw rows that may enter the trusted table."""
-    raw = read_layer(spark, base, RAW, entity.name, entity.raw_table_schema)
-    return raw.filter(F.col("reject_reason").isNull() & all_present(entity.keys))
-
-
 def run_pipeline(
     spark: SparkSession,
     sources: Mapping[str, str],

@@ -48,12 +48,12 @@ def new_shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str = "staged") -> DataFrame:
-    """``df`` written to the shared folder and read back.
+def staged(df: DataFrame, name: str = "staged", path: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder, or to ``path``, and read back.
 
     Cuts the lineage and fixes values that depend on the partitioning. The table outlives lost
-    executors; like a checkpoint it stays in the folder until its owner clears it.
+    executors; like a checkpoint it stays where it is until its owner clears it.
     """
-    path = new_shared_path(df.sparkSession, name)
+    path = path or new_shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

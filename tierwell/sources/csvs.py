@@ -46,11 +46,13 @@ def read_csv(
     return df.withColumn(corrupt_column, F.when(nulls >= 0, F.col(corrupt_column)))
 
 
-def csv_status(spark: SparkSession, path: str | list[str], schema: StructType) -> str:
+def csv_status(
+    spark: SparkSession, path: str | list[str], schema: StructType, **options
+) -> str:
     """``MISSING`` if the path does not exist, ``EMPTY`` if it holds no rows, else ``OK``."""
     try:
         # One column of one row: taken from the first split that has any, not from every split.
-        first = read_csv(spark, path, schema).select(schema.names[0]).take(1)
+        first = read_csv(spark, path, schema, **options).select(schema.names[0]).take(1)
         return "OK" if first else "EMPTY"
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
