@@ -2,8 +2,9 @@
 
     python scale.py [copies ...]
 
-Each copy of ``lineitem`` gets order keys of its own. A third of all rows goes to one supplier and
-a ninth has no supplier. For each operator the script prints the seconds at each size and, from
+Each copy of ``lineitem`` gets order keys of its own and shares its parts and suppliers. A third of
+all rows goes to one supplier and a ninth has no supplier. ``own pairs`` counts by order key, so
+that nearly every row is a pair of ids of its own and most have no label. For each operator the script prints the seconds at each size and, from
 Spark's event log, the longest task's share of the run and the most shuffle data one task read:
 a hot key that is not split shows there.
 """
@@ -69,6 +70,9 @@ def operators(spark, path):
         "quarterly_counts": lambda: quarterly_counts(
             fact(), supplier, part, job_id="l_partkey", **SHIPPED
         ),
+        "quarterly_counts, own pairs": lambda: quarterly_counts(
+            fact(), supplier, part, job_id="l_orderkey", **SHIPPED
+        ),
         "groups_above_mean": lambda: groups_above_mean(
             fact(), supplier, row_id="l_orderkey", **SHIPPED
         ),

@@ -105,6 +105,19 @@ def test_mixed_line_ends(spark, tmp_path):
     assert rows(df) == [(1, "a"), (2, "b"), (3, "c")]
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_line_ends(spark, tmp_path, end):
+    path = write(tmp_path, f"1,a{end}2,b{end}{end}3,c")
+    assert rows(read_csv(spark, path, DEPARTMENT.schema)) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_other_encoding(spark, tmp_path):
+    (tmp_path / "latin.csv").write_bytes("1,Área\n2,Señor".encode("latin-1"))
+    path = f"file://{tmp_path}/latin.csv"
+    df = read_csv(spark, path, DEPARTMENT.schema, encoding="ISO-8859-1")
+    assert rows(df) == [(1, "Área"), (2, "Señor")]
+
+
 def test_several_files(spark, tmp_path):
     paths = [write(tmp_path, f"{i},d{i}\n", f"{i}.csv") for i in range(3)]
     assert sorted(rows(read_csv(spark, paths, DEPARTMENT.schema))) == [
@@ -135,6 +148,8 @@ def test_timestamps(spark):
         ("2021-12-31T10:00:01Z", datetime(2021, 12, 31, 10, 0, 1)),
         ("2021-12-31 10:00:01.25", datetime(2021, 12, 31, 10, 0, 1, 250000)),
         ("2021-12-31", datetime(2021, 12, 31)),
+        ("2021-7-1 9:05", datetime(2021, 7, 1, 9, 5)),
+        ("2021-07-01T10:00:00+02:00", datetime(2021, 7, 1, 10)),
         ("2021-02-30", None),
         ("notadate", None),
         ("", None),
