@@ -4,9 +4,10 @@
 
 Each copy of ``lineitem`` gets order keys of its own and shares its parts and suppliers. A third of
 all rows goes to one supplier and a ninth has no supplier. ``own pairs`` counts by order key, so
-that nearly every row is a pair of ids of its own and most have no label. For each operator the script prints the seconds at each size and, from
-Spark's event log, the longest task's share of the run and the most shuffle data one task read:
-a hot key that is not split shows there.
+that nearly every row is a pair of ids of its own and most have no label.
+
+For each operator the script prints the seconds at each size and, from Spark's event log, the
+longest task and the most shuffle data one task read: a hot key that is not split shows there.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from tierwell import (  # noqa: E402
     groups_above_mean,
     new_shared_path,
     number_rows,
+    number_table_rows,
     quarterly_counts,
     session,
 )
@@ -97,6 +99,7 @@ def operators(spark, path):
             null_keys="reject",
             source_key_bytes=150_000 * 32,
         ),
+        "number_table_rows": lambda: batch_counts(assign_batches(number_table_rows(fact()), 1000)),
         "number_rows, hot value": lambda: batch_counts(
             assign_batches(number_rows(fact().select("l_suppkey"), ["l_suppkey"]), 1000)
         ),

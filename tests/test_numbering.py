@@ -10,6 +10,7 @@ from tierwell import (
     new_shared_path,
     number_of_batches,
     number_rows,
+    number_table_rows,
 )
 
 
@@ -45,6 +46,24 @@ def test_given_order_with_a_value_held_by_most_rows(spark):
     assert {r.id: r.row_number for r in numbered.collect()} == expected
 
 
+def test_stored_tables_are_numbered_by_file_and_place(spark):
+    path = new_shared_path(spark, "table")
+    spark.range(0, 5000, 1, 7).selectExpr("id", "id % 3 as v").write.parquet(path)
+    append_in_batches(spark.range(5000, 9999, 1, 2).selectExpr("id", "0L as v"), path, 700)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4KB")
+    try:
+        numbered = number_table_rows(spark.read.parquet(path))
+        assert numbered.columns == ["id", "v", "row_number"]
+        found = numbered.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r.row_number for r in found) == list(range(1, 10000))
+    by_id = {r.id: r.row_number for r in found}
+    assert all(by_id[i + 1] == by_id[i] + 1 for i in range(5000, 5600))
+    again = number_table_rows(spark.read.parquet(path)).select("id").join(numbered, "id")
+    assert again.count() == 9999
+
+
 def test_batches_are_full_but_for_the_last(spark):
     batched = assign_batches(number_rows(spark.range(0, 4321, 1, 5)), 1000)
     counts = {r.batch_id: r.records for r in batch_counts(batched).collect()}

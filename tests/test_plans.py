@@ -15,6 +15,7 @@ from tierwell import (
     load_entity,
     new_shared_path,
     number_rows,
+    number_table_rows,
     quarterly_counts,
 )
 from tierwell.operators import merge
@@ -83,6 +84,14 @@ def test_numbering_has_no_window_over_the_rows(lineitem):
     assert "_size" in window and "l_returnflag" not in window
 
 
+def test_stored_rows_are_numbered_where_they_are(lineitem):
+    text = physical(number_table_rows(lineitem.select("*")))
+    rows_side = text.split("BroadcastHashJoin")[1].split("BroadcastExchange")[0]
+    assert "Exchange" not in rows_side and "Window" not in rows_side
+    counted = text.split("BroadcastExchange")[1]
+    assert "ReadSchema: struct<>" in counted
+
+
 def test_merge_sends_small_sources_to_the_targets_scan(lineitem, no_broadcast):
     source = lineitem.select("l_orderkey", "l_linenumber")
     small = physical(absent_rows(source, lineitem, ["l_orderkey"], source_key_bytes=1000))

@@ -19,6 +19,7 @@ from tierwell.operators.numbering import (
     batch_counts,
     number_of_batches,
     number_rows,
+    number_table_rows,
 )
 from tierwell.plans.loads import load_entity, merge_into_trusted, run_pipeline
 from tierwell.plans.reports import (
@@ -71,6 +72,7 @@ __all__ = [
     "new_shared_path",
     "number_of_batches",
     "number_rows",
+    "number_table_rows",
     "parse_csv_column",
     "parse_timestamp",
     "quarantined_rows",

@@ -370,17 +370,26 @@ def batches_in_order(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@check(
-    """
+ARRIVAL_SQL = """
     SELECT (place - 1) // 1000 AS batch_id, COUNT(*) AS records
     FROM (SELECT ROW_NUMBER() OVER () AS place FROM lineitem) GROUP BY 1
-    """
-)
+"""
+
+
+@check(ARRIVAL_SQL)
 def batch_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Any rows, numbered through a staged table."""
     keys = table(spark, folder, "lineitem").select("l_orderkey")
     return numbering.batch_counts(numbering.assign_batches(numbering.number_rows(keys), 1000))
 
 
+@check(ARRIVAL_SQL)
+def batch_counts_of_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored table, numbered where it is."""
+    numbered = numbering.number_table_rows(table(spark, folder, "lineitem"))
+    return numbering.batch_counts(numbering.assign_batches(numbered, 1000))
+
+
 @check("SELECT CAST(ceil(COUNT(*) / 1000) AS BIGINT) AS batches FROM lineitem")
 def batch_total(spark: SparkSession, folder: str) -> DataFrame:
     return numbering.number_of_batches(table(spark, folder, "lineitem"), 1000)

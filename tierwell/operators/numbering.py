@@ -50,6 +50,25 @@ def number_rows(
     )
 
 
+def number_table_rows(table: DataFrame, name: str = "row_number") -> DataFrame:
+    """Dense numbers 1..n for the rows of a stored Parquet table, by file and place in the file.
+
+    ``table`` is as read, before any filter. Nothing is staged or shuffled: Parquet knows each row's
+    place, and a scan without columns counts the rows per file. The broadcast counts are one row
+    per file, of which the driver holds a list anyway.
+    """
+    file = F.col("_metadata.file_path").alias("_file")
+    sizes = table.select(file).groupBy("_file").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_file")) - F.col("_size")
+    starts = sizes.select("_file", before.alias("_start"))
+    placed = table.select("*", file, F.col("_metadata.row_index").alias("_place"))
+    return (
+        placed.join(F.broadcast(starts), "_file")
+        .withColumn(name, F.col("_start") + F.col("_place") + 1)
+        .drop("_file", "_place", "_start")
+    )
+
+
 def assign_batches(
     numbered: DataFrame, max_records: int = 1000, number: str = "row_number", name: str = "batch_id"
 ) -> DataFrame:

@@ -85,22 +85,12 @@ def write_raw(
     )
 
 
-def _of_load(
-    spark: SparkSession, entity: Entity, base: str, layer: str, load_id: str
-) -> DataFrame:
-    """One load's rows of a layer table, without listing the other loads' folders."""
-    root = layer_path(base, layer, entity.name)
-    schema = entity.raw_table_schema if layer == RAW else entity.trusted_table_schema
-    reader = spark.read.schema(schema).option("basePath", root)
-    return reader.parquet(f"{root}/load_id={load_id}")
-
-
 def _raw_facts(raw: DataFrame, entity: Entity) -> dict:
     """Counts of one load's raw rows, size of their keys and range of the accepted ones."""
     accepted = F.col("reject_reason").isNull()
     key = entity.keys[0]
     per_file = (
-        raw.withColumn("_file", F.col("_metadata.file_path"))
+        raw.withColumn("_file", F.input_file_name())
         .groupBy("_file")
         .agg(
             F.count(F.lit(1)).alias("rows"),
@@ -156,13 +146,14 @@ def merge_into_trusted(
         order_by = ("load_id", *ARRIVAL)
         facts = None
     else:
-        raw = _of_load(spark, entity, base, RAW, load_id)
+        raw = read_layer(spark, base, RAW, entity.name, entity.raw_table_schema, load_id)
         order_by = ARRIVAL
         facts = facts or _raw_facts(raw, entity)
     accepted = raw.filter(F.col("reject_reason").isNull())
     accepted = accepted.select(*entity.schema.names, *order_by)
 
-    trusted = read_layer(spark, base, TRUSTED, entity.name, entity.trusted_table_schema)
+    trusted_table = (TRUSTED, entity.name, entity.trusted_table_schema)
+    trusted = read_layer(spark, base, *trusted_table)
     others = trusted.filter(F.col("load_id") != load_id)
     if facts and len(entity.keys) == 1 and facts["low"] is not None:
         # Row groups outside the load's key range need not be read.
@@ -187,7 +178,7 @@ def merge_into_trusted(
     fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         *folders
     ).parquet(path)
-    return _of_load(spark, entity, base, TRUSTED, load_id).count()
+    return read_layer(spark, base, *trusted_table, load_id).count()
 
 
 def _outcome(spark: SparkSession, base: str, *values) -> DataFrame:
@@ -245,7 +236,8 @@ def load_entity(
             keep_malformed=keep_malformed,
             **csv_options,
         )
-        facts = _raw_facts(_of_load(spark, entity, base, RAW, load_id), entity)
+        raw = read_layer(spark, base, RAW, entity.name, entity.raw_table_schema, load_id)
+        facts = _raw_facts(raw, entity)
         inserted = merge_into_trusted(
             spark,
             entity,

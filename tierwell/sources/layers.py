@@ -22,14 +22,22 @@ def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
 
 
 def read_layer(
-    spark: SparkSession, base: str, layer: str, table: str, schema: StructType
+    spark: SparkSession,
+    base: str,
+    layer: str,
+    table: str,
+    schema: StructType,
+    load_id: str | None = None,
 ) -> DataFrame:
-    """A layer table; one that was never written has no rows.
+    """A layer table, or one load's rows of it; one that was never written has no rows.
 
     The schema is given, so no file is opened to infer it and partition values keep their type.
+    With ``load_id`` only that load's folder is listed.
     """
+    root = layer_path(base, layer, table)
+    path = root if load_id is None else f"{root}/load_id={load_id}"
     try:
-        return spark.read.schema(schema).parquet(layer_path(base, layer, table))
+        return spark.read.schema(schema).option("basePath", root).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return no_rows(spark, schema)
