@@ -28,6 +28,7 @@ from tierwell import (  # noqa: E402
     session,
     write_json,
 )
+from tierwell.functions.times import DEFAULT_YEAR  # noqa: E402
 
 REPORTS = {
     "hires_by_quarter": hires_by_quarter,
@@ -47,7 +48,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     report = actions.add_parser("report")
     report.add_argument("name", choices=sorted(REPORTS))
     report.add_argument("out", help="folder for the JSON lines")
-    report.add_argument("--year", type=int, default=2021)
+    report.add_argument("--year", type=int, default=DEFAULT_YEAR)
     report.add_argument("--layer", choices=("raw", "trusted"), default="trusted")
     report.add_argument("--literal", action="store_true", help="the literal reading, see README")
     return parser.parse_args(argv)

@@ -60,6 +60,8 @@ class Entity:
         return StructType(fields)
 
 
+# Names, order and types of the columns of the three files.
+
 DEPARTMENT = Entity(
     "department",
     StructType(

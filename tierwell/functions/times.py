@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
 
+# Fixed value: the year of a report that names none.
+DEFAULT_YEAR = 2021
+
 
 def _time_type(df: DataFrame, ts: str) -> DataType:
     dtype = df.schema[ts].dataType
@@ -25,7 +28,7 @@ def in_window(df: DataFrame, ts: str, start: str, end: str) -> Column:
     return (F.col(ts) >= F.lit(start).cast(dtype)) & (F.col(ts) < F.lit(end).cast(dtype))
 
 
-def in_year(df: DataFrame, ts: str, year: int = 2021) -> Column:
+def in_year(df: DataFrame, ts: str, year: int = DEFAULT_YEAR) -> Column:
     """The whole year, as a range: ``year(ts) = Y`` would not reach the scan as a filter."""
     _check_year(year)
     return in_window(df, ts, f"{year:04d}-01-01", f"{year + 1:04d}-01-01")
@@ -37,7 +40,7 @@ def between_dates(df: DataFrame, ts: str, first: str, last: str) -> Column:
     return F.col(ts).between(F.lit(first).cast(dtype), F.lit(last).cast(dtype))
 
 
-def between_year_dates(df: DataFrame, ts: str, year: int = 2021) -> Column:
+def between_year_dates(df: DataFrame, ts: str, year: int = DEFAULT_YEAR) -> Column:
     """``BETWEEN 'Y-01-01' AND 'Y-12-31'``, which loses Dec 31 but for its first instant."""
     _check_year(year)
     return between_dates(df, ts, f"{year:04d}-01-01", f"{year:04d}-12-31")

@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierwell.functions.times import between_year_dates, in_year
+from tierwell.functions.times import DEFAULT_YEAR, between_year_dates, in_year
 
 QUARTERS = (1, 2, 3, 4)
+# Fixed value: the label of ids without one.
 UNKNOWN = "UNKNOWN"
 
 
@@ -36,7 +37,7 @@ def quarterly_counts(
     ts: str = "DATETIME",
     department_id: str = "DEPARTMENT_ID",
     job_id: str = "JOB_ID",
-    year: int = 2021,
+    year: int = DEFAULT_YEAR,
 ) -> DataFrame:
     """Rows per department and job label in each quarter of the year, sorted by the labels.
 
@@ -53,7 +54,7 @@ def quarterly_counts_literal(
     ts: str = "DATETIME",
     department_id: str = "DEPARTMENT_ID",
     job_id: str = "JOB_ID",
-    year: int = 2021,
+    year: int = DEFAULT_YEAR,
 ) -> DataFrame:
     """As ``quarterly_counts``, but of Dec 31 only the first instant counts."""
     rows = fact.filter(between_year_dates(fact, ts, year))
@@ -102,7 +103,7 @@ def yearly_counts(
     ts: str = "DATETIME",
     department_id: str = "DEPARTMENT_ID",
     row_id: str = "ID",
-    year: int = 2021,
+    year: int = DEFAULT_YEAR,
     include_empty_groups: bool = False,
 ) -> DataFrame:
     """Rows with an id per department id and label in the year.

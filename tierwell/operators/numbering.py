@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tierwell.session import staged
+from tierwell.sources.layers import BATCH_ROWS
 
 # Fixed value: monotonically_increasing_id() keeps the row's place in its partition in the low
 # 33 bits and the partition's number above them.
@@ -70,7 +71,10 @@ def number_table_rows(table: DataFrame, name: str = "row_number") -> DataFrame:
 
 
 def assign_batches(
-    numbered: DataFrame, max_records: int = 1000, number: str = "row_number", name: str = "batch_id"
+    numbered: DataFrame,
+    max_records: int = BATCH_ROWS,
+    number: str = "row_number",
+    name: str = "batch_id",
 ) -> DataFrame:
     """Batch ids from 0, each batch with ``max_records`` rows but for the last."""
     return numbered.withColumn(name, F.expr(f"(`{number}` - 1) div {int(max_records)}"))
@@ -81,7 +85,7 @@ def batch_counts(batched: DataFrame, name: str = "batch_id") -> DataFrame:
     return batched.groupBy(name).agg(F.count(F.lit(1)).alias("records"))
 
 
-def number_of_batches(df: DataFrame, max_records: int = 1000) -> DataFrame:
+def number_of_batches(df: DataFrame, max_records: int = BATCH_ROWS) -> DataFrame:
     """How many batches the rows make, from their count alone."""
     rows = F.count(F.lit(1))
     return df.agg(F.ceil(rows / F.lit(int(max_records))).alias("batches"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tierwell.entities import DEPARTMENT, HIRED_EMPLOYEE, JOB, Entity
-from tierwell.functions.times import parse_timestamp
+from tierwell.functions.times import DEFAULT_YEAR, parse_timestamp
 from tierwell.operators.merge import absent_rows, any_null, key_bytes
 from tierwell.plans.reports import departments_above_mean, hires_by_quarter
 from tierwell.sources.csvs import CORRUPT, csv_status, read_csv
@@ -278,7 +278,7 @@ def run_pipeline(
     spark: SparkSession,
     sources: Mapping[str, str],
     base: str,
-    year: int = 2021,
+    year: int = DEFAULT_YEAR,
     entities: Mapping[str, Entity] | None = None,
     **load_options,
 ) -> dict[str, DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwell.entities import ENTITIES, Entity
-from tierwell.functions.times import parse_timestamp
+from tierwell.functions.times import DEFAULT_YEAR, parse_timestamp
 from tierwell.operators.counts import (
     Dimension,
     groups_above_mean,
@@ -55,7 +55,7 @@ def _hires(
 def hires_by_quarter(
     spark: SparkSession,
     base: str,
-    year: int = 2021,
+    year: int = DEFAULT_YEAR,
     layer: str = TRUSTED,
     literal: bool = False,
     entities: Mapping[str, Entity] | None = None,
@@ -74,7 +74,7 @@ def hires_by_quarter(
 def departments_above_mean(
     spark: SparkSession,
     base: str,
-    year: int = 2021,
+    year: int = DEFAULT_YEAR,
     layer: str = TRUSTED,
     literal: bool = False,
     include_empty_groups: bool = False,

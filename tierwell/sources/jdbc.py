@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Fixed value: rows per insert round trip.
-BATCH_ROWS = 1000
+from tierwell.sources.layers import BATCH_ROWS
 
 
 def read_jdbc(

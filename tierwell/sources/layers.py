@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Fixed value: rows per batch.
+BATCH_ROWS = 1000
+
 RAW = "raw"
 TRUSTED = "trusted"
 
@@ -44,7 +47,7 @@ def read_layer(
         raise
 
 
-def append_in_batches(df: DataFrame, path: str, max_records: int = 1000) -> None:
+def append_in_batches(df: DataFrame, path: str, max_records: int = BATCH_ROWS) -> None:
     """Append in files of at most ``max_records`` rows, all tasks writing at once.
 
     The default is the batch size of the row-by-row sink; for large tables give a cap that makes
