@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     spark = session(
         "tests",
-        "local[8]",
+        "local[8,3]",  # a task may fail twice
         spark_sql_shuffle_partitions="8",
         spark_checkpoint_dir=f"file://{shared}",
         spark_sql_warehouse_dir=f"{shared}/warehouse",
