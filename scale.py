@@ -97,7 +97,6 @@ def operators(spark, path):
             fact().select(F.col("l_orderkey").alias("o_orderkey")),
             ["o_orderkey"],
             null_keys="reject",
-            source_key_bytes=150_000 * 32,
         ),
         "number_table_rows": lambda: batch_counts(assign_batches(number_table_rows(fact()), 1000)),
         "number_rows, hot value": lambda: batch_counts(

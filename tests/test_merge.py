@@ -6,7 +6,6 @@ import pytest
 from helpers import rows
 
 from tierwell import absent_rows, first_per_key, insert_if_absent
-from tierwell.operators import merge
 
 SOURCE = [(1, "a"), (1, "a2"), (None, "n"), (2, "b")]
 
@@ -50,16 +49,17 @@ def test_existing_rows_are_never_changed(spark):
     assert rows(merged) == [(1, "old")]
 
 
-@pytest.mark.parametrize("hot", [50, 1_000_000])
-@pytest.mark.parametrize("size", [None, 100])
+@pytest.mark.parametrize("seed", [50, 51])
+@pytest.mark.parametrize("broadcast", [True, False])
 @pytest.mark.parametrize("null_keys", ["insert", "reject"])
 @pytest.mark.parametrize("duplicates", ["keep", "first"])
 def test_every_plan_matches_brute_force(
-    spark, size, null_keys, duplicates, hot, monkeypatch
+    spark, broadcast, null_keys, duplicates, seed, request
 ):
     """Two-column keys, two of them hot, one known and one not; nulls in either column."""
-    monkeypatch.setattr(merge, "HOT_ROWS", hot)
-    rng = random.Random(hot)
+    if not broadcast:
+        request.getfixturevalue("no_broadcast")
+    rng = random.Random(seed)
 
     def key():
         a = rng.choice([1, 2, rng.randrange(40), rng.randrange(40)])
@@ -86,7 +86,6 @@ def test_every_plan_matches_brute_force(
         null_keys=null_keys,
         source_duplicates=duplicates,
         order_by=["place"],
-        source_key_bytes=size,
     )
     assert sorted(rows(absent), key=lambda r: r[2]) == expected
 

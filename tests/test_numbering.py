@@ -75,8 +75,8 @@ def test_batches_are_full_but_for_the_last(spark):
 def test_batched_append_caps_files_and_keeps_rows(spark):
     path = new_shared_path(spark, "batched")
     df = spark.range(0, 15000, 1, 1)
-    append_in_batches(df, path)
-    append_in_batches(df, path)
+    append_in_batches(df, path, 1000)
+    append_in_batches(df, path, 1000)
     files = (
         spark.read.parquet(path).groupBy(F.col("_metadata.file_path")).count().collect()
     )

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tierwell import checks
 
 FOLDER = "/root/testdata/sf0.01"
 TABLES = (
@@ -35,10 +36,10 @@ def canonical(rows, columns):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(checks.QUERIES) == set(checks.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(checks.QUERIES))
 def test_query_matches_sql(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
     result = duck.execute(entry.oracle_sql()[name])

@@ -18,7 +18,6 @@ from tierwell import (
     number_table_rows,
     quarterly_counts,
 )
-from tierwell.operators import merge
 from tierwell.plans import loads
 
 FOLDER = "/root/testdata/sf0.01"
@@ -40,13 +39,6 @@ def part(spark):
     return Dimension(spark.read.parquet(f"{FOLDER}/part.parquet"), "p_partkey", "p_brand")
 
 
-@pytest.fixture
-def no_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def physical(df):
     return plan(df).split("== Physical Plan ==")[1]
 
@@ -80,39 +72,26 @@ def test_mean_reads_the_fact_once(lineitem, supplier):
 
 def test_numbering_has_no_window_over_the_rows(lineitem):
     text = physical(number_rows(lineitem.select("l_returnflag"), ["l_returnflag"]))
-    window = next(line for line in text.splitlines() if "Window" in line)
-    assert "_size" in window and "l_returnflag" not in window
+    assert "Window" not in text  # the starts are staged
 
 
 def test_stored_rows_are_numbered_where_they_are(lineitem):
     text = physical(number_table_rows(lineitem.select("*")))
     rows_side = text.split("BroadcastHashJoin")[1].split("BroadcastExchange")[0]
     assert "Exchange" not in rows_side and "Window" not in rows_side
-    counted = text.split("BroadcastExchange")[1]
-    assert "ReadSchema: struct<>" in counted
-
-
-def test_merge_sends_small_sources_to_the_targets_scan(lineitem, no_broadcast):
-    source = lineitem.select("l_orderkey", "l_linenumber")
-    small = physical(absent_rows(source, lineitem, ["l_orderkey"], source_key_bytes=1000))
-    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
-    large = physical(absent_rows(source, lineitem, ["l_orderkey"], source_key_bytes=1 << 40))
-    assert "SortMergeJoin" in large
+    assert "ReadSchema: struct<_file:string,_start:bigint>" in text.split("BroadcastExchange")[1]
 
 
-def test_rows_of_hot_keys_are_not_gathered(spark, lineitem, no_broadcast, monkeypatch):
-    """All but a few rows share one key: no task may read them through a shuffle."""
-    monkeypatch.setattr(merge, "HOT_ROWS", 1000)
+def test_merge_is_one_anti_join(spark, lineitem, no_broadcast):
+    """All but a few rows share one key: the join leaves them to AQE, which splits the left side."""
     source = lineitem.selectExpr(
         "if(l_orderkey > 100, 7, l_orderkey) as k", "l_linenumber", "l_shipdate"
     )
     target = spark.range(5).selectExpr("id as k")
     absent = absent_rows(source, target, ["k"], null_keys="reject")
     assert absent.count() == source.filter("k >= 5").count()
-    branches = physical(absent).split(":- ", 1)[1].split("\n   +- SortMergeJoin")
-    hot, rest = (branch.split("FileScan")[0] for branch in branches)
-    assert "LeftSemi, BuildRight" in hot and "Exchange" not in hot
-    assert rest.index("Exchange") < rest.index("LeftAnti, BuildRight")
+    text = physical(absent)
+    assert "SortMergeJoin" in text and "LeftAnti" in text and "BroadcastExchange" not in text
 
 
 def test_first_of_a_large_source_meets_the_target_in_place(lineitem, no_broadcast):

@@ -12,6 +12,7 @@ from tierwell import (
     groups_above_mean,
     groups_above_mean_literal,
     in_year,
+    parse_timestamp,
     mean_of_counts,
     quarterly_counts,
     quarterly_counts_literal,
@@ -183,9 +184,22 @@ def test_time_types(spark, dtype):
 
 def test_bounds_of_the_calendar(spark):
     fact = spark.createDataFrame(
-        [("0001-01-01",), ("9998-12-31",), (None,)], "t string"
+        [("0001-01-01",), ("9998-12-31",), ("9999-12-31",), (None,)], "t string"
     ).selectExpr("cast(t as timestamp_ntz) as DATETIME")
     assert fact.filter(in_year(fact, "DATETIME", 1)).count() == 1
     assert fact.filter(in_year(fact, "DATETIME", 9998)).count() == 1
+    assert fact.filter(in_year(fact, "DATETIME", 9999)).count() == 1
     with pytest.raises(ValueError):
-        in_year(fact, "DATETIME", 9999)
+        in_year(fact, "DATETIME", 10_000)
+
+
+def test_timestamps_with_a_format(spark):
+    df = spark.createDataFrame([("07/27/2021", "1627401728"), ("x", "y")], "t string, e string")
+    made = df.select(
+        parse_timestamp("t", format="MM/dd/yyyy").alias("t"),
+        parse_timestamp("e", format="epoch").alias("e"),
+    )
+    assert [(str(r.t), str(r.e)) for r in made.collect()] == [
+        ("2021-07-27 00:00:00", "2021-07-27 16:02:08"),
+        ("None", "None"),
+    ]

@@ -1,7 +1,5 @@
 """The shared folder comes from the session."""
 
-import pytest
-
 from tierwell import new_shared_path, session, shared_folder, staged
 
 
@@ -17,11 +15,10 @@ def test_folder_of_the_session(spark):
     assert new_shared_path(spark, "a") != new_shared_path(spark, "a")
 
 
-def test_only_a_local_master_may_lack_the_setting(tmp_path, monkeypatch):
-    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
-    assert shared_folder(Session("local[2]")).startswith(str(tmp_path))
-    with pytest.raises(ValueError):
-        shared_folder(Session("yarn"))
+def test_without_the_setting_the_warehouse_serves():
+    session = Session("yarn")
+    session.conf.get = lambda key, default="s3a://lake/warehouse/": None if "checkpoint" in key else default
+    assert shared_folder(session) == "s3a://lake/warehouse"
 
 
 def test_staged_table_is_the_same(spark):

@@ -48,6 +48,7 @@ class Entity:
                 StructField("source_file", StringType(), True),
                 StructField("source_offset", LongType(), True),
                 StructField("arrival", LongType(), True),
+                StructField("load_sequence", LongType(), True),
                 StructField("load_id", StringType(), True),
             ]
         )

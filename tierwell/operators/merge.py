@@ -4,17 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, and_, or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
-
-# Largest total size of source keys sent to every executor.
-BROADCAST_BYTES = 64 << 20
-# A key with this many source rows is hot. There are at most rows / HOT_ROWS such keys.
-HOT_ROWS = 1_000_000
-
 
 def any_null(columns: Sequence[str]) -> Column:
     return reduce(or_, [F.col(c).isNull() for c in columns])
@@ -24,17 +17,6 @@ def all_present(columns: Sequence[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in columns])
 
 
-def key_bytes(df: DataFrame, keys: Sequence[str]) -> Column:
-    """Aggregate: an upper estimate of the size of the rows' keys in a hash table."""
-    sizes = [
-        F.coalesce(F.octet_length(k), F.lit(0)) + 32
-        if isinstance(df.schema[k].dataType, (StringType, BinaryType))
-        else F.lit(32)
-        for k in keys
-    ]
-    return F.sum(reduce(add, sizes))
-
-
 def _first_of_keyed(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     # An aggregate, so each task sends one row per key: a hot key does not collect in one task.
     # The keys stay columns of their own, so that a join on them finds the rows in place.
@@ -60,19 +42,6 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
     return keyed.unionByName(df.filter(any_null(keys)))
 
 
-def _all_absent(keyed: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
-    """Every row whose key is not known, without gathering the rows of a hot key.
-
-    Hot keys are compared as keys, and their rows filtered where they are read.
-    """
-    hot = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = hot.filter(F.col("_rows") >= HOT_ROWS).select(*keys)
-    hot_absent = hot.join(known, keys, "left_anti")
-    hot_rows = keyed.join(F.broadcast(hot_absent), keys, "left_semi")
-    other_rows = keyed.join(F.broadcast(hot), keys, "left_anti")
-    return hot_rows.unionByName(other_rows.join(known, keys, "left_anti"))
-
-
 def absent_rows(
     source: DataFrame,
     target: DataFrame,
@@ -80,7 +49,6 @@ def absent_rows(
     null_keys: str = "insert",
     source_duplicates: str = "keep",
     order_by: Sequence[str] = (),
-    source_key_bytes: int | None = None,
 ) -> DataFrame:
     """Source rows whose key is not in the target.
 
@@ -88,10 +56,10 @@ def absent_rows(
     are left out (``reject``). ``source_duplicates``: rows of the source that share a key all
     count as absent (``keep``), or only the ``first`` in ``order_by`` does.
 
-    Give ``source_key_bytes`` (see ``key_bytes``) if known: up to BROADCAST_BYTES the source keys
-    go to the target's scan instead of the target's keys through a shuffle.
-
-    The source is read more than once: stage one whose rows are not the same at every reading.
+    One plan for all sizes and keys: an anti join with the target's distinct keys. Spark's own
+    statistics decide if those are broadcast; else both sides meet on the key, of the target each
+    key once per task, and AQE splits a hot key's rows. ``first`` aggregates before that, so a
+    task sends one row per key.
     """
     if null_keys not in ("insert", "reject"):
         raise ValueError(f"null_keys={null_keys!r}")
@@ -103,20 +71,9 @@ def absent_rows(
     # Rows without a key skip the join: they would all hash to one partition.
     keyed = source.filter(all_present(keys))
     known = target.filter(all_present(keys)).select(*keys)
-    first = source_duplicates == "first"
-    if source_key_bytes is not None and source_key_bytes <= BROADCAST_BYTES:
-        known = known.join(F.broadcast(keyed.select(*keys)), list(keys), "left_semi").distinct()
-        # No more keys than the source has, so within the same bound. Known rows drop out where
-        # they are read, before those of a key are compared.
-        absent = keyed.join(F.broadcast(known), list(keys), "left_anti")
-        absent = _first_of_keyed(absent, keys, order_by) if first else absent
-    elif first:
-        # Both sides meet on the key, at most once per task each; the source's first rows are
-        # already in place for the join.
+    if source_duplicates == "first":
         keyed = _first_of_keyed(keyed, keys, order_by)
-        absent = keyed.join(known.distinct(), list(keys), "left_anti")
-    else:
-        absent = _all_absent(keyed, known.distinct(), list(keys))
+    absent = keyed.join(known.distinct(), list(keys), "left_anti")
     absent = absent.select(*source.columns)
 
     if null_keys == "insert":

@@ -25,8 +25,8 @@ def number_rows(
     """Dense numbers 1..n in order of arrival, or in the given order with ties by arrival.
 
     No window over all rows: rows are tagged with partition and place, staged once, and each
-    partition's number range follows from the partition sizes. Those sizes are one row per task
-    of the staging job, which bounds what is broadcast. With ``order_by`` the input is sorted by
+    partition's number range follows from the partition sizes, one row per task of the staging
+    job; they are staged too, so that Spark knows their size when it chooses the join. With ``order_by`` the input is sorted by
     range first; arrival is part of the sort key, so a value shared by many rows is spread over
     partitions. Arrival is the order of the input's partitions and of the rows in them: for an
     order that is the same in every run, number a stored table, or stage the input.
@@ -43,9 +43,9 @@ def number_rows(
     numbered = tagged.withColumn("_partition", F.shiftright("_position", PLACE_BITS))
     sizes = numbered.groupBy("_partition").agg(F.count(F.lit(1)).alias("_size"))
     before = F.sum("_size").over(Window.orderBy("_partition")) - F.col("_size")
-    starts = sizes.select("_partition", before.alias("_start"))
+    starts = staged(sizes.select("_partition", before.alias("_start")), "starts")
     return (
-        numbered.join(F.broadcast(starts), "_partition")
+        numbered.join(starts, "_partition")
         .withColumn(name, F.col("_start") + place + 1)
         .drop("_partition", "_position", "_start")
     )
@@ -54,17 +54,17 @@ def number_rows(
 def number_table_rows(table: DataFrame, name: str = "row_number") -> DataFrame:
     """Dense numbers 1..n for the rows of a stored Parquet table, by file and place in the file.
 
-    ``table`` is as read, before any filter. Nothing is staged or shuffled: Parquet knows each row's
-    place, and a scan without columns counts the rows per file. The broadcast counts are one row
-    per file, of which the driver holds a list anyway.
+    ``table`` is as read, before any filter. No row is staged: Parquet knows each row's place, and a
+    scan without columns counts the rows per file. Those counts, one row per file, are staged, so
+    that Spark knows their size when it chooses the join. The order of files is that of their names.
     """
     file = F.col("_metadata.file_path").alias("_file")
     sizes = table.select(file).groupBy("_file").agg(F.count(F.lit(1)).alias("_size"))
     before = F.sum("_size").over(Window.orderBy("_file")) - F.col("_size")
-    starts = sizes.select("_file", before.alias("_start"))
+    starts = staged(sizes.select("_file", before.alias("_start")), "starts")
     placed = table.select("*", file, F.col("_metadata.row_index").alias("_place"))
     return (
-        placed.join(F.broadcast(starts), "_file")
+        placed.join(starts, "_file")
         .withColumn(name, F.col("_start") + F.col("_place") + 1)
         .drop("_file", "_place", "_start")
     )

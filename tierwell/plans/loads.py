@@ -6,16 +6,25 @@ import re
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tierwell.entities import DEPARTMENT, HIRED_EMPLOYEE, JOB, Entity
 from tierwell.functions.times import DEFAULT_YEAR, parse_timestamp
-from tierwell.operators.merge import absent_rows, any_null, key_bytes
+from tierwell.operators.merge import absent_rows, any_null
 from tierwell.plans.reports import departments_above_mean, hires_by_quarter
-from tierwell.sources.csvs import CORRUPT, csv_status, read_csv
-from tierwell.sources.layers import RAW, TRUSTED, layer_path, read_layer
+from tierwell.sources.csvs import CORRUPT, read_csv
+from tierwell.sources.layers import (
+    RAW,
+    TRUSTED,
+    attempt_path,
+    next_sequence,
+    publish,
+    published,
+    read_layer,
+)
 
 OUTCOME = StructType(
     [
@@ -57,61 +66,54 @@ def _reject_reason(entity: Entity, null_keys: str, keep_malformed: bool) -> Colu
     return reason
 
 
+def _checked(csv_options: Mapping) -> None:
+    if str(csv_options.get("mode", "PERMISSIVE")).upper() == "DROPMALFORMED":
+        raise ValueError("a load counts every row: DROPMALFORMED is refused, see reject_reason")
+
+
 def write_raw(
     spark: SparkSession,
     entity: Entity,
     source: str | list[str],
     base: str,
     load_id: str,
-    max_records: int,
+    max_records: int | None = None,
     null_keys: str = "reject",
     keep_malformed: bool = False,
     **csv_options,
-) -> None:
-    """One scan of the source into the load's own raw folder, rejected rows marked in place.
+) -> dict:
+    """One scan of the source into a new attempt of the load, rejected rows marked in place.
 
-    The folder is replaced, so a load that is run again leaves no second copy.
+    Returns what was seen on the way: rows and rejected rows, and the range of the accepted first
+    keys. The attempt is published when it is complete, unless the source had no rows.
     """
+    _checked(csv_options)
     rows = read_csv(spark, source, entity.schema, corrupt_column=CORRUPT, **csv_options)
-    rows.select(
+    sequence = next_sequence(spark, base, RAW, entity.name, load_id)
+    attempt, seen = uuid.uuid4().hex, Observation()
+    reason = F.col("reject_reason")
+    key = F.when(reason.isNull(), F.col(entity.keys[0]))
+    raw = rows.select(
         *entity.schema.names,
         CORRUPT,
         _reject_reason(entity, null_keys, keep_malformed).alias("reject_reason"),
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("source_offset"),
         F.monotonically_increasing_id().alias("arrival"),
-    ).write.option("maxRecordsPerFile", max_records).mode("overwrite").parquet(
-        f"{layer_path(base, RAW, entity.name)}/load_id={load_id}"
-    )
-
-
-def _raw_facts(raw: DataFrame, entity: Entity) -> dict:
-    """Counts of one load's raw rows, size of their keys and range of the accepted ones."""
-    accepted = F.col("reject_reason").isNull()
-    key = entity.keys[0]
-    per_file = (
-        raw.withColumn("_file", F.input_file_name())
-        .groupBy("_file")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count("reject_reason").alias("rejected"),
-            key_bytes(raw, entity.keys).alias("key_bytes"),
-            F.min(F.when(accepted, F.col(key))).alias("low"),
-            F.max(F.when(accepted, F.col(key))).alias("high"),
-        )
-    )
-    return (
-        per_file.agg(
-            F.count(F.lit(1)).alias("files"),
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum("rejected"), F.lit(0)).alias("rejected"),
-            F.coalesce(F.sum("key_bytes"), F.lit(0)).alias("key_bytes"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
-        )
-        .first()
-        .asDict()
+        F.lit(sequence).cast("long").alias("load_sequence"),
+    ).observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.count(reason).alias("rejected"),
+        F.min(key).alias("low"),
+        F.max(key).alias("high"),
     )
+    path = attempt_path(base, RAW, entity.name, load_id, attempt)
+    raw.write.option("maxRecordsPerFile", max_records or 0).parquet(path)
+    facts = dict(seen.get)
+    if facts["rows"]:
+        publish(spark, base, RAW, entity.name, load_id, attempt, sequence)
+    return facts
 
 
 def _by_year(rows: DataFrame, ts: str) -> DataFrame:
@@ -135,27 +137,26 @@ def merge_into_trusted(
     """Insert the accepted raw rows whose key the trusted table lacks; returns how many.
 
     By default only the rows of this load are compared; ``whole_raw`` compares the rows of all
-    loads, so that it also picks up loads that stopped half way. New rows go to the load's own
-    folder of the trusted table and are compared with all other folders, so a repeated merge
-    replaces its own rows and inserts nothing twice. Two merges of one entity must not run at
-    once: Parquet folders have no transactions.
+    loads, in order of the loads' arrival, so that it also picks up loads that stopped half way. New
+    rows go to a new attempt of this load and are compared with all other loads, so a repeated
+    merge replaces its own rows and inserts nothing twice. A load merged with ``whole_raw`` holds
+    rows of other loads: it is refused without it, and the other way round. Two merges of one
+    entity must not run at once.
     """
-    root = layer_path(base, TRUSTED, entity.name)
-    if whole_raw:
-        raw = read_layer(spark, base, RAW, entity.name, entity.raw_table_schema)
-        order_by = ("load_id", *ARRIVAL)
-        facts = None
-    else:
-        raw = read_layer(spark, base, RAW, entity.name, entity.raw_table_schema, load_id)
-        order_by = ARRIVAL
-        facts = facts or _raw_facts(raw, entity)
+    policy = "whole" if whole_raw else "own"
+    before = published(spark, base, TRUSTED, entity.name).get(load_id)
+    if before and before.policy != policy:
+        raise ValueError(f"load {load_id!r} was merged with whole_raw={before.policy == 'whole'}")
+    order_by = ("load_sequence", "load_id", *ARRIVAL) if whole_raw else ARRIVAL
+    one = None if whole_raw else load_id
+    raw = read_layer(spark, base, RAW, entity.name, entity.raw_table_schema, one)
     accepted = raw.filter(F.col("reject_reason").isNull())
     accepted = accepted.select(*entity.schema.names, *order_by)
 
-    trusted_table = (TRUSTED, entity.name, entity.trusted_table_schema)
-    trusted = read_layer(spark, base, *trusted_table)
-    others = trusted.filter(F.col("load_id") != load_id)
-    if facts and len(entity.keys) == 1 and facts["low"] is not None:
+    others = read_layer(
+        spark, base, TRUSTED, entity.name, entity.trusted_table_schema, without=load_id
+    )
+    if facts and not whole_raw and len(entity.keys) == 1 and facts["low"] is not None:
         # Row groups outside the load's key range need not be read.
         others = others.filter(F.col(entity.keys[0]).between(facts["low"], facts["high"]))
 
@@ -166,19 +167,19 @@ def merge_into_trusted(
         null_keys=null_keys,
         source_duplicates=source_duplicates,
         order_by=order_by,
-        source_key_bytes=facts["key_bytes"] if facts else None,
     )
     fresh = to_trusted(absent, entity)
     folders: tuple[str, ...] = ()
     if entity.year_of:
         fresh = _by_year(fresh, entity.year_of)
         folders = ("event_year",)
-    path = f"{root}/load_id={load_id}"
-    # Static: the folder holds this merge and nothing of an earlier attempt.
-    fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *folders
-    ).parquet(path)
-    return read_layer(spark, base, *trusted_table, load_id).count()
+    attempt, seen = uuid.uuid4().hex, Observation()
+    fresh = fresh.observe(seen, F.count(F.lit(1)).alias("rows"))
+    path = attempt_path(base, TRUSTED, entity.name, load_id, attempt)
+    fresh.write.partitionBy(*folders).parquet(path)
+    sequence = next_sequence(spark, base, TRUSTED, entity.name, load_id)
+    publish(spark, base, TRUSTED, entity.name, load_id, attempt, sequence, policy)
+    return seen.get["rows"]
 
 
 def _outcome(spark: SparkSession, base: str, *values) -> DataFrame:
@@ -196,7 +197,7 @@ def load_entity(
     source: str | list[str],
     base: str,
     load_id: str | None = None,
-    max_records: int = 10_000_000,
+    max_records: int | None = None,
     null_keys: str = "reject",
     source_duplicates: str = "first",
     keep_malformed: bool = False,
@@ -210,22 +211,21 @@ def load_entity(
     written) or ``ERROR`` with a message, unless ``on_error='raise'``.
 
     The defaults are safe to repeat: give the ``load_id`` of a load that failed, and the same
-    source, to run it again. Rows that do not fit the schema, rows without a key and rows with an
+    source, to run it again. Readers see its former rows until the new ones are complete.
+    ``rows_read`` is counted at the source, ``rows_raw`` in the raw table. Rows that do not fit the schema, rows without a key and rows with an
     unreadable timestamp stay in the raw table with a ``reject_reason``, and of rows that share a
     key the first enters. ``null_keys='insert'``, ``source_duplicates='keep'``,
     ``keep_malformed=True`` and ``whole_raw=True`` turn these off one by one.
 
-    ``max_records`` bounds the rows of a raw file, the batch of this sink; the default leaves a
-    split of the source in one file.
+    ``max_records`` bounds the rows of a raw file, the batch of this sink; without it a split of the
+    source becomes one file.
     """
     load_id = load_id or uuid.uuid4().hex
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
         raise ValueError(f"load_id {load_id!r} names a folder: letters, digits, '_', '.', '-' only")
     try:
-        status = csv_status(spark, source, entity.schema, **csv_options)
-        if status != "OK":
-            return _outcome(spark, base, entity.name, load_id, status, 0, 0, 0, 0, 0, None)
-        write_raw(
+        _checked(csv_options)
+        facts = write_raw(
             spark,
             entity,
             source,
@@ -236,8 +236,10 @@ def load_entity(
             keep_malformed=keep_malformed,
             **csv_options,
         )
+        if not facts["rows"]:
+            return _outcome(spark, base, entity.name, load_id, "EMPTY", 0, 0, 0, 0, 0, None)
         raw = read_layer(spark, base, RAW, entity.name, entity.raw_table_schema, load_id)
-        facts = _raw_facts(raw, entity)
+        files, rows_raw = len(raw.inputFiles()), raw.count()
         inserted = merge_into_trusted(
             spark,
             entity,
@@ -249,7 +251,9 @@ def load_entity(
             facts=facts,
         )
     except Exception as error:
-        if on_error == "raise":
+        if isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND":
+            return _outcome(spark, base, entity.name, load_id, "MISSING", 0, 0, 0, 0, 0, None)
+        if on_error == "raise" or isinstance(error, ValueError):
             raise
         message = str(error).strip().splitlines()[0] if str(error).strip() else repr(error)
         return _outcome(spark, base, entity.name, load_id, "ERROR", 0, 0, 0, 0, 0, message)
@@ -261,8 +265,8 @@ def load_entity(
         "OK",
         facts["rows"],
         facts["rejected"],
-        facts["files"],
-        facts["rows"],
+        files,
+        rows_raw,
         inserted,
         None,
     )
@@ -285,15 +289,22 @@ def run_pipeline(
     """The three loads, then both reports.
 
     ``sources`` maps ``hired_employee``, ``department`` and ``job`` to CSV paths. Returns the
-    ``outcomes`` and the reports ``hires_by_quarter`` and ``departments_above_mean``.
+    ``status``, the ``outcomes`` and the reports ``hires_by_quarter`` and
+    ``departments_above_mean``. Over a load that isn't OK there is no report: the status is then
+    ``INCOMPLETE`` and both reports are None.
     """
     entities = entities or {e.name: e for e in (HIRED_EMPLOYEE, DEPARTMENT, JOB)}
     outcomes = None
     for name in ("hired_employee", "department", "job"):
         outcome = load_entity(spark, entities[name], sources[name], base, **load_options)
         outcomes = outcome if outcomes is None else outcomes.unionByName(outcome)
+    complete = not outcomes.filter("status <> 'OK'").take(1)
+    reports = {"hires_by_quarter": hires_by_quarter, "departments_above_mean": departments_above_mean}
     return {
+        "status": "OK" if complete else "INCOMPLETE",
         "outcomes": outcomes,
-        "hires_by_quarter": hires_by_quarter(spark, base, year, entities=entities),
-        "departments_above_mean": departments_above_mean(spark, base, year, entities=entities),
+        **{
+            name: report(spark, base, year, entities=entities) if complete else None
+            for name, report in reports.items()
+        },
     }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,16 +30,9 @@ def session(app: str = "tierwell", master: str | None = None, **settings: str) -
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
-
-    Only a local master may do without the setting; it then gets a fresh temporary folder.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="run-")
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:

@@ -1,8 +1,13 @@
-"""Layer tables: Parquet folders ``<base>/<layer>/<table>``."""
+"""Layer tables: Parquet folders ``<base>/<layer>/<table>/load_id=<id>/attempt=<name>``.
+
+Every attempt of a load writes a folder of its own. An empty file in ``<base>/published`` names the
+attempt that counts, so a load that fails, or is run again, never takes away rows that readers see.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,6 +29,77 @@ def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(1).select(*nulls).filter(F.lit(False))
 
 
+@dataclass(frozen=True)
+class Attempt:
+    """One published attempt of a load: its place among all publications of the table, the load's
+    number among the loads, the folder's name, and how the load was merged."""
+
+    place: int
+    sequence: int
+    load_id: str
+    attempt: str
+    policy: str
+
+    @property
+    def entry(self) -> str:
+        return f"{self.place:012d}={self.sequence}={self.load_id}={self.attempt}={self.policy}"
+
+
+def _entries(spark: SparkSession, base: str, layer: str, table: str):
+    """The folder of publications as a Hadoop path, and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/published/{layer.lower()}/{table}")
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def published(spark: SparkSession, base: str, layer: str, table: str) -> dict[str, Attempt]:
+    """The attempt of each load that counts: the last one published. One entry a load."""
+    path, files = _entries(spark, base, layer, table)
+    if not files.exists(path):
+        return {}
+    names = sorted(status.getPath().getName() for status in files.listStatus(path))
+    found = {}
+    for name in names:
+        place, sequence, load_id, attempt, policy = name.split("=")
+        found[load_id] = Attempt(int(place), int(sequence), load_id, attempt, policy)
+    return found
+
+
+def next_sequence(spark: SparkSession, base: str, layer: str, table: str, load_id: str) -> int:
+    """A load's number in order of arrival; one that is run again keeps its own."""
+    loads = published(spark, base, layer, table)
+    if load_id in loads:
+        return loads[load_id].sequence
+    return 1 + max((a.sequence for a in loads.values()), default=0)
+
+
+def publish(
+    spark: SparkSession,
+    base: str,
+    layer: str,
+    table: str,
+    load_id: str,
+    attempt: str,
+    sequence: int,
+    policy: str = "own",
+) -> None:
+    """Make a complete attempt the one that readers see, by creating one empty file.
+
+    Until then, and if anything fails before, readers see the attempt before it.
+    """
+    path, files = _entries(spark, base, layer, table)
+    loads = published(spark, base, layer, table)
+    place = 1 + max((a.place for a in loads.values()), default=0)
+    entry = Attempt(place, sequence, load_id, attempt, policy).entry
+    files.mkdirs(path)
+    files.create(spark._jvm.org.apache.hadoop.fs.Path(path, entry), False).close()
+    if load_id in loads:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(path, loads[load_id].entry), False)
+
+
+def attempt_path(base: str, layer: str, table: str, load_id: str, attempt: str) -> str:
+    return f"{layer_path(base, layer, table)}/load_id={load_id}/attempt={attempt}"
+
+
 def read_layer(
     spark: SparkSession,
     base: str,
@@ -31,26 +107,39 @@ def read_layer(
     table: str,
     schema: StructType,
     load_id: str | None = None,
+    without: str | None = None,
 ) -> DataFrame:
-    """A layer table, or one load's rows of it; one that was never written has no rows.
+    """A layer table, one load's rows of it, or those of all loads but one; a table that was never
+    written has no rows. Only published attempts are read.
 
     The schema is given, so no file is opened to infer it and partition values keep their type.
-    With ``load_id`` only that load's folder is listed.
     """
-    root = layer_path(base, layer, table)
-    path = root if load_id is None else f"{root}/load_id={load_id}"
-    try:
-        return spark.read.schema(schema).option("basePath", root).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return no_rows(spark, schema)
-        raise
+    loads = published(spark, base, layer, table)
+    paths = [
+        attempt_path(base, layer, table, a.load_id, a.attempt)
+        for a in loads.values()
+        if a.load_id != without and load_id in (None, a.load_id)
+    ]
+    if not paths:
+        return no_rows(spark, schema)
+    reader = spark.read.schema(schema).option("basePath", layer_path(base, layer, table))
+    return reader.parquet(*paths).select(*schema.names)
 
 
-def append_in_batches(df: DataFrame, path: str, max_records: int = BATCH_ROWS) -> None:
-    """Append in files of at most ``max_records`` rows, all tasks writing at once.
+def drop_unpublished(spark: SparkSession, base: str, layer: str, table: str) -> int:
+    """Delete the folders of attempts that failed or were replaced; returns how many. Not while a
+    load or a report of the table runs."""
+    keep = {a.attempt for a in published(spark, base, layer, table).values()}
+    root = spark._jvm.org.apache.hadoop.fs.Path(layer_path(base, layer, table))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "load_id=*/attempt=*"))
+    old = [s.getPath() for s in found or () if s.getPath().getName().split("=")[1] not in keep]
+    for path in old:
+        files.delete(path, True)
+    return len(old)
 
-    The default is the batch size of the row-by-row sink; for large tables give a cap that makes
-    files of some hundred megabytes.
-    """
-    df.write.option("maxRecordsPerFile", max_records).mode("append").parquet(path)
+
+def append_in_batches(df: DataFrame, path: str, max_records: int | None = None) -> None:
+    """Append in files of at most ``max_records`` rows (without it, a file a task), all tasks
+    writing at once. Give a cap that makes files of some hundred megabytes."""
+    df.write.option("maxRecordsPerFile", max_records or 0).mode("append").parquet(path)
