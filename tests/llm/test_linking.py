@@ -1,0 +1,85 @@
+"""Tool calls, and the queries that SQL can express."""
+
+import json
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from test_oracles import FOLDER, canonical, duck  # noqa: E402, F401
+
+from tierwell.llm import queries, toolcalls  # noqa: E402
+
+SCHEMAS = {
+    "add": {"required": ["a"], "additionalProperties": False, "properties": {"a": {"type": "integer", "minimum": 0}}},
+    "say": {"properties": {"text": {"type": "string", "minLength": 2}}},
+}
+CALLS = "conv_id long, call_id string, name string, arguments string, after string"
+RESULTS = "conv_id long, call_id string, content string"
+
+
+def linked(spark, calls, results):
+    made = toolcalls.linked(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), SCHEMAS)
+    return {(r.conv_id, r.call_id): r for r in made.collect()}
+
+
+def test_status_level_and_record(spark):
+    calls = [
+        (1, "a", "add", '{ "a": 1 }', None),
+        (1, "b", "add", '{"a": -1}', "a"),
+        (1, "c", "say", '{"text":"é","z":1}', "b"),
+        (1, "d", "say", '{"z":1,"text":"éé"}', "c"),
+        (1, "e", "none", "{}", "unknown"),
+        (1, "f", "add", "not json", "d"),
+        (1, "g", "add", None, None),
+        (2, "x", "add", '{"a":2}', "y"),
+        (2, "y", "add", '{"a":2}', "x"),
+        (2, "tail", "add", '{"a":2}', "x"),
+        (3, "a", "add", '{"a":true}', None),
+        (4, "a", "add", '{"a":7}', None),
+        (4, "a", "add", '{"a":7}', None),
+        (None, "a", "add", '{"a":7}', None),
+        (5, None, "add", '{"a":7}', None),
+    ]
+    results = [(1, "a", "two"), (1, "a", "one"), (1, "d", None), (4, "q", "lost"), (2, "x", "r"), (None, "a", "r")]
+    got = linked(spark, calls, results)
+    status = {k: (r.status, r.level) for k, r in got.items()}
+    assert status == {
+        (1, "a"): ("ok", 0),
+        (1, "b"): ("invalid", 1),
+        (1, "c"): ("invalid", 2),
+        (1, "d"): ("ok", 3),
+        (1, "e"): ("invalid", 0),
+        (1, "f"): ("invalid", 4),
+        (1, "g"): ("invalid", 0),
+        (2, "x"): ("cycle", None),
+        (2, "y"): ("cycle", None),
+        (2, "tail"): ("cycle", None),
+        (3, "a"): ("invalid", 0),
+        (4, "a"): ("no_result", 0),
+        (4, "q"): ("orphan", None),
+    }
+    assert got[1, "a"].record == '{"after":null,"arguments":{"a":1},"id":"a","name":"add","result":"one","status":"ok"}'
+    assert json.loads(got[1, "d"].record)["arguments"] == {"text": "éé", "z": 1}
+    assert (got[4, "a"].n_calls, got[1, "a"].n_results, got[4, "q"].n_calls) == (2, 2, 0)
+    assert linked(spark, [], []) == {}
+
+
+def test_levels_of_a_long_chain(spark):
+    n = 300
+    calls = [(1, str(k), "add", '{"a":1}', str(k - 1)) for k in range(n)]
+    got = linked(spark, calls, [])
+    assert all(got[1, str(k)].level == k for k in range(n))
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_matches_sql(spark, duck, name):  # noqa: F811
+    df = queries.QUERIES[name](spark, FOLDER)
+    result = duck.execute(queries.ORACLES[name])
+    columns = [d[0] for d in result.description]
+    assert sorted(df.columns) == sorted(columns)
+    mine = canonical([tuple(r) for r in df.collect()], df.columns)
+    assert len(mine) > 0
+    assert mine == canonical(result.fetchall(), columns)
