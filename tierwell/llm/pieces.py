@@ -34,7 +34,7 @@ from tierwell.llm.common import per_batch
 
 MARK = "▁"
 #: Words remembered by a worker.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 NEVER = float("inf")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
