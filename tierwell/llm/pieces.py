@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame
 from tierwell.llm.common import per_batch
 
 MARK = "▁"
-#: Words remembered by a worker.
-REMEMBERED = 100_000
+#: Words remembered by a worker: the first ones, among them all frequent ones, and the latest others.
+REMEMBERED, LATEST = 120_000, 40_000
 NEVER = float("inf")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -117,6 +117,23 @@ class CharacterMap:
         return b"".join(out), np.concatenate(places)
 
 
+def chained(pairs: set[str]) -> list[set[str]]:
+    """The groups of characters that pairs connect, but for the mark; the largest first."""
+    group = {}
+    for pair in sorted(pairs):
+        if MARK in pair:
+            for c in pair:
+                if c != MARK:
+                    group.setdefault(c, {c})
+            continue
+        a, b = (group.setdefault(c, {c}) for c in pair)
+        if a is not b:
+            small, large = sorted((a, b), key=len)
+            large |= small
+            group.update(dict.fromkeys(small, large))
+    return sorted({id(g): g for g in group.values()}.values(), key=lambda g: (-len(g), min(g)))
+
+
 class PieceModel:
     def __init__(self, data: bytes):
         self.pieces, scores, kinds = [], [], []
@@ -153,13 +170,19 @@ class PieceModel:
         self.bytes = {int(p[3:5], 16): k for k, p in enumerate(self.pieces) if kinds[k] == BYTE}
         self.byte_of = {k: b for b, k in self.bytes.items()}
         joined = {p[k : k + 2] for p in self.rank for k in range(len(p) - 1)}
-        inner = {c for pair in joined for c in pair} - {MARK}
-        chars = "".join(re.escape(c) for c in sorted(inner))
-        # Cuts: before a mark that follows another character, and round characters in no long piece.
+        # Cuts: before a mark that follows another character, and between characters that not even
+        # a chain of pieces brings together, such as letters and punctuation.
         marks_join = any(b == MARK and a != MARK for a, b in joined)
-        pattern = f"{MARK}*[{chars}]+|{MARK}+|[^{chars}{MARK}]" if chars and not marks_join else "(?s:.+)"
+        classes = "|".join(
+            "[" + "".join(map(re.escape, sorted(group))) + "]+" for group in chained(joined)
+        )
+        known = "".join(re.escape(c) for c in sorted({c for pair in joined for c in pair} - {MARK}))
+        pattern = "(?s:.+)"
+        if classes and not marks_join:
+            pattern = f"{MARK}*(?:{classes})|{MARK}+|[^{known}{MARK}]"
         self.words = re.compile(pattern)
         self.memory: dict[str, tuple] = {}
+        self.latest: dict[str, tuple] = {}
 
     def normalised(self, text: bytes) -> tuple[bytes, np.ndarray | None]:
         """The normalised bytes and the original place of each and of the end. None as places
@@ -259,12 +282,12 @@ class PieceModel:
 
     def digests(self, normalised: bytes) -> list[tuple[int, str, str]]:
         """For each word the number of its ids, their decimals joined by commas, and their text."""
-        memory = self.memory
-        if len(memory) > REMEMBERED:
-            memory.clear()
+        memory, latest = self.memory, self.latest
+        if len(latest) > LATEST:
+            latest.clear()
         out, get = [], memory.get
         for word in self.words.findall(normalised.decode()):
-            made = get(word)
+            made = get(word) or latest.get(word)
             if made is None:
                 ids = self.ids_of(word)
                 made = (
@@ -275,7 +298,7 @@ class PieceModel:
                     else self.decoded(ids, first=False),
                 )
                 if len(word) < 64:
-                    memory[word] = made
+                    (memory if len(memory) < REMEMBERED else latest)[word] = made
             out.append(made)
         return out
 
