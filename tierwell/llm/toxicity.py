@@ -87,15 +87,21 @@ class Model:
         return float(-np.expm1(-clean))
 
 
-def telling(bags: list[list[set[str]]], marks: np.ndarray) -> list[str]:
+def bag(text: str) -> list[set[str]]:
+    """The features of each sentence with letters."""
+    found = map(LETTERS.findall, SENTENCE.split(text.lower()))
+    return [features(words) for words in found if words]
+
+
+def telling(rows: list[tuple[str, int]], marks: np.ndarray) -> list[str]:
     """The features that set toxic documents apart, most telling first."""
     seen = [Counter(), Counter()]
-    for bag, mark in zip(bags, marks, strict=True):
-        seen[int(mark)].update(set().union(*bag))
+    for text, mark in rows:
+        seen[mark].update(set().union(*bag(text)))
     ones, zeros = marks.sum(), len(marks) - marks.sum()
     found = []
-    for w, n in (seen[0] + seen[1]).items():
-        share = n / len(marks)
+    for w in seen[0].keys() | seen[1].keys():
+        share = (seen[0][w] + seen[1][w]) / len(marks)
         error = np.sqrt(share * (1 - share) * (1 / ones + 1 / zeros))
         z = abs(seen[1][w] / ones - seen[0][w] / zeros) / max(error, 1e-9)
         if z >= CONTRAST:
@@ -108,14 +114,11 @@ def fit(rows: list[tuple[str, int]], steps: int = 300) -> Model:
     marks = np.array([m for _, m in rows], np.float64)
     if len(set(marks.tolist())) < 2:
         return Model(0.0, fixed=float((marks.sum() + 1) / (len(marks) + 2)))
-    bags = [
-        [features(w) for s in SENTENCE.split(t.lower()) if (w := LETTERS.findall(s))] for t, _ in rows
-    ]
-    words = telling(bags, marks)
+    words = telling(rows, marks)
     number = {w: k for k, w in enumerate(words)}
     feature, sentence, document = [], [], []
-    for k, bag in enumerate(bags):
-        for s in bag:
+    for k, (text, _) in enumerate(rows):  # cut again: the bags of all texts are too many to keep
+        for s in bag(text):
             known = [number[w] for w in s if w in number]
             feature += known
             sentence += [len(document)] * len(known)
