@@ -1,9 +1,10 @@
 """Toxicity by multiple-instance learning: a document is as toxic as its sentences together.
 
-A text is cut into sentences at . ! ? and line ends; a sentence's score is the logistic of the sum
-of its distinct words' weights and a bias, and the document's is their noisy-or,
-1 - prod(1 - sentence). Weights are trained from the labels of documents alone; the scores then
-say which sentences gave offence.
+A text is cut into sentences at . ! ? and line ends. A sentence's chance of offence is the logistic
+of the sum of its distinct words' weights and a bias, as far as it exceeds the bias's alone; the
+document's is the noisy-or of its sentences and of the bias, 1 - (1 - leak) * prod(1 - sentence). So
+sentences without evidence add nothing, and a long clean text scores as a short one. Weights are
+trained from the labels of documents alone; the scores then say which sentences gave offence.
 
 Features are words and their first `STEM` letters, so that inflected forms count together. Only those
 are kept whose share of toxic and of other documents differs by `CONTRAST` standard errors or more.
@@ -62,6 +63,10 @@ class Model:
         known = self.weights.keys() & features(words)
         return self.bias + sum(self.weights[w] for w in sorted(known))
 
+    def evidence(self, words: list[str]) -> float:
+        """-log of the chance that a sentence gives no offence, beyond the bias."""
+        return max(0.0, float(softplus(self.logit(words)) - softplus(self.bias)))
+
     def sentences(self, text: str | None) -> list[tuple[int, int, float]]:
         """Start, end and score of each sentence with letters."""
         found, at = [], 0
@@ -70,7 +75,7 @@ class Model:
             end = cut.start() if cut else len(text)
             words = LETTERS.findall(text[at:end].lower())
             if words:
-                found.append((at, end, float(1 / (1 + np.exp(-self.logit(words))))))
+                found.append((at, end, float(-np.expm1(-self.evidence(words)))))
             at = cut.end() if cut else end
         return found
 
@@ -78,12 +83,10 @@ class Model:
         """The noisy-or of the sentences."""
         if self.fixed is not None:
             return self.fixed
-        sentences = [s for s in SENTENCE.split((text or "").lower()) if s.strip()]
+        lowered, clean = (text or "").lower(), softplus(self.bias)
         # Texts without any weighted feature, nearly all, need no look at their sentences.
-        if self.weights.keys().isdisjoint(features(LETTERS.findall((text or "").lower()))):
-            clean = max(1, len(sentences)) * softplus(self.bias)
-        else:
-            clean = sum(softplus(self.logit(LETTERS.findall(s))) for s in sentences)
+        if not self.weights.keys().isdisjoint(features(LETTERS.findall(lowered))):
+            clean += sum(self.evidence(LETTERS.findall(s)) for s in SENTENCE.split(lowered))
         return float(-np.expm1(-clean))
 
 
@@ -129,17 +132,19 @@ def fit(rows: list[tuple[str, int]], steps: int = 300) -> Model:
     weight = np.where(marks > 0, 0.5 / marks.mean(), 0.5 / (1 - marks.mean()))
     for step in range(1, steps + 1):
         z = bias + np.bincount(sentence, weights[feature], len(document))
-        clean = np.bincount(document, softplus(z), len(rows))  # -log of the chance of no offence
+        counted = z >= bias  # the others are no evidence
+        excess = np.where(counted, softplus(z) - softplus(bias), 0.0)
+        clean = softplus(bias) + np.bincount(document, excess, len(rows))  # -log(no offence)
         pull = np.where(marks > 0, 1 / np.maximum(np.expm1(np.minimum(clean, 50)), 1e-9), -1.0)
-        push = (pull * weight)[document] / (1 + np.exp(-z)) / len(rows)
-        grad = np.append(
-            np.bincount(feature, push[sentence], len(words)) - 1e-4 * weights, push.sum()
-        )
+        each, leak = pull * weight / len(rows), 1 / (1 + np.exp(-bias))
+        push = np.where(counted, each[document] / (1 + np.exp(-z)), 0.0)
+        of_bias = push.sum() + leak * (each.sum() - each[document][counted].sum())
+        grad = np.append(np.bincount(feature, push[sentence], len(words)) - 1e-4 * weights, of_bias)
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad**2
         move = 0.1 * first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
         weights += move[:-1]
-        bias = float(np.clip(bias + move[-1], -8.0, -5.0))  # a long clean text stays clean
+        bias = float(np.clip(bias + move[-1], -8.0, -5.0))  # without evidence clean
     return Model(bias, {w: float(x) for w, x in zip(words, weights, strict=True)})
 
 
