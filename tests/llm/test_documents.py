@@ -111,7 +111,7 @@ def brute_kept(rows, window=50):
         yield r, words, [w for k, w in enumerate(words) if k not in gone]
 
 
-@pytest.mark.parametrize("settings", [{}, {"group": 1}, {"window": 12, "prefix": 5, "group": 3}])
+@pytest.mark.parametrize("settings", [{}, {"group": 1}, {"window": 12, "prefix": 5, "group": 3}, {"window": 12, "prefix": 5, "group": 40}])
 def test_substrings(docs, rows, settings):
     expected = [
         (r[0], len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest())
@@ -126,6 +126,21 @@ def test_substrings_in_small_helpings(docs, rows, monkeypatch):
     test_substrings(docs, rows, {})
 
 
+@pytest.mark.parametrize("group", [1_000, substrings.GROUP])
+def test_substrings_of_few_texts_with_many_windows(spark, group, monkeypatch):
+    """One word over and over is one anchor: few texts, but a group of any size."""
+    monkeypatch.setattr(substrings, "RUN", 64)
+    rows = [(1, "la " * 700), (2, "x " + "la " * 900 + "y"), (3, "tra la " * 400), (4, "tra la " * 450)]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = [
+        (r[0], len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest())
+        for r, words, kept in brute_kept(rows)
+    ]
+    same(substrings.kept_digests(made, group=group), expected, ("doc_id", "n_words", "n_removed", "kept_sha256"))
+    counted = {r.n_windows for r in substrings.anchors(made, 50, 10).where("row_key is not null").collect()}
+    assert 651 in counted  # all windows of the first text have one anchor
+
+
 def test_kept_texts(docs, rows):
     made = substrings.kept_texts(docs)
     assert made.columns == docs.columns
@@ -375,6 +390,10 @@ def test_offending_sentences_are_located():
     worst = max(model.sentences(text), key=lambda s: s[2])
     assert text[worst[0] : worst[1]].strip() == "you utter moron"
     assert model.score(text) >= 0.5 > model.score("birds sing. all is well")
+    # Length alone is no evidence.
+    long = "birds sing. rain falls. unheard words\n" * 20_000
+    assert model.score(long) < 0.5 <= model.score(long + "you utter moron")
+    assert model.score("nothing known here. " * 20_000) == model.score("") == model.score(None)
 
 
 # all

@@ -4,14 +4,15 @@ A window is `window` consecutive words. Its anchor is the least of its `prefix`-
 hash, then place): equal windows have equal anchors at equal places, so only the suffixes that
 start at anchors need to be kept, about one word in twenty.
 
-1. Each text gives its distinct anchors; counting them finds those of two or more texts. A window
-   whose anchor stands in one text only can't be repeated and goes no further.
+1. Each text gives its distinct anchors and how many windows each has; summing up finds those of two
+   or more texts. A window whose anchor stands in one text only can't be repeated and goes no
+   further.
 2. The anchor is the prefix that splits the suffixes into groups. A group holds, for each place of
    the anchor, the hashes of the windows around it: the nodes of depth `window` of the group's
-   tree. Anchors found up to `GROUP` times make groups that are cut out of a sorted partition, a
-   bounded number of windows at a time. The prefix of a more frequent anchor is lengthened to the
-   whole window: there a node needs only its smallest doc_id, which is aggregated before the
-   shuffle and joined back, so no task holds the group.
+   tree. Anchors of up to `GROUP` windows, however few texts they are in, make groups that are cut
+   out of a sorted partition, a bounded number of windows at a time. The prefix of a more frequent
+   anchor is lengthened to the whole window: there a node needs only its smallest doc_id, which is
+   aggregated before the shuffle and joined back, so no task holds the group.
 3. A window whose node has a smaller doc_id gives a range of words. Ranges meet their text again
    by row key, and the words in them go.
 
@@ -38,8 +39,10 @@ from tierwell.llm.common import per_batch, stable
 
 WINDOW = 50
 PREFIX = 10
-#: Anchors found more often are taken as whole windows.
-GROUP = 4096
+#: Anchors of more windows than this are taken as whole windows.
+GROUP = 131_072
+#: Windows of a row; a longer run of windows with one anchor takes several.
+RUN = 4096
 #: Windows that a task sorts at a time.
 AT_ONCE = 1_000_000
 
@@ -125,33 +128,37 @@ def packed(docs: DataFrame, carried: list[str] | None = None) -> DataFrame:
 
 
 def anchors(docs: DataFrame, window: int, prefix: int) -> DataFrame:
-    """(row_key, anchor): the distinct anchors of each text."""
+    """(row_key, anchor, n_windows): the distinct anchors of each text and their windows."""
 
     def make():
         def work(ids, texts):
-            keys, found = [], []
+            keys, found, sizes = [], [], []
             for i, text in zip(ids, texts, strict=True):
                 raw = (text or "").encode()
                 words = raw.split()
                 if len(words) >= window:
                     own = anchors_of(word_hashes(words), window, prefix)
-                    own = np.unique(own[np.flatnonzero(np.diff(own, prepend=own[0] + np.uint64(1)))])
-                    found.append(own.view(np.int64))
-                    keys.append(np.full(len(own), row_key(i, raw)))
+                    starts = np.flatnonzero(np.diff(own, prepend=own[0] + np.uint64(1)))
+                    kinds, at = np.unique(own[starts], return_inverse=True)
+                    found.append(kinds.view(np.int64))
+                    keys.append(np.full(len(kinds), row_key(i, raw)))
+                    lengths = np.diff(np.append(starts, len(own)))
+                    sizes.append(np.bincount(at, lengths).astype(np.int64))
             empty = np.empty(0, np.int64)
             return {
                 "row_key": np.concatenate(keys) if keys else empty,
                 "anchor": np.concatenate(found) if found else empty,
+                "n_windows": np.concatenate(sizes) if sizes else empty,
             }
 
         return work
 
-    return per_batch(docs.select("doc_id", "text"), "row_key long, anchor long", make)
+    return per_batch(docs.select("doc_id", "text"), "row_key long, anchor long, n_windows long", make)
 
 
 def suffixes(candidates: DataFrame, window: int, prefix: int) -> DataFrame:
-    """The windows whose anchors are repeated, one row for each run of windows with one anchor:
-    anchor, whether it is frequent, doc_id, place of the first window, hash of each window.
+    """The windows whose anchors are repeated, a row for each run of windows with one anchor (or
+    `RUN` of them): anchor, whether it is frequent, doc_id, place of the first window, hash of each window.
 
     ``candidates`` has doc_id, packed text, sorted anchors and which of them are frequent."""
 
@@ -173,12 +180,13 @@ def suffixes(candidates: DataFrame, window: int, prefix: int) -> DataFrame:
                 hit = np.flatnonzero(some[at] == own[cuts[:-1]])
                 whole = grams(hashes, window).view(np.int64)
                 for k in hit.tolist():
-                    out["anchor"].append(int(own[cuts[k]]))
-                    out["frequent"].append(bool(often[at[k]]))
-                    out["doc_id"].append(LAST if i is None else i)
-                    out["row_key"].append(key)
-                    out["start"].append(int(cuts[k]))
-                    out["windows"].append(whole[cuts[k] : cuts[k + 1]])
+                    for start in range(int(cuts[k]), int(cuts[k + 1]), RUN):
+                        out["anchor"].append(int(own[start]))
+                        out["frequent"].append(bool(often[at[k]]))
+                        out["doc_id"].append(LAST if i is None else i)
+                        out["row_key"].append(key)
+                        out["start"].append(start)
+                        out["windows"].append(whole[start : min(start + RUN, int(cuts[k + 1]))])
             return out
 
         return work
@@ -267,14 +275,14 @@ def repeated_ranges(
 ) -> DataFrame:
     """row_key and the word ranges to remove, [(start, stop), ...] in any order."""
     own = stable(anchors(docs, window, prefix))
-    counted = own.groupBy(F.col("anchor").alias("same")).agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.where("n > 1")
+    counted = own.groupBy(F.col("anchor").alias("same")).agg(
+        F.count(F.lit(1)).alias("n"), (F.sum("n_windows") > group).alias("frequent")
+    )
+    counted = counted.where("n > 1").drop("n")
     wanted = (
         own.join(counted, own.anchor == counted.same)
         .groupBy(F.col("row_key").alias("wanted"))
-        .agg(
-            F.collect_list(F.struct("anchor", (F.col("n") > group).alias("frequent"))).alias("found")
-        )
+        .agg(F.collect_set(F.struct("anchor", "frequent")).alias("found"))
     )
     candidates = texts.join(wanted, texts.row_key == wanted.wanted).select(
         "doc_id",
