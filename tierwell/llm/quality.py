@@ -13,7 +13,7 @@ sample of the labelled training rows: at most `SAMPLE` of each label, those with
 hashes of doc_id, the first `SAMPLE_CHARS` characters of each. Scoring reads whole texts.
 
 Cases: null and empty texts are scored as documents without words. Null labels and labels without a
-document are left out. Without rows of both labels every score is the smoothed share of label 1
+document are left out; of a doc_id's repeated rows one is learned from. Without rows of both labels every score is the smoothed share of label 1
 (0.5 without any). Repeated rows are repeated in the result; an empty table gives an empty result;
 other columns are never read.
 """
@@ -108,16 +108,17 @@ class Model:
 
 
 def trained_on(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> list[tuple[str, int]]:
-    """The bounded sample of labelled training rows: (text, label)."""
+    """The bounded sample of labelled training rows: (text, label), one for each doc_id and label."""
     marks = labels.select(F.col("doc_id").alias("marked"), F.col(label).cast("int").alias("mark"))
-    marks = marks.where("mark in (0, 1)").where(~held_out(F.col("marked")))
+    marks = marks.where("mark in (0, 1)").where(~held_out(F.col("marked"))).distinct()
     chosen = []
     for mark in (0, 1):  # the ids first, so that only the chosen texts move
         ids = marks.where(F.col("mark") == mark).orderBy(F.xxhash64("marked"), "marked").limit(sample)
         chosen.append(ids)
     wanted = chosen[0].union(chosen[1])
     texts = docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text"))
-    rows = texts.join(F.broadcast(wanted), F.col("doc_id") == F.col("marked")).select("doc_id", "text", "mark")
+    rows = texts.join(F.broadcast(wanted), F.col("doc_id") == F.col("marked"))
+    rows = rows.groupBy("doc_id", "mark").agg(F.min("text").alias("text"))  # a doc_id may repeat
     return [(r.text, r.mark) for r in sorted(rows.collect(), key=lambda r: (r.doc_id, r.text, r.mark))]
 
 
