@@ -4,6 +4,7 @@ import re
 
 import pytest
 from helpers import plan
+from pyspark.sql import functions as F
 
 from tierwell import (
     HIRED_EMPLOYEE,
@@ -18,6 +19,7 @@ from tierwell import (
     number_table_rows,
     quarterly_counts,
 )
+from tierwell.operators import counts
 from tierwell.plans import loads
 
 FOLDER = "/root/testdata/sf0.01"
@@ -127,7 +129,7 @@ def test_report_opens_only_the_year(spark, tmp_path):
 
 
 def test_hot_id_with_many_pairs_is_split(spark, lineitem, supplier, part, no_broadcast):
-    """Half of the pairs share one department: AQE splits them, the settings scaled to the data."""
+    """Half of the pairs share one job: AQE splits them, the settings scaled to the data."""
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
@@ -135,7 +137,7 @@ def test_hot_id_with_many_pairs_is_split(spark, lineitem, supplier, part, no_bro
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     fact = lineitem.selectExpr(
-        "l_orderkey as l_partkey", "if(l_orderkey % 2 = 0, 1, l_suppkey) l_suppkey", "l_shipdate"
+        "l_orderkey as l_suppkey", "if(l_orderkey % 2 = 0, 1, l_partkey) l_partkey", "l_shipdate"
     )
     for key, value in settings.items():
         spark.conf.set(key, value)
@@ -150,6 +152,35 @@ def test_hot_id_with_many_pairs_is_split(spark, lineitem, supplier, part, no_bro
     assert "SortMergeJoin(skew=true)" in final
 
 
+def test_null_and_hot_ids_are_spread_without_aqe(spark, lineitem, supplier, part, no_broadcast):
+    """Rows without an id match nothing and needn't meet; a hot department is counted per job label
+    before it is joined."""
+    fact = lineitem.selectExpr(
+        "l_orderkey",
+        "if(l_linenumber % 3 = 0, null, l_partkey) as l_partkey",
+        "if(l_orderkey % 2 = 0, 1, l_suppkey) as l_suppkey",
+        "l_shipdate",
+    )
+    report = quarterly_counts(fact, supplier, part, job_id="l_partkey", **SHIPPED)
+    text = physical(report)
+    assert re.search(r"SortMergeJoin \[_job_id#\w+, _spread#\d+\]", text)
+    assert re.search(r"SortMergeJoin \[_department_id#\w+, _spread#\d+\]", text)
+    assert re.search(r"keys=\[_department_id#\w+, _job#\d+\], functions=\[partial_sum", text)
+    total = sum(sum(r[2:]) for r in report.collect())
+    assert total == fact.filter("year(l_shipdate) = 1997").count()
+
+    keyless = lineitem.selectExpr("if(l_orderkey < 0, l_partkey, null) as id", "l_orderkey as other")
+    joined = counts._left_join_spreading_nulls(
+        keyless, part.named("key", "label"), "id", "key", "other"
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(sizes) == 8 and max(r[1] for r in sizes) < lineitem.count() / 4
+
+
 def test_years_are_rebalanced_before_they_are_written(lineitem):
     text = physical(loads._by_year(lineitem.select("l_orderkey", "l_shipdate"), "l_shipdate"))
     assert "REBALANCE_PARTITIONS_BY_COL" in text

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     IntegerType,
@@ -23,7 +23,7 @@ from tierwell.entities import Entity
 from tierwell.functions import records, times
 from tierwell.operators import counts, merge, numbering
 from tierwell.operators.counts import Dimension
-from tierwell.plans import loads
+from tierwell.plans import loads, reports
 from tierwell.session import new_shared_path, staged
 from tierwell.sources import csvs, layers
 
@@ -576,11 +576,15 @@ PART = Entity(
 TABLES = {e.name: e for e in (ITEM, SUPPLIER, PART)}
 
 
+def _item_time() -> Column:
+    return F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def _csv_sources(
     spark: SparkSession, folder: str, base: str, spoil_times: bool
 ) -> dict[str, str]:
     """Items, suppliers and parts as headerless CSV files."""
-    time = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    time = _item_time()
     if spoil_times:
         time = F.when(F.col("l_tax") == 0.08, F.lit("not a time")).otherwise(time)
     paths = {name: f"{base}/source/{name}.csv" for name in TABLES}
@@ -665,7 +669,7 @@ def _lines_of(spark: SparkSession, folder: str, base: str, returned: bool) -> st
     """The returned items, or the others, as a CSV file in order of date and supplier."""
     chosen = (F.col("l_returnflag") == "R") == returned
     path = f"{base}/source/{'returned' if returned else 'others'}.csv"
-    time = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    time = _item_time()
     table(spark, folder, "lineitem").filter(chosen).select(
         "l_orderkey", "l_linenumber", time, "l_suppkey", "l_partkey"
     ).write.csv(path)
@@ -743,3 +747,133 @@ def first_of_all_loads(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(marks, ["ID", "LINE", "DEPARTMENT_ID", "JOB_ID"], "left").select(
         "ID", "LINE", F.coalesce("returned", F.lit(False)).alias("returned")
     )
+
+
+@check(
+    """
+    SELECT DISTINCT ON (l_orderkey, l_linenumber)
+           l_orderkey AS "ID", l_linenumber AS "LINE", l_shipdate AS "DATETIME",
+           l_suppkey AS "DEPARTMENT_ID", l_partkey AS "JOB_ID"
+    FROM lineitem WHERE l_tax <> 0.08
+    ORDER BY l_orderkey, l_linenumber, l_shipdate, l_suppkey, l_partkey
+    """
+)
+def trusted_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """What enters under the default policies: of a key's rows the first in the file that is no bad
+    one. The file is in order of date, supplier and part."""
+    base = new_shared_path(spark, "layers")
+    path = f"{base}/source/items.csv"
+    time = F.when(F.col("l_tax") == 0.08, F.lit("not a time")).otherwise(_item_time())
+    table(spark, folder, "lineitem").orderBy("l_shipdate", "l_suppkey", "l_partkey").select(
+        "l_orderkey", "l_linenumber", time, "l_suppkey", "l_partkey"
+    ).write.csv(path)
+    loads.load_entity(spark, ITEM, path, base, on_error="raise")
+    rows = layers.read_layer(spark, base, layers.TRUSTED, ITEM.name, ITEM.trusted_table_schema)
+    return rows.select("ID", "LINE", "DATETIME", "DEPARTMENT_ID", "JOB_ID")
+
+
+@check(
+    """
+    SELECT CASE l_tax WHEN 0.08 THEN 'malformed' WHEN 0.07 THEN 'bad timestamp'
+           ELSE 'null key' END AS reject_reason,
+           COUNT(*) AS rows, SUM(l_suppkey)::BIGINT AS suppliers
+    FROM lineitem WHERE l_tax IN (0.06, 0.07, 0.08) GROUP BY ALL
+    """
+)
+def reject_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that a load sets aside, by reason."""
+    base = new_shared_path(spark, "layers")
+    path, tax = f"{base}/source/items.csv", F.col("l_tax")
+    table(spark, folder, "lineitem").select(
+        F.when(tax != 0.06, F.col("l_orderkey")),
+        F.when(tax == 0.08, F.lit("x")).otherwise(F.col("l_linenumber").cast("string")),
+        F.when(tax == 0.07, F.lit("not a time")).otherwise(_item_time()),
+        "l_suppkey",
+        "l_partkey",
+    ).write.csv(path)
+    loads.load_entity(spark, ITEM, path, base, on_error="raise")
+    return loads.quarantine(spark, base, ITEM).groupBy("reject_reason").agg(
+        F.count("*").alias("rows"), F.sum("DEPARTMENT_ID").alias("suppliers")
+    )
+
+
+@check(
+    """
+    SELECT entity, status, rows_read, rows_trusted, report
+    FROM (SELECT 'hired_employee' AS entity, 'OK' AS status, COUNT(*) AS rows_read,
+                 COUNT(DISTINCT (l_orderkey, l_linenumber)) AS rows_trusted FROM lineitem
+          UNION ALL VALUES ('department', 'MISSING', 0, 0), ('job', 'EMPTY', 0, 0)),
+         (SELECT CASE WHEN bool_or(year(l_shipdate) = 1900) THEN 'OK' ELSE 'EMPTY' END AS report
+          FROM lineitem)
+    """
+)
+def load_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Loads of a source with rows, of none and of an empty one; a report of a year without rows."""
+    base = new_shared_path(spark, "layers")
+    sources = _csv_sources(spark, folder, base, spoil_times=False)
+    sources["department"] = f"{base}/source/none.csv"
+    sources["job"] = f"{base}/source/blank.csv"
+    table(spark, folder, "part").filter("p_partkey is null").select("p_partkey").write.csv(
+        sources["job"]
+    )
+    outcomes = loads.run_pipeline(spark, sources, base, entities=TABLES)["outcomes"]
+    report = reports.hires_by_quarter(spark, base, year=1900, entities=TABLES)
+    return outcomes.select(
+        "entity",
+        "status",
+        "rows_read",
+        "rows_trusted",
+        F.lit(reports.report_status(report)).alias("report"),
+    )
+
+
+@check(QUARTERLY_SQL % WHOLE_YEAR)
+def raw_layer_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report over rows that were loaded but not merged."""
+    base = new_shared_path(spark, "layers")
+    for name, path in _csv_sources(spark, folder, base, spoil_times=False).items():
+        loads.write_raw(spark, TABLES[name], path, base, "a")
+    return reports.hires_by_quarter(spark, base, year=YEAR, layer="raw", entities=TABLES)
+
+
+@check(
+    f"""
+    SELECT COALESCE(c_name, 'UNKNOWN') AS "DEPARTMENT", COALESCE(r_name, 'UNKNOWN') AS "JOB",
+           {_quarters("o_orderdate")}
+    FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+    LEFT JOIN region ON r_regionkey = substr(o_orderpriority, 1, 1)::INT
+    WHERE year(o_orderdate) = 1997 GROUP BY c_name, r_name
+    """
+)
+def fixed_entities_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The three entities as they are: orders as hires, customers as departments, regions as jobs
+    (the fifth priority has none)."""
+    base = new_shared_path(spark, "layers")
+    sources = {n: f"{base}/source/{n}.csv" for n in ("hired_employee", "department", "job")}
+    table(spark, folder, "orders").select(
+        "o_orderkey",
+        "o_orderstatus",
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        "o_custkey",
+        F.substring("o_orderpriority", 1, 1),
+    ).write.csv(sources["hired_employee"])
+    table(spark, folder, "customer").select("c_custkey", "c_name").write.csv(sources["department"])
+    table(spark, folder, "region").select("r_regionkey", "r_name").write.csv(sources["job"])
+    return loads.run_pipeline(spark, sources, base, year=YEAR, on_error="raise")["hires_by_quarter"]
+
+
+@check(
+    """
+    SELECT c_nationkey AS nation, COUNT(*) AS customers FROM customer GROUP BY c_nationkey
+    """
+)
+def statement_on_views(spark: SparkSession, folder: str) -> DataFrame:
+    """A statement of one's own on the views of a layer."""
+    base = new_shared_path(spark, "layers")
+    path = f"{base}/source/customers.csv"
+    table(spark, folder, "customer").select("c_custkey", "c_nationkey").write.csv(path)
+    loads.load_entity(spark, SUPPLIER, path, base, on_error="raise")
+    (view,) = reports.create_views(spark, base, entities={"department": SUPPLIER})
+    return spark.sql(
+        f"SELECT CAST(DEPARTMENT AS BIGINT) AS nation, COUNT(*) AS customers FROM {view} GROUP BY 1"
+    )

@@ -61,6 +61,19 @@ def quarterly_counts_literal(
     return _per_quarter(rows, department, job, ts, department_id, job_id)
 
 
+def _left_join_spreading_nulls(
+    left: DataFrame, right: DataFrame, key: str, right_key: str, spread_by: str
+) -> DataFrame:
+    """The left join on ``key``; rows without one, which match nothing, are spread by another column."""
+    left = left.withColumn(
+        "_spread", F.when(F.col(key).isNull(), F.hash(spread_by)).otherwise(F.lit(0))
+    )
+    # Computed from the key, so that it stays a column to be joined on.
+    right = right.withColumn("_none", F.col(right_key).isNull().cast("int"))
+    matches = (F.col(key) == F.col(right_key)) & (F.col("_spread") == F.col("_none"))
+    return left.join(right, matches, "left")
+
+
 def _per_quarter(
     rows: DataFrame,
     department: Dimension,
@@ -72,24 +85,29 @@ def _per_quarter(
     # Counting per pair of ids before the joins leaves one narrow row per pair, quarter and task to
     # shuffle, so neither a hot id nor a hot orphan is moved row by row. A sum of counts over
     # matching dimension rows equals the count of joined rows, also where dimension ids repeat.
+    # Counted again between the joins, a hot department has one row for each job label left.
     per_ids = rows.groupBy(
         F.col(department_id).alias("_department_id"),
         F.col(job_id).alias("_job_id"),
         F.quarter(ts).alias("_quarter"),
     ).agg(F.count(F.lit(1)).alias("_rows"))
-
-    departments = department.named("_department_key", "_department")
-    jobs = job.named("_job_key", "_job")
-    labelled = per_ids.join(jobs, F.col("_job_id") == F.col("_job_key"), "left").join(
-        departments, F.col("_department_id") == F.col("_department_key"), "left"
+    with_job = _left_join_spreading_nulls(
+        per_ids, job.named("_job_key", "_job"), "_job_id", "_job_key", "_department_id"
     )
-    # Grouped by the label as stored: a label that reads UNKNOWN stays apart from a missing one.
-    per_labels = labelled.groupBy("_department", "_job").agg(
+    per_job = with_job.groupBy("_department_id", "_job").agg(
         *[
             F.sum(F.when(F.col("_quarter") == q, F.col("_rows")).otherwise(0)).alias(f"Q{q}")
             for q in QUARTERS
         ]
     )
+    labelled = _left_join_spreading_nulls(
+        per_job, department.named("_department_key", "_department"),
+        "_department_id", "_department_key", "_job",
+    )
+    # Grouped by the label as stored: a label that reads UNKNOWN stays apart from a missing one.
+    per_labels = labelled.groupBy("_department", "_job").agg(
+        *[F.sum(f"Q{q}").alias(f"Q{q}") for q in QUARTERS]
+    )
     return per_labels.select(
         label_or_default("_department").alias("DEPARTMENT"),
         label_or_default("_job").alias("JOB"),
