@@ -34,8 +34,9 @@ def weighted_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, the token ids of the text, and digests of the ids and of the decoded text."""
-    wanted = ["n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+    """doc_id, source, the token ids of the text with the bytes of the text that each spans, and digests
+    of the ids and of the decoded text."""
+    wanted = ["n_tokens", "ids", "begins", "ends", "ids_sha256", "decoded_sha256"]
     return pieces.encoded(docs, pieces.read_model(piece_model()), wanted, keep=("doc_id", "source"))
 
 

@@ -192,6 +192,34 @@ def test_pieces_span_their_bytes():
         ).encode(word)
 
 
+def library_spans(library, text):
+    """Begin and end of each piece, in bytes."""
+    return [(p.begin, p.end) for p in library.encode(text, return_type="proto").pieces]
+
+
+def test_the_query_projects_spans_as_the_library(spark, folder, rows):
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
+    expected = [
+        (r[0], hashlib.sha256(np.array(library_spans(library, r[1] or ""), "<i8").tobytes()).hexdigest()) for r in rows
+    ]
+    same(queries.op3_pieces(spark, folder), expected, ("doc_id", "spans_sha256"))
+
+
+def test_spans_under_a_character_map():
+    """A model whose normaliser changes characters and squeezes spaces: spans are of the original."""
+    import io
+
+    made = io.BytesIO()
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(["the fine office fits 1 2 half"] * 50), model_writer=made, model_type="bpe", vocab_size=40,
+        normalization_rule_name="nmt_nfkc", hard_vocab_limit=False, minloglevel=2,
+    )
+    library = sentencepiece.SentencePieceProcessor(model_proto=made.getvalue())
+    model = pieces.PieceModel(made.getvalue())
+    for text in ("the  ﬁne oﬃce", "①½  ﬁts", "  half ", ""):
+        assert model.encode(text) == (library.encode(text), library_spans(library, text))
+
+
 def test_character_map_matches_the_library():
     library = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc")
     spec = dict(pieces.fields(dict(pieces.fields(library.serialized_model_proto()))[3]))

@@ -184,15 +184,12 @@ class PieceModel:
         self.memory: dict[str, tuple] = {}
         self.latest: dict[str, tuple] = {}
 
-    def normalised(self, text: bytes) -> tuple[bytes, np.ndarray | None]:
-        """The normalised bytes and the original place of each and of the end. None as places
-        stands for the plain case: only the dummy prefix and the marks were added."""
+    def normalised(self, text: bytes) -> tuple[bytes, np.ndarray]:
+        """The normalised bytes and the original place of each and of the end."""
         mark = MARK.encode()
         mapped, places = self.map.apply(text)
         if not mapped:
             return b"", np.zeros(1, np.int64)
-        if places is None and not self.squeeze and self.escape and self.dummy:
-            return mark + mapped.replace(b" ", mark), None
         places = np.arange(len(mapped) + 1) if places is None else places
         if self.squeeze:
             raw = np.frombuffer(mapped, np.uint8)
@@ -275,13 +272,11 @@ class PieceModel:
         return ids, sizes
 
     def ids_of(self, word: str) -> list[int]:
-        try:
-            return [self.number[p] for p in self.merged(word)]
-        except KeyError:  # a character without a piece
-            return self.of_word(word)[0]
+        return self.of_word(word)[0]
 
-    def digests(self, normalised: bytes) -> list[tuple[int, str, str]]:
-        """For each word the number of its ids, their decimals joined by commas, and their text."""
+    def digests(self, normalised: bytes) -> list[tuple[int, str, str, bytes]]:
+        """For each word the number of its ids, their decimals joined by commas, their text, and the
+        number of normalised bytes of each id (32-bit integers)."""
         memory, latest = self.memory, self.latest
         if len(latest) > LATEST:
             latest.clear()
@@ -289,39 +284,33 @@ class PieceModel:
         for word in self.words.findall(normalised.decode()):
             made = get(word) or latest.get(word)
             if made is None:
-                ids = self.ids_of(word)
+                ids, sizes = self.of_word(word)
                 made = (
                     len(ids),
                     ",".join([self.decimals[k] for k in ids]),
                     "".join([self.plain[k] for k in ids])
                     if self.byte_of.keys().isdisjoint(ids)
                     else self.decoded(ids, first=False),
+                    np.array(sizes, np.int32).tobytes(),
                 )
                 if len(word) < 64:
                     (memory if len(memory) < REMEMBERED else latest)[word] = made
             out.append(made)
         return out
 
+    def projected(self, parts: list[tuple], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the pieces of ``parts``, of digests, begin and end in the original bytes."""
+        ends = np.cumsum(np.frombuffer(b"".join([p[3] for p in parts]), np.int32), dtype=np.int64)
+        places = places[np.append(0, ends)]
+        return places[:-1], places[1:]
+
     def encode(self, text: str | None) -> tuple[list[int], list[tuple[int, int]]]:
         """Ids and the span of original bytes of each."""
-        raw = (text or "").encode()
-        normalised, places = self.normalised(raw)
-        if places is None:  # each byte of the normalised text but the dummy prefix, in order
-            marks = np.frombuffer(raw, np.uint8) == 32
-            places = np.repeat(np.arange(len(raw)), np.where(marks, 3, 1))
-            places = np.concatenate((np.zeros(3, np.int64), places, [len(raw)]))
-        ids, ends = [], []
-        at = 0
-        for own, sizes in map(self.of_word, self.words.findall(normalised.decode())):
-            ids += own
-            for size in sizes:
-                at += size
-                ends.append(at)
-        spans, begin = [], 0
-        for end in ends:
-            spans.append((int(places[begin]), int(places[end])))
-            begin = end
-        return ids, spans
+        normalised, places = self.normalised((text or "").encode())
+        parts = self.digests(normalised)
+        ids = [int(k) for p in parts for k in p[1].split(",")]
+        begins, ends = self.projected(parts, places)
+        return ids, list(zip(begins.tolist(), ends.tolist(), strict=True))
 
     def decoded(self, ids: list[int], first: bool = True) -> str:
         """The text of ids: marks are spaces, but for the dummy prefix of the first piece; runs of
@@ -384,14 +373,16 @@ KINDS = {
     "decoded": "string",
     "n_tokens": "long",
     "ids_sha256": "string",
+    "spans_sha256": "string",
     "decoded_sha256": "string",
 }
 
 
 def encoded(docs: DataFrame, model: bytes, outputs: list[str], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of each row and the wanted ``outputs``, of KINDS: ids; begins and ends,
-    the byte spans in the original text; the text decoded again from the ids; digests."""
-    spans = bool({"begins", "ends"} & set(outputs))
+    the byte spans in the original text; the text decoded again from the ids; digests (of the spans:
+    begin and end of each piece in turn, as little-endian 64-bit integers)."""
+    spans = bool({"begins", "ends", "spans_sha256"} & set(outputs))
 
     def make():
         m = opened(model)
@@ -399,15 +390,19 @@ def encoded(docs: DataFrame, model: bytes, outputs: list[str], keep: tuple[str,
         def work(texts, *others):
             out = {k: list(v) for k, v in zip(keep, others, strict=True)} | {k: [] for k in outputs}
             for text in texts:
-                parts = m.digests(m.normalised((text or "").encode())[0])
+                normalised, places = m.normalised((text or "").encode())
+                parts = m.digests(normalised)
                 joined = ",".join([p[1] for p in parts])
                 if "ids" in out:
                     out["ids"].append(np.fromstring(joined, np.int32, sep=",") if joined else [])
                 if spans:
-                    places = m.encode(text)[1]
-                    for k, name in enumerate(("begins", "ends")):
+                    both = m.projected(parts, places)
+                    for name, own in zip(("begins", "ends"), both, strict=True):
                         if name in out:
-                            out[name].append([s[k] for s in places])
+                            out[name].append(own)
+                    if "spans_sha256" in out:
+                        raw = np.stack(both, axis=1).astype("<i8").tobytes()
+                        out["spans_sha256"].append(hashlib.sha256(raw).hexdigest())
                 if "n_tokens" in out:
                     out["n_tokens"].append(sum([p[0] for p in parts]))
                 if "ids_sha256" in out:

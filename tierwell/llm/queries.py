@@ -40,7 +40,7 @@ def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    wanted = ["n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"]
     return pieces.encoded(documents(spark, sf_dir), pieces.read_model(piece_model()), wanted)
 
 
