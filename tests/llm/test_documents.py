@@ -371,6 +371,28 @@ def test_outliers_find_what_does_not_belong(spark):
     assert sum(made[k].kept for k in range(20, 400)) >= 379
 
 
+def test_outliers_of_small_groups(spark):
+    """Groups and languages with few documents are judged by larger ones."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(240):
+        words = ["w%d" % x for x in rng.integers(0, 5000, int(rng.integers(80, 300)))]
+        if k % 40 == 0:
+            words = [w + "###$$$" for w in words]
+        lang = "en" if k < 200 else None if k < 230 else f"l{k}"
+        rows.append((k, " ".join(words), lang, None if k % 12 == 0 else f"s{k % 12}"))
+    schema = "doc_id long, text string, lang string, source string"
+    made = outliers.judged(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.doc_id, r.lang, r.source) for r in made if r.source and r.lang) == sorted(
+        (k, lang, source) for k, _, lang, source in rows if source and lang
+    )
+    assert len(made) == 240 and all(r.distance is not None for r in made)
+    assert not any(r.kept for r in made if r.doc_id % 40 == 0)
+    assert sum(r.kept for r in made) >= 230
+    alone = outliers.judged(spark.createDataFrame(rows[1:2], schema)).collect()
+    assert [(r.kept, r.distance < 1) for r in alone] == [(True, True)]
+
+
 def test_mahalanobis_distance_and_estimate(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(200, 5)) @ rng.normal(size=(5, 5))

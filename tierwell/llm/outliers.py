@@ -12,9 +12,11 @@ All state between the steps is one row a group (means and a Cholesky factor). Th
 smallest distance are found by exact counts of distances in fixed bins (a sixteenth of a doubling),
 which are aggregated before the shuffle; a hot group costs as many rows as others.
 
-`FLOOR` is added to the variances: a difference of that size is never an outlier on its own, which
-also keeps the covariance of constant statistics from vanishing. Groups below `LEAST` documents
-have no estimate; the fixed rules alone decide there.
+`FLOOR` is added to the variances, which keeps the covariance of constant statistics from vanishing.
+In a group without any spread a single statistic may so differ by sqrt(`CUT`) = 6.8 times its
+`FLOOR` before its document is rejected, more where the group itself is spread. Groups below
+`LEAST` documents are judged by the estimate of all documents of their language, languages below
+`LEAST` by that of all documents; every document has a distance.
 
 Cases: a null text has no words and fails the base rule. Null languages and sources form groups.
 Repeated rows are repeated in the result. An empty table gives an empty result. Other columns
@@ -136,7 +138,7 @@ def estimate(rows: DataFrame, scale: float) -> DataFrame:
 
 
 def with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """``rows`` with the squared Mahalanobis distance d2 (null without an estimate)."""
+    """``rows`` with the squared Mahalanobis distance d2 (null without an estimate of their group)."""
     found = rows.join(
         estimates,
         F.col("lang").eqNullSafe(F.col("g1")) & F.col("source").eqNullSafe(F.col("g2")),
@@ -171,16 +173,48 @@ def nearest(rows: DataFrame, share: float) -> DataFrame:
     ).where("bin <= last").select(*rows.columns)
 
 
-def estimates(rows: DataFrame, share: float = SHARE, steps: int = STEPS, least: int = LEAST) -> DataFrame:
-    """The estimate of each group with at least ``least`` rows; ``rows`` has lang, source, base_failed
-    and the vector."""
-    size = rows.groupBy(F.col("lang").alias("n1"), F.col("source").alias("n2")).agg(
+def levels(rows: DataFrame, least: int = LEAST) -> DataFrame:
+    """For each group (n1, n2) whose documents judge it: its own (level 0), its language's (1), all (2)."""
+    sizes = rows.groupBy(F.col("lang").alias("n1"), F.col("source").alias("n2")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    large = stable(size.where(F.col("n") >= least).drop("n"))
-    rows = rows.join(
-        large, F.col("lang").eqNullSafe(F.col("n1")) & F.col("source").eqNullSafe(F.col("n2"))
+    of_lang = F.sum("n").over(Window.partitionBy("n1"))
+    sizes = sizes.withColumn("of_lang", of_lang)
+    level = F.when(F.col("n") >= least, 0).when(F.col("of_lang") >= least, 1).otherwise(2)
+    return stable(sizes.select("n1", "n2", level.alias("level")))
+
+
+def keyed(rows: DataFrame, level: Column) -> DataFrame:
+    """``rows`` with the group of that level as lang and source."""
+    return rows.withColumns(
+        {
+            "lang": F.struct(level.alias("level"), F.when(level < 2, F.col("lang")).alias("lang")),
+            "source": F.when(level < 1, F.col("source")),
+        }
+    )
+
+
+def with_level(rows: DataFrame, found: DataFrame) -> DataFrame:
+    return rows.join(
+        found, F.col("lang").eqNullSafe(F.col("n1")) & F.col("source").eqNullSafe(F.col("n2"))
     ).drop("n1", "n2")
+
+
+def pooled(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of each group that has an estimate, keyed; those of a language or of all only if a
+    small group needs them."""
+    rows = rows.select("lang", "source", "base_failed", *NAMES)
+    pool = keyed(with_level(rows, found).where("level = 0").drop("level"), F.lit(0))
+    tails = found.where("level = 1").select("n1").distinct()
+    inside = rows.join(tails, F.col("lang").eqNullSafe(F.col("n1")), "left_semi")
+    pool = pool.union(keyed(inside, F.lit(1)))
+    if not found.where("level = 2").isEmpty():
+        pool = pool.union(keyed(rows, F.lit(2)))
+    return stable(pool)
+
+
+def estimates(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
+    """The estimate of each group; ``rows`` has lang, source, base_failed and the vector."""
     found = None
     for start in (rows, rows.where("not base_failed")):
         now = stable(estimate(start, 1.0))
@@ -194,14 +228,16 @@ def estimates(rows: DataFrame, share: float = SHARE, steps: int = STEPS, least:
 
 
 def judged(docs: DataFrame, cut: float = CUT) -> DataFrame:
-    """The counts of each row, base_failed, distance (squared; null without an estimate), kept."""
+    """The counts of each row, base_failed, distance (squared) and kept."""
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = stable(counts(docs).withColumn("base_failed", base).withColumns(vector()))
-    made = with_distance(rows, estimates(rows))
+    found = levels(rows)
+    own = with_level(rows, found).withColumns({"own_lang": F.col("lang"), "own_source": F.col("source")})
+    made = with_distance(keyed(own, F.col("level")), estimates(pooled(rows, found)))
     return made.select(
         "doc_id",
-        "lang",
-        "source",
+        F.col("own_lang").alias("lang"),
+        F.col("own_source").alias("source"),
         "n_words",
         "word_chars",
         "n_symbols",
@@ -209,5 +245,5 @@ def judged(docs: DataFrame, cut: float = CUT) -> DataFrame:
         "n_repeat_words",
         "base_failed",
         F.col("d2").alias("distance"),
-        (~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cut)).alias("kept"),
+        (~F.col("base_failed") & (F.col("d2") <= cut)).alias("kept"),
     )
