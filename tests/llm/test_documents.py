@@ -313,6 +313,34 @@ def test_licenses(docs, rows):
     assert {r.label for r in blocks if not r.phrase} >= {"cc-by-nc-4.0", "gpl-3.0"}
 
 
+def test_licenses_match_wherever_they_stand(spark):
+    """Every window, one word apart, also of templates longer than a block."""
+    rng = np.random.default_rng(6)
+    spread = "licensed under the " + "x " * 12 + "apache license version 2 0"
+    long = " ".join(f"clause{k}" for k in range(40))
+    texts = ["y " * k + spread for k in range(33)] + ["y " * k + long + " z" for k in range(0, 90, 7)]
+    pool = " ".join(t for _, t in licenses.TEMPLATES).split() + long.split() + ["x"] * 20
+    texts += [" ".join(rng.choice(pool, int(n))) for n in rng.integers(1, 400, 30)]
+    texts += [f"{spread} {' '.join(rng.choice(pool, 40))} {long} {spread}", "", None]
+    found = licenses.templates(statements=(*licenses.TEMPLATES, ("long", long)))
+    expected, scores = set(), {}
+    for i, text in enumerate(texts):
+        words = licenses.words_of(text)
+        for t in found:
+            for start in range(max(len(words) - t.window, 0) + 1):
+                share = len(t.tokens & set(words[start : start + t.window])) / len(t.tokens)
+                if not t.phrase and share >= licenses.THRESHOLD:
+                    expected.add((i, t.label, start))
+                    scores[i] = max(share, scores.get(i, 0))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r for r in licenses.block_matches(docs, found).collect() if not r.phrase]
+    assert {(r.doc_id, r.label, k) for r in got for k in range(r.start, r.last + 1)} == expected
+    made = {r.doc_id: r for r in licenses.scanned(docs, found).collect()}
+    assert all(made[i].score == c or made[i].n_base for i, c in scores.items())
+    assert all("apache-2.0" in made[k].labels for k in range(33))
+    assert all("long" in made[k].labels.split(",") for k in range(33, 46))
+
+
 # op2
 
 

@@ -1,13 +1,14 @@
-"""License scan: a set-similarity join of text blocks with license templates, by containment.
-
-A text block is `BLOCK` consecutive words; blocks start every half block, so what spans half a
-block or less lies whole in one. A block matches a template if it has at least the threshold's
-share of the template's distinct tokens. Candidates come from a prefix filter: tokens are put in
-one global order, the rarest in the whole corpus first; a block that reaches the threshold must
-have one of the template's first |T| - ceil(t|T|) + 1 tokens. The length filter drops blocks with too
-few tokens, the positional filter those whose tokens left behind the first common one can't reach
-it, and the rest are compared in full. Phrases are templates with threshold 1 whose words, in
-addition, must stand consecutively.
+"""License scan: a set-similarity join of text windows with license templates, by containment.
+
+A window is `BLOCK` consecutive words, or twice the template's words if those are more; one starts
+at every word, so a match doesn't depend on where the text stands. A window matches a template if
+it has at least the threshold's share of the template's distinct tokens. Candidates come from a
+prefix filter: tokens are put in one global order, the rarest in the whole corpus first; a window
+that reaches the threshold must have one of the template's first |T| - ceil(t|T|) + 1 tokens.
+Windows around such tokens are taken together: the length filter drops them if they hold too few
+tokens, the positional filter if those behind the first common one can't reach the threshold. The
+rest are compared in full, with counts that run along the template's words. Phrases are templates
+with threshold 1 whose words, in addition, must stand consecutively.
 
 The templates are a parameter and few: they and their token counts go to every task; `TEMPLATES`
 bounds what is sent. Texts are never shuffled.
@@ -19,6 +20,7 @@ empty result; other columns aren't read. A token that the corpus doesn't have is
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 from math import ceil
@@ -62,14 +64,12 @@ class Template:
     def __post_init__(self):
         self.tokens = set(self.words)
         self.need = ceil(self.threshold * len(self.tokens) - 1e-9)
+        self.window = max(BLOCK, 2 * len(self.words))
 
 
 def templates(phrases=PHRASES, statements=TEMPLATES, threshold: float = THRESHOLD) -> list[Template]:
     made = [Template(label, text.encode().split(), 1.0, True) for label, text in phrases]
-    made += [Template(label, text.encode().split(), threshold, False) for label, text in statements]
-    if any(len(t.words) > BLOCK // 2 for t in made):
-        raise ValueError(f"a template may have {BLOCK // 2} words")
-    return made
+    return made + [Template(label, text.encode().split(), threshold, False) for label, text in statements]
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -98,43 +98,77 @@ class Index:
         tokens = set().union(*(t.tokens for t in found))
         self.order = {w: k for k, w in enumerate(sorted(tokens, key=lambda w: (counts.get(w, 0), w)))}
         self.templates = found
+        self.ranked = [sorted(t.tokens, key=self.order.get) for t in found]
         self.prefix = defaultdict(list)
-        for number, t in enumerate(found):
-            ranked = sorted(t.tokens, key=self.order.get)
-            for place, token in enumerate(ranked[: len(ranked) - t.need + 1]):
-                self.prefix[token].append((number, place))
-
-    def blocks(self, words: list[bytes], at: int):
-        """Starts of the blocks that hold the word at ``at``."""
-        step = BLOCK // 2
-        first = max(0, (at - BLOCK) // step + 1) * step
-        return range(first, at + 1, step)
+        for number, (t, ranked) in enumerate(zip(found, self.ranked, strict=True)):
+            for token in ranked[: len(ranked) - t.need + 1]:
+                self.prefix[token].append(number)
 
     def matches(self, words: list[bytes]):
-        """(template, start, containment): phrases at their first word, statements at their block."""
-        seen = set()
+        """(template, start, last start, containment): phrases at their first word, statements for each
+        run of windows that match."""
+        known, near = [], defaultdict(list)
         for at, token in enumerate(words):
-            for number, place in self.prefix.get(token, ()):
+            if token not in self.order:
+                continue
+            known.append((at, token))
+            for number in self.prefix.get(token, ()):
                 t = self.templates[number]
-                if t.phrase:
-                    for k, word in enumerate(t.words):
-                        start = at - k
-                        if word == token and start >= 0 and words[start : start + len(t.words)] == t.words:
-                            yield number, start, 1.0
+                if not t.phrase:
+                    near[number].append(at)
                     continue
-                for start in self.blocks(words, at):
-                    if (number, start) in seen:
-                        continue
-                    known = {w for w in words[start : start + BLOCK] if w in self.order}
-                    if len(known) < t.need:  # length; tokens in no template rank before all others
-                        continue
-                    behind = sum(self.order[w] > self.order[token] for w in known)
-                    if 1 + place + min(len(t.tokens) - place - 1, behind) < t.need:
-                        continue
-                    seen.add((number, start))
-                    common = len(known & t.tokens)
-                    if common >= t.need:
-                        yield number, start, common / len(t.tokens)
+                for k, word in enumerate(t.words):
+                    start = at - k
+                    if word == token and start >= 0 and words[start : start + len(t.words)] == t.words:
+                        yield number, start, start, 1.0
+        for number, places in near.items():
+            t, ranges = self.templates[number], []
+            end = max(len(words) - t.window, 0)
+            for at in places:
+                first, last = max(at - t.window + 1, 0), min(at, end)
+                if ranges and first <= ranges[-1][1] + 1:
+                    ranges[-1][1] = last
+                else:
+                    ranges.append([first, last])
+            for first, last in ranges:
+                inside = known[bisect_left(known, (first,)) : bisect_left(known, (last + t.window,))]
+                if self.possible(number, {w for _, w in inside}):
+                    for start, stop, common in runs(t, first, last, inside):
+                        yield number, start, stop, common / len(t.tokens)
+
+    def possible(self, number: int, held: set[bytes]) -> bool:
+        """Whether windows with the known tokens ``held`` pass the length and the positional filter."""
+        t, ranked = self.templates[number], self.ranked[number]
+        if len(held) < t.need:  # tokens in no template rank before all others
+            return False
+        place = next(k for k, w in enumerate(ranked) if w in held)
+        behind = sum(self.order[w] > self.order[ranked[place]] for w in held)
+        return 1 + min(len(ranked) - place - 1, behind) >= t.need
+
+
+def runs(t: Template, first: int, last: int, inside: list[tuple[int, bytes]]):
+    """(start, last start, most common tokens) of windows in a row that match, of those that start from
+    ``first`` to ``last``; ``inside`` are the places of tokens."""
+    changes = [(max(at - t.window + 1, first), 1, w) for at, w in inside if w in t.tokens]
+    changes = sorted(changes + [(at + 1, -1, w) for at, w in inside if w in t.tokens])
+    counts, common, run = Counter(), 0, None
+    for k, (start, by, token) in enumerate(changes):
+        if start > last:
+            break
+        counts[token] += by
+        if counts[token] == (1 if by > 0 else 0):
+            common += by
+        after = min(changes[k + 1][0], last + 1) if k + 1 < len(changes) else last + 1
+        if after == start or common < t.need:
+            continue
+        if run and run[1] == start - 1:
+            run = run[0], after - 1, max(run[2], common)
+        else:
+            if run:
+                yield run
+            run = start, after - 1, common
+    if run:
+        yield run
 
 
 def scanned(docs: DataFrame, found: list[Template] | None = None) -> DataFrame:
@@ -151,16 +185,16 @@ def scanned(docs: DataFrame, found: list[Template] | None = None) -> DataFrame:
             for text in texts:
                 words = words_of(text)
                 hits = list(index.matches(words))
-                starts = [s for k, s, _ in hits if found[k].phrase]
-                base = {found[k].label for k, _, _ in hits if found[k].phrase}
+                starts = [s for k, s, _, _ in hits if found[k].phrase]
+                base = {found[k].label for k, *_ in hits if found[k].phrase}
                 row = (
                     len(words),
                     len(starts),
                     min(starts, default=None),
                     max(starts, default=None),
                     ",".join(sorted(base)),
-                    ",".join(sorted({found[k].label for k, _, _ in hits})),
-                    max((c for _, _, c in hits), default=0.0),
+                    ",".join(sorted({found[k].label for k, *_ in hits})),
+                    max((c for *_, c in hits), default=0.0),
                 )
                 for name, value in zip(names, row, strict=True):
                     out[name].append(value)
@@ -177,16 +211,17 @@ def scanned(docs: DataFrame, found: list[Template] | None = None) -> DataFrame:
 
 
 def block_matches(docs: DataFrame, found: list[Template] | None = None) -> DataFrame:
-    """doc_id, label, phrase, start (words from 0) and containment of every match."""
+    """doc_id, label, phrase, start and last (words from 0) and containment of every match: of a statement
+    the first and last start of windows in a row that match, and the best of them."""
     found = found or templates()
     index = Index(found, token_counts(docs, found))
 
     def make():
         def work(ids, texts):
-            out = {"doc_id": [], "label": [], "phrase": [], "start": [], "containment": []}
+            out = {"doc_id": [], "label": [], "phrase": [], "start": [], "last": [], "containment": []}
             for i, text in zip(ids, texts, strict=True):
-                for k, start, share in index.matches(words_of(text)):
-                    row = (i, found[k].label, found[k].phrase, start, share)
+                for k, start, last, share in index.matches(words_of(text)):
+                    row = (i, found[k].label, found[k].phrase, start, last, share)
                     for name, value in zip(out, row, strict=True):
                         out[name].append(value)
             return out
@@ -195,6 +230,6 @@ def block_matches(docs: DataFrame, found: list[Template] | None = None) -> DataF
 
     return per_batch(
         docs.select("doc_id", "text"),
-        "doc_id long, label string, phrase boolean, start long, containment double",
+        "doc_id long, label string, phrase boolean, start long, last long, containment double",
         make,
     )
