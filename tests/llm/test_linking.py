@@ -2,6 +2,7 @@
 
 import json
 import sys
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -67,6 +68,40 @@ def test_status_level_and_record(spark):
     assert linked(spark, [], []) == {}
 
 
+def test_every_different_call_and_result_has_a_record(spark):
+    calls = [(1, "hot", "add", '{"a":%d}' % (k % 150), "b" if k % 2 else "a") for k in range(300)]
+    calls += [(1, "hot", None, None, "zz"), (1, "hot", "add", None, None), (1, "hot", "add", '{"a":-1}', None)]
+    calls += [(1, "a", "add", '{"a":1}', None), (1, "b", "add", '{"a":1}', "a"), (1, "c", "add", '{"a":1}', "hot")]
+    results = [(1, "hot", f"r{k % 90}") for k in range(200)] + [(1, "hot", None), (2, "lost", "x"), (2, "lost", "y")]
+    frames = spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS)
+    made = toolcalls.records(*frames, SCHEMAS).collect()
+    hot = [r for r in made if r.call_id == "hot"]
+    parsed = [(r, json.loads(r.record)) for r in hot]
+    assert len(hot) == 153 + 91 - 1
+    assert sorted({r.call_rank for r in hot}) == list(range(1, 154)) and {r.n_calls for r in hot} == {303}
+    assert sorted({r.result_rank for r in hot}) == list(range(1, 92)) and {r.n_results for r in hot} == {201}
+    first = [(r, p) for r, p in parsed if r.result_rank == 1]
+    assert sum(r.call_rows for r, _ in first) == 303 and {p["result"] for _, p in first} == {"r0"}
+    assert {(p["arguments"] or {}).get("a") for _, p in first} == {*range(150), -1, None}
+    assert {p["result"] for _, p in parsed} == {None, *(f"r{k}" for k in range(90))}
+    assert Counter(r.status for r, _ in first) == {"ok": 150, "invalid": 3}
+    levels = {(p["after"], r.level) for r, p in first}
+    assert levels == {("a", 1), ("b", 2), ("zz", 0), (None, 0)}
+    assert {(r.call_id, r.level) for r in made if r.call_id in "abc"} == {("a", 0), ("b", 1), ("c", 3)}
+    assert {json.loads(r.record)["result"] for r in made if r.call_id == "lost"} == {"x", "y"}
+    one = toolcalls.linked(*frames, SCHEMAS).where("call_id = 'hot'").collect()
+    assert [(r.status, r.n_calls) for r in one] == [("invalid", 303)]
+
+
+def test_the_query_keeps_differing_turns(spark, tmp_path):
+    turns = [(1, 0, "user", t) for t in ("b", "a", None)] + [(1, 1, "assistant", t) for t in ("x", "y")]
+    schema = "conv_id long, turn int, role string, text string"
+    spark.createDataFrame(turns, schema).write.parquet(f"{tmp_path}/conversations.parquet")
+    made = [json.loads(r.record) for r in queries.op4_toolcalls(spark, str(tmp_path)).collect()]
+    assert {(p["arguments"].get("prompt"), p["status"]) for p in made} == {("a", "ok"), ("b", "ok"), (None, "invalid")}
+    assert {p["result"] for p in made} == {"x", "y"} and len(made) == 4
+
+
 def test_levels_of_a_long_chain(spark):
     n = 300
     calls = [(1, str(k), "add", '{"a":1}', str(k - 1)) for k in range(n)]

@@ -46,9 +46,10 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toolcalls(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    return toolcalls.linked(
+    made = toolcalls.records(
         toolcalls.calls_of(turns), toolcalls.results_of(turns), {"ask": toolcalls.ASK}
     )
+    return made.drop("call_rank", "call_rows", "result_rank", "result_rows")
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

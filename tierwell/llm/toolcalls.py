@@ -2,11 +2,16 @@
 against schemas and written as canonical JSON.
 
 A call has conv_id, call_id, name, arguments (JSON text) and after (the call_id it waits for, or
-null); a result has conv_id, call_id and content. Repeated calls and results of one identifier are
-merged before the join (the smallest of differing ones counts, their number is kept), so a hot
-identifier costs one row a task. A call's level is the number of calls it waits for in turn, found
-by pointer doubling: rounds grow with the logarithm of the longest chain, and no conversation is
-gathered in one place. Order by (level, call_id) is topological.
+null); a result has conv_id, call_id and content. Exact repeats are one row with a count. Of the
+differing calls and of the differing results of an identifier each has a rank: the smallest 1, nulls
+last, the others in order of a hash. All of them have records: each call with the identifier's first
+result, and each further result with its first call. So a hot identifier costs as many rows as
+it has different calls and results, and those are ranked and joined in `SALTS` parts.
+
+A call's level is the number of calls it waits for in turn, the longest way where an identifier's
+calls wait for different ones, found by doubling the length of the ways: rounds grow with the
+logarithm of the longest chain, and no conversation is gathered in one place. Order by (level,
+call_id) is topological.
 
 status: ok; no_result; invalid (arguments that aren't an object of the schema, or a name without
 one); cycle (the call waits for itself; level null); orphan (a result without a call). A call that
@@ -21,11 +26,14 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierwell.llm.common import per_batch, stable
 
+SALTS = 64
+ID = ["conv_id", "call_id"]
+
 KINDS = {
     "string": lambda v: isinstance(v, str),
     "integer": lambda v: isinstance(v, int) and not isinstance(v, bool),
@@ -63,54 +71,93 @@ def valid(arguments, schema: dict | None) -> bool:
     return True
 
 
+def ranked(rows: DataFrame, fields: list[str], prefix: str) -> DataFrame:
+    """Each different row of an identifier once: ID, ``fields``, salt, and with the prefix rows (how
+    often it is there), rank and n_...s (rows of the identifier)."""
+    order = F.struct(*[c for f in fields for c in (F.col(f).isNull().alias(f"no_{f}"), F.col(f))])
+    found = rows.where("conv_id is not null and call_id is not null").groupBy(*ID, *fields).agg(
+        F.count(F.lit(1)).alias(f"{prefix}_rows")
+    )
+    found = stable(found.withColumn("salt", F.pmod(F.xxhash64(*fields), F.lit(SALTS)).cast("int")))
+    parts = found.groupBy(*ID, "salt").agg(
+        F.count(F.lit(1)).alias("size"), F.sum(f"{prefix}_rows").alias("there"), F.min(order).alias("least")
+    )
+    own = Window.partitionBy(*ID)
+    parts = parts.withColumns(
+        {"behind": ~F.col("least").eqNullSafe(F.min("least").over(own)), f"n_{prefix}s": F.sum("there").over(own)}
+    )
+    before = F.sum("size").over(own.orderBy("behind", "salt")) - F.col("size")
+    parts = parts.withColumn("before", before).select(*ID, "salt", "before", f"n_{prefix}s")
+    place = F.row_number().over(Window.partitionBy(*ID, "salt").orderBy(order))
+    made = found.join(parts, [*ID, "salt"]).withColumn(f"{prefix}_rank", F.col("before") + place)
+    return stable(made.drop("before"))
+
+
 def levels(calls: DataFrame) -> DataFrame:
-    """``calls`` (conv_id, call_id, after, ...) with level; null on cycles and behind them."""
-    ids = calls.select(F.col("conv_id").alias("c"), F.col("call_id").alias("known"))
+    """``calls`` (of ranked) with level; null on cycles and behind them."""
+    waits = stable(calls.select(*ID, "salt", "after").distinct())
+    depth = stable(waits.select(*ID).distinct().withColumn("level", F.lit(0).cast("long")))
+
+    def target(name: str) -> DataFrame:
+        return depth.select(F.col("conv_id").alias("c"), F.col("call_id").alias("k"), F.col("level").alias(name))
+
+    now = waits.select(*ID, "after").distinct()
     now = stable(
-        calls.join(ids, (F.col("conv_id") == F.col("c")) & (F.col("after") == F.col("known")), "left")
-        .select("conv_id", "call_id", F.col("known").alias("next"))
-        .withColumn("level", F.when(F.col("next").isNull(), 0).otherwise(1).cast("long"))
+        now.join(target("more"), (F.col("conv_id") == F.col("c")) & (F.col("after") == F.col("k")))
+        .select(*ID, F.col("after").alias("next"))
     )
-    longest, total = 1, now.count()
-    while longest <= total and not now.where("next is not null").isEmpty():
-        step = now.select(
-            F.col("conv_id").alias("c"),
-            F.col("call_id").alias("k"),
-            F.col("next").alias("further"),
-            F.col("level").alias("more"),
-        )
-        now = stable(
-            now.join(step, (F.col("conv_id") == F.col("c")) & (F.col("next") == F.col("k")), "left").select(
-                "conv_id",
-                "call_id",
-                F.col("further").alias("next"),
-                (F.col("level") + F.coalesce("more", F.lit(0))).alias("level"),
-            )
-        )
+    longest, total = 1, depth.count()
+    while longest <= total and not now.isEmpty():  # `now`: where ways of just `longest` steps lead
+        at_next = (F.col("conv_id") == F.col("c")) & (F.col("next") == F.col("k"))
+        more = now.join(target("more"), at_next).groupBy(*ID).agg((F.max("more") + longest).alias("more"))
+        step = now.select(F.col("conv_id").alias("c"), F.col("call_id").alias("k"), F.col("next").alias("further"))
+        depth = stable(depth.join(more, ID, "left").select(*ID, F.greatest("level", "more").alias("level")))
+        now = stable(now.join(step, at_next).select(*ID, F.col("further").alias("next")).distinct())
         longest *= 2
-    found = now.select(
-        F.col("conv_id").alias("c"),
-        F.col("call_id").alias("k"),
-        F.when(F.col("next").isNull(), F.col("level")).alias("level"),
+    endless = now.select(*ID).distinct().withColumn("endless", F.lit(True))
+    depth = depth.join(endless, ID, "left").select(*ID, F.when(F.col("endless").isNull(), F.col("level")).alias("level"))
+    found = waits.join(
+        target("more"), (F.col("conv_id") == F.col("c")) & (F.col("after") == F.col("k")), "left"
+    ).select(
+        F.col("conv_id").alias("c1"),
+        F.col("call_id").alias("k1"),
+        F.col("salt").alias("s1"),
+        F.col("after").alias("a1"),
+        F.when(F.col("k").isNull(), 0).otherwise(F.col("more") + 1).cast("long").alias("level"),
     )
-    return calls.join(found, (F.col("conv_id") == F.col("c")) & (F.col("call_id") == F.col("k"))).drop("c", "k")
+    same = (F.col("conv_id") == F.col("c1")) & (F.col("call_id") == F.col("k1")) & (F.col("salt") == F.col("s1"))
+    return calls.join(found, same & F.col("after").eqNullSafe(F.col("a1"))).drop("c1", "k1", "s1", "a1")
+
+
+def beside(further: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``further`` rows with the one row of their identifier in ``firsts``, which goes to each salt."""
+    parts = further.select(*ID, "salt").distinct().join(firsts.drop("salt"), ID, "left")
+    return further.join(parts, [*ID, "salt"])
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """conv_id, call_id, level, status, n_calls, n_results and the canonical record of each id."""
-    named = "conv_id is not null and call_id is not null"
-    calls = calls.where(named).groupBy("conv_id", "call_id").agg(
-        F.min(F.struct("name", "arguments", "after")).alias("call"),
-        F.count(F.lit(1)).alias("n_calls"),
-    )
-    calls = stable(calls.select("conv_id", "call_id", "n_calls", "call.*"))
-    results = results.where(named).groupBy("conv_id", "call_id").agg(
-        F.min("content").alias("content"), F.count(F.lit(1)).alias("n_results")
+    """conv_id, call_id, level, status, n_calls, n_results and the canonical record of each identifier's
+    first call and first result; `records` has all of them."""
+    first = "coalesce(call_rank, 1) = 1 and coalesce(result_rank, 1) = 1"
+    made = records(calls, results, schemas).where(first)
+    return made.drop("call_rank", "call_rows", "result_rank", "result_rows")
+
+
+def records(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+    """conv_id, call_id, level, status, n_calls, n_results (rows of the identifier) and the canonical
+    record of each different call and result; rank and rows of both."""
+    calls = stable(levels(ranked(calls, ["name", "arguments", "after"], "call")))
+    results = ranked(results, ["content"], "result")
+    first_calls, first_results = calls.where("call_rank = 1"), results.where("result_rank = 1")
+    both = (
+        first_calls.drop("salt").join(first_results.drop("salt"), ID, "full")
+        .unionByName(beside(calls.where("call_rank > 1"), first_results).drop("salt"))
+        .unionByName(beside(results.where("result_rank > 1"), first_calls).drop("salt"))
     )
-    both = levels(calls).join(results, ["conv_id", "call_id"], "full")
+    kept = ["call_rank", "call_rows", "result_rank", "result_rows"]
 
     def make():
-        def work(conv_ids, call_ids, levels_, n_calls, n_results, names, arguments, afters, contents):
+        def work(conv_ids, call_ids, levels_, n_calls, n_results, names, arguments, afters, contents, *others):
             out = {"status": [], "record": []}
             rows = zip(call_ids, levels_, n_calls, n_results, names, arguments, afters, contents, strict=True)
             for call_id, level, called, answered, name, text, after, content in rows:
@@ -130,7 +177,7 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Da
                     record |= {"name": name, "arguments": value, "after": after}
                 out["status"].append(status)
                 out["record"].append(canonical(record))
-            return out | {
+            return out | dict(zip(kept, others, strict=True)) | {
                 "conv_id": conv_ids,
                 "call_id": call_ids,
                 "level": levels_,
@@ -142,10 +189,10 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Da
 
     return per_batch(
         both.select(
-            "conv_id", "call_id", "level", "n_calls", "n_results", "name", "arguments", "after", "content"
+            "conv_id", "call_id", "level", "n_calls", "n_results", "name", "arguments", "after", "content", *kept
         ),
         "conv_id long, call_id string, level long, status string, n_calls long, n_results long, "
-        "record string",
+        "record string, call_rank long, call_rows long, result_rank long, result_rows long",
         make,
     )
 
