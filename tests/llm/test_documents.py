@@ -69,6 +69,16 @@ def test_simhash_components(docs, rows):
     assert ids == sorted({least[root] for root in roots if root in least})
 
 
+def test_near_copies_are_judged_by_their_own_text(spark):
+    """Rows without an id, and one id with different texts."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (5, b), (None, a), (None, c), (None, c), (None, c.upper()), (9, b)]
+    for files in (1, 4):
+        made = spark.createDataFrame(rows, "doc_id long, text string").repartition(files)
+        got = [(r.doc_id, (r.text or "").lower()) for r in simhash.without_near_copies(made).collect()]
+        assert sorted(got, key=repr) == sorted([(3, a), (5, b), (None, c)], key=repr)
+
+
 @pytest.mark.parametrize("shard", [8, 64, 100_000])
 def test_vantage_point_links_lose_no_pair(spark, shard):
     rng = np.random.default_rng(shard)

@@ -59,17 +59,18 @@ def simhash(text: str | None, size: int, seed: int = 42) -> int:
     return int(np.packbits(2 * counts > total, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and fingerprint (a long with the same 64 bits) of each row."""
+def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fingerprint (a long with the same 64 bits) and the long columns ``keep`` of each row."""
 
     def make():
-        def work(ids, texts):
+        def work(ids, texts, *others):
             made = np.array([simhash(text, shingle) for text in texts], np.uint64)
-            return {"doc_id": ids, "fingerprint": made.view(np.int64)}
+            return {"doc_id": ids, "fingerprint": made.view(np.int64)} | dict(zip(keep, others, strict=True))
 
         return work
 
-    return per_batch(docs.select("doc_id", "text"), "doc_id long, fingerprint long", make)
+    schema = "doc_id long, fingerprint long" + "".join(f", {k} long" for k in keep)
+    return per_batch(docs.select("doc_id", "text", *keep), schema, make)
 
 
 def distance(values: np.ndarray, pivot: np.uint64) -> np.ndarray:
@@ -279,11 +280,17 @@ def components(docs: DataFrame, shingle: int = 3, bits: int = 2, shard: int = SH
 
 
 def without_near_copies(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` that name their component: one doc_id of each group stays.
-
-    Rows without a doc_id stay. Of rows repeated under one doc_id one stays."""
-    kept = components(docs, shingle, bits).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.join(kept, "doc_id", "left_semi").select(docs.columns).union(
-        docs.where("doc_id is null")
-    )
+    """The smallest row of each group of near copies: by doc_id, nulls last, then by a hash of the row.
+
+    So of rows under one doc_id each is judged by its own text, and of exact repeats one stays."""
+    own = next(f"row_hash{k}" for k in range(len(docs.columns) + 1) if f"row_hash{k}" not in docs.columns)
+    hashed = docs.withColumn(own, F.xxhash64(*docs.columns))
+    printed = stable(fingerprints(hashed, shingle, (own,)))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", own)
+    named = stable(printed.groupBy("fingerprint").agg(F.min(row).alias("first")))
+    rooted = connected(links(named, bits, SHARD))
+    grouped = named.join(rooted, named.fingerprint == rooted.node, "left")
+    least = grouped.groupBy(F.coalesce("root", "fingerprint")).agg(F.min("first").alias("first"))
+    kept = least.select(F.col("first.doc_id").alias("i"), F.col(f"first.{own}").alias("h"))
+    same = hashed.doc_id.eqNullSafe(kept.i) & (hashed[own] == kept.h)
+    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).select(docs.columns)
