@@ -13,6 +13,7 @@ from tierwell.llm import (
     licenses,
     mixing,
     outliers,
+    packing,
     pieces,
     quality,
     simhash,
@@ -30,6 +31,13 @@ def piece_model() -> str:
     return os.fspath(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def word_tokenizer() -> str:
+    """The tokenizer of the packing query, among the public tokenizers."""
+    import public_tokenizers
+
+    return os.fspath(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = toxicity.scored(documents(spark, sf_dir), labels(spark, sf_dir))
     return made.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
@@ -86,6 +94,11 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judged(documents(spark, sf_dir))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = word_tokenizer()
+    return packing.packed(documents(spark, sf_dir), lambda: packing.words_of(path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_substrings,
         op10_outliers,
+        op13_packing,
     )
 }
 
