@@ -16,6 +16,7 @@ from tierwell.llm import (
     packing,
     pieces,
     quality,
+    runs,
     simhash,
     substrings,
     toxicity,
@@ -94,6 +95,10 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judged(documents(spark, sf_dir))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.described(documents(spark, sf_dir), runs.repeated_tail)
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = word_tokenizer()
     return packing.packed(documents(spark, sf_dir), lambda: packing.words_of(path))
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_substrings,
         op10_outliers,
+        op11_runs,
         op13_packing,
     )
 }
