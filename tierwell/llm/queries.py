@@ -16,6 +16,7 @@ from tierwell.llm import (
     packing,
     pieces,
     quality,
+    repair,
     runs,
     simhash,
     substrings,
@@ -99,6 +100,11 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.described(documents(spark, sf_dir), runs.repeated_tail)
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair.conversations_repaired(repair.damaged(turns))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = word_tokenizer()
     return packing.packed(documents(spark, sf_dir), lambda: packing.words_of(path))
@@ -118,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_substrings,
         op10_outliers,
         op11_runs,
+        op12_repair,
         op13_packing,
     )
 }
