@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -56,7 +57,7 @@ def test_pieces_hold_each_id_once(spark, folder, rows, tokenizer):
 
 def test_words_are_those_of_whole_texts(tokenizer):
     texts = ["A<|endoftext|>b <|endoftext|>", "Éa é ́x y z\x1cq\x85w", "İ ß Σας ΑΣ 12 ½ don't", " \n", None, "\x00 a\x0bb"]
-    made = packing.Words(tokenizer)(texts)
+    made = packing.Words(tokenizer)(pa.array(texts))
     assert [np.frombuffer(m, "<u4").tolist() for m in made] == [expected_ids(tokenizer, t)[:-1] for t in texts]
 
 

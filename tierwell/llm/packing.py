@@ -13,7 +13,7 @@ only powers of two fall short of the limit on tokens. Examples longer than that
 whole sequences first.
 
 Ids are the tokenizer's for the whole text. Its words end at white space, so a worker remembers the
-ids of each word between ASCII spaces and asks the tokenizer only for new ones.
+ids of the words between ASCII spaces, in lower case, and asks the tokenizer only for new ones.
 
 Sequences are numbered by task and place, which a task that runs again repeats.
 
@@ -32,18 +32,22 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tierwell.llm.common import ROWS_AT_ONCE
-
 END = 1
 #: Items that wait for a bin at most; half of them, when bins are made.
 WINDOW = 1024
-#: Words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+#: A letter and the marks that end a word: the tokenizer never joins the two.
+MARKS = r"([a-z])([.,;:!?]+\s)"
+#: Bytes of text whose words are looked up together (or a longer text).
+AT_ONCE = 4 << 20
+#: Words whose ids a worker remembers: the first ones, which are the frequent ones, and the latest.
+REMEMBERED = 800_000
+LATEST = 200_000
 #: Pieces in a batch of the result.
 PIECES = 8192
 
@@ -62,18 +66,48 @@ class Words:
 
     def __init__(self, tokenizer):
         self.encode = tokenizer.encode_batch_fast
-        self.known: dict[bytes, bytes] = {}
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode().split() for t in texts]
-        new = list({w for words in split for w in words if w not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = list({w for words in split for w in words})
-        made = self.encode([w.decode() for w in new], add_special_tokens=False)
-        for word, one in zip(new, made, strict=True):
-            self.known[word] = np.array(one.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        self.known: dict[str, bytes] = {}
+        self.latest: dict[str, bytes] = {}
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        split = words_in(texts)
+        words = split.flatten().dictionary_encode()
+        known, latest = self.known, self.latest
+        own = words.dictionary.to_pylist()
+        made = [known.get(w) or latest.get(w) for w in own]
+        new = [k for k, ids in enumerate(made) if ids is None]
+        asked = self.encode([own[k] for k in new], add_special_tokens=False)
+        for k, one in zip(new, asked, strict=True):
+            made[k] = np.array(one.ids, "<u4").tobytes()
+            (known if len(known) < REMEMBERED else latest)[own[k]] = made[k]
+        if len(latest) > LATEST:
+            self.latest = {}
+        # The ids of all words in a row: each word's, fetched from the row of the different words'.
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        which = words.indices.to_numpy(zero_copy_only=False)
+        lengths = sizes[which]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        from_ = (np.cumsum(sizes) - sizes)[which] - ends[:-1]
+        ids = np.frombuffer(b"".join(made), "<u4")[np.repeat(from_, lengths) + np.arange(ends[-1])]
+        cuts = ends[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def words_in(texts: pa.Array) -> pa.ListArray:
+    """What stands between ASCII spaces, in lower case as the tokenizer takes it, the marks behind a
+    letter apart; texts that may hold the name of a special token stay as they are."""
+    texts = pc.fill_null(texts, "")
+    lowered = pc.replace_substring_regex(pc.ascii_lower(texts), MARKS, r"\1 \2")
+    return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, lowered))
+
+
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch by `AT_ONCE` bytes of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0)
+    number = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64) // AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for start, stop in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(start, stop - start)
 
 
 @lru_cache(maxsize=2)
@@ -199,7 +233,7 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 def packed(
     docs: DataFrame,
-    ids_of: Callable[[], Callable[[list[str | None]], list[bytes]]],
+    ids_of: Callable[[], Callable[[pa.Array], list[bytes]]],
     limits: Limits = Limits(),
     prompt: str | None = None,
     end: int = END,
@@ -221,11 +255,10 @@ def packed(
 
         def examples():
             for batch in batches:
-                for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                    part = batch.slice(at, ROWS_AT_ONCE)
-                    owners, texts, *prompts = (c.to_pylist() for c in part.columns)
+                for part in parts(batch):
+                    owners, texts, *prompts = part.columns
                     asked = encode(prompts[0]) if prompts else [b""] * len(texts)
-                    for owner, first, rest in zip(owners, asked, encode(texts), strict=True):
+                    for owner, first, rest in zip(owners.to_pylist(), asked, encode(texts), strict=True):
                         ids = first + rest + last
                         yield Item(owner, ids, len(ids) // 4, len(first) // 4)
 
