@@ -1,0 +1,85 @@
+"""Formats found from the data, value by value and by all values together."""
+
+from datetime import datetime
+
+import pytest
+
+from tierwell.functions import formats
+
+
+def column(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "t string")
+
+
+def read(spark, values):
+    df = column(spark, values)
+    made = df.select(formats.read_detected("t", formats.detect(df, "t")).alias("t"))
+    return [r.t for r in made.collect()]
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("2021-07-27T16:02:08Z", datetime(2021, 7, 27, 16, 2, 8)),
+        ("2021-07-27", datetime(2021, 7, 27)),
+        (" 7/27/2021 ".strip(), datetime(2021, 7, 27)),
+        ("07/27/2021 16:02", datetime(2021, 7, 27, 16, 2)),
+        ("07/27/2021T16:02:08.25", datetime(2021, 7, 27, 16, 2, 8, 250000)),
+        ("27.07.2021", datetime(2021, 7, 27)),
+        ("27-Jul-2021", datetime(2021, 7, 27)),
+        ("27 July 2021 16:02:08", datetime(2021, 7, 27, 16, 2, 8)),
+        ("Tue, 27 Jul 2021 16:02:08 +0200", datetime(2021, 7, 27, 16, 2, 8)),
+        ("1627344000", datetime(2021, 7, 27)),
+        ("1627344000250", datetime(2021, 7, 27, 0, 0, 0, 250000)),
+        ("1627344000000250", datetime(2021, 7, 27, 0, 0, 0, 250)),
+        ("1627344000000250999", None),
+        ("162734400000025099", datetime(1975, 2, 27, 12, 0, 0, 25)),
+        ("-86400", datetime(1969, 12, 31)),
+        ("31/02/2021", None),
+        ("13/13/2021", None),
+        ("7/27-2021", None),
+        ("27-Foo-2021", None),
+        ("27-anf-2021", None),
+        ("", None),
+        ("soon", None),
+        (None, None),
+    ],
+)
+def test_shapes(spark, text, expected):
+    assert read(spark, [text]) == [expected]
+
+
+def test_one_value_decides_the_order_of_all(spark):
+    assert read(spark, ["01/02/2021", "13/02/2021"])[0] == datetime(2021, 2, 1)
+    assert read(spark, ["01/02/2021", "02/13/2021"])[0] == datetime(2021, 1, 2)
+    # Separators are decided apart.
+    assert read(spark, ["01/02/2021", "02/13/2021", "01.02.2021", "13.02.2021"])[2] == datetime(2021, 2, 1)
+
+
+@pytest.mark.parametrize(
+    ("values", "status"),
+    [
+        (["01/02/2021"], "AMBIGUOUS"),
+        (["03/03/2021"], "OK"),
+        (["13/02/2021", "02/13/2021"], "CONFLICTING"),
+        (["13/02/2021", "01.02.2021"], "AMBIGUOUS"),
+        (["2021-01-02", "99/99/2021", None], "OK"),
+        ([], "OK"),
+    ],
+)
+def test_status(spark, values, status):
+    assert formats.detect(column(spark, values), "t").status == status
+
+
+def test_evidence_adds_up(spark):
+    parts = [["01/02/2021", "05.06.2021"], ["13/02/2021"], ["1/1/2021", None, "x"]]
+    rows = [column(spark, p).agg(*formats.evidence("t", "t")).first().asDict() for p in parts]
+    whole = column(spark, sum(parts, [])).agg(*formats.evidence("t", "t")).first().asDict()
+    assert formats.added(*rows) == whole
+    assert sorted(whole) == sorted(formats.evidence_names("t"))
+
+
+def test_one_aggregate_without_python(spark):
+    df = column(spark, ["01/02/2021"]).agg(*formats.evidence("t", "t"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and plan.count("Exchange SinglePartition") == 1

@@ -1,6 +1,7 @@
 """Layered loading and yearly reports on dated facts, as PySpark DataFrame operators."""
 
-from tierwell.entities import DEPARTMENT, ENTITIES, HIRED_EMPLOYEE, JOB, Entity
+from tierwell.entities import DEPARTMENT, DETECT, ENTITIES, HIRED_EMPLOYEE, JOB, Entity
+from tierwell.functions.formats import detect, read_detected
 from tierwell.functions.records import json_records, write_json
 from tierwell.functions.times import between_dates, in_year, parse_timestamp
 from tierwell.operators.counts import (
@@ -42,6 +43,7 @@ from tierwell.sources.layers import append_in_batches, layer_path, read_layer
 
 __all__ = [
     "DEPARTMENT",
+    "DETECT",
     "Dimension",
     "ENTITIES",
     "Entity",
@@ -57,6 +59,7 @@ __all__ = [
     "create_views",
     "csv_status",
     "departments_above_mean",
+    "detect",
     "first_per_key",
     "groups_above_mean",
     "groups_above_mean_literal",
@@ -79,6 +82,7 @@ __all__ = [
     "quarterly_counts",
     "quarterly_counts_literal",
     "read_csv",
+    "read_detected",
     "read_jdbc",
     "read_layer",
     "report_status",

@@ -8,6 +8,8 @@ suppliers as departments and parts as jobs.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +21,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tierwell.entities import Entity
-from tierwell.functions import records, times
+from tierwell.entities import DETECT, Entity
+from tierwell.functions import formats, records, times
 from tierwell.operators import counts, merge, numbering
 from tierwell.operators.counts import Dimension
 from tierwell.plans import loads, reports
@@ -877,3 +879,69 @@ def statement_on_views(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(
         f"SELECT CAST(DEPARTMENT AS BIGINT) AS nation, COUNT(*) AS customers FROM {view} GROUP BY 1"
     )
+
+
+# --- formats found from the data -----------------------------------------------------------------
+
+
+@check("SELECT o_orderkey, o_orderdate AS ordered FROM orders")
+def detected_timestamps(spark: SparkSession, folder: str) -> DataFrame:
+    """All order dates in four formats; those with a day above 12 decide how the others are read."""
+    priority, date = F.col("o_orderpriority"), F.col("o_orderdate")
+    text = (
+        F.when(priority == "1-URGENT", F.date_format(date, "M/d/yyyy"))
+        .when(priority == "2-HIGH", F.date_format(date, "dd.MM.yyyy HH:mm:ss"))
+        .when(priority == "3-MEDIUM", F.unix_timestamp(date).cast("string"))
+        .when(priority == "4-NOT SPECIFIED", F.date_format(date, "EEE, dd MMM yyyy HH:mm:ss"))
+        .otherwise(F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    )
+    orders = table(spark, folder, "orders").select("o_orderkey", text.alias("text"))
+    found = formats.detect(orders, "text")
+    return orders.select("o_orderkey", formats.read_detected("text", found).alias("ordered"))
+
+
+DETECTED_ITEM = replace(ITEM, formats=(("DATETIME", DETECT),))
+
+
+@check(
+    """
+    WITH loads AS (
+        SELECT 'low' AS load_id, 'AMBIGUOUS' AS status, COUNT(*) AS rows_read, 0 AS rows_trusted
+        FROM lineitem WHERE day(l_shipdate) <= 12
+        UNION ALL
+        SELECT 'high', 'OK', COUNT(*), COUNT(DISTINCT (l_orderkey, l_linenumber))
+        FROM lineitem WHERE day(l_shipdate) > 12),
+    again AS (
+        SELECT 'low again' AS load_id, 'OK' AS status, COUNT(*) AS rows_read,
+               COUNT(DISTINCT (l_orderkey, l_linenumber)) FILTER (WHERE (l_orderkey, l_linenumber) NOT IN (
+                   SELECT (l_orderkey, l_linenumber) FROM lineitem WHERE day(l_shipdate) > 12)) AS rows_trusted
+        FROM lineitem WHERE day(l_shipdate) <= 12),
+    total AS (
+        SELECT SUM(day(first_shipped))::BIGINT AS days FROM (
+            SELECT coalesce(min(l_shipdate) FILTER (WHERE day(l_shipdate) > 12),
+                            min(l_shipdate)) AS first_shipped
+            FROM lineitem GROUP BY l_orderkey, l_linenumber))
+    SELECT load_id, status, rows_read, rows_trusted, days
+    FROM (SELECT * FROM loads UNION ALL SELECT * FROM again), total
+    """
+)
+def detected_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Items of days up to 12 alone leave the order of day and month open; after a load of the others it
+    is known, and the same file enters."""
+    base = new_shared_path(spark, "layers")
+    items = table(spark, folder, "lineitem").orderBy("l_shipdate")
+    time = F.date_format("l_shipdate", "d/M/yyyy")
+    outcomes = []
+    for load_id, of_load in (("low", "low"), ("high", "high"), ("low again", "low_again")):
+        path = f"{base}/source/{load_id.split()[0]}.csv"
+        if load_id != "low again":
+            days = F.dayofmonth("l_shipdate") <= 12
+            items.filter(days if load_id == "low" else ~days).select(
+                "l_orderkey", "l_linenumber", time, "l_suppkey", "l_partkey"
+            ).write.csv(path)
+        outcome = loads.load_entity(spark, DETECTED_ITEM, path, base, load_id=of_load, on_error="raise")
+        outcomes.append(outcome.withColumn("load_id", F.lit(load_id)))
+    rows = layers.read_layer(spark, base, layers.TRUSTED, ITEM.name, ITEM.trusted_table_schema)
+    days = rows.agg(F.sum(F.dayofmonth("DATETIME")).alias("days"))
+    made = reduce(DataFrame.unionByName, outcomes).crossJoin(F.broadcast(days))
+    return made.select("load_id", "status", "rows_read", "rows_trusted", "days")

@@ -15,13 +15,18 @@ from pyspark.sql.types import (
 )
 
 
+#: As a format: find it from the data.
+DETECT = "detect"
+
+
 @dataclass(frozen=True)
 class Entity:
     """A table loaded from a headerless CSV file.
 
     ``schema`` gives the columns by position, ``keys`` what the merge compares, ``timestamps``
     the text columns that become timestamps in the trusted layer. ``year_of`` names the timestamp
-    by whose year the trusted table is partitioned.
+    by whose year the trusted table is partitioned. ``formats`` names the format of timestamps that
+    are not ISO text: a pattern, ``epoch``, or ``DETECT`` to find it from the data.
     """
 
     name: str
@@ -29,6 +34,15 @@ class Entity:
     keys: tuple[str, ...] = ("ID",)
     timestamps: tuple[str, ...] = ()
     year_of: str | None = None
+    formats: tuple[tuple[str, str], ...] = ()
+
+    def format_of(self, name: str) -> str | None:
+        return dict(self.formats).get(name)
+
+    @property
+    def detected(self) -> list[str]:
+        """The timestamps whose format is found from the data."""
+        return [name for name in self.timestamps if self.format_of(name) == DETECT]
 
     @property
     def trusted_schema(self) -> StructType:

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tierwell.entities import DEPARTMENT, HIRED_EMPLOYEE, JOB, Entity
-from tierwell.functions.times import DEFAULT_YEAR, parse_timestamp
+from tierwell.functions.formats import Detected
+from tierwell.functions.times import DEFAULT_YEAR
 from tierwell.operators.merge import absent_rows, any_null
 from tierwell.plans.reports import departments_above_mean, hires_by_quarter
+from tierwell.sources import evidence
 from tierwell.sources.csvs import CORRUPT, read_csv
 from tierwell.sources.layers import (
     RAW,
@@ -44,14 +46,22 @@ OUTCOME = StructType(
 ARRIVAL = ("source_file", "source_offset", "arrival")
 
 
-def to_trusted(rows: DataFrame, entity: Entity) -> DataFrame:
-    """The entity's columns with their trusted types."""
-    return rows.select(
-        *[
-            parse_timestamp(f.name).alias(f.name) if f.name in entity.timestamps else F.col(f.name)
-            for f in entity.schema
-        ]
-    )
+class SourceMissing(Exception):
+    """There is nothing at the path of a load's source."""
+
+
+def to_trusted(
+    rows: DataFrame, entity: Entity, detected: Mapping[str, Detected] | None = None
+) -> DataFrame:
+    """The entity's columns with their trusted types; ``detected`` says how timestamps are read whose
+    format is found from the data."""
+
+    def trusted(name: str) -> Column:
+        if name not in entity.timestamps:
+            return F.col(name)
+        return evidence.time_of(entity, name, detected).alias(name)
+
+    return rows.select(*[trusted(f.name) for f in entity.schema])
 
 
 def _reject_reason(entity: Entity, null_keys: str, keep_malformed: bool) -> Column:
@@ -60,7 +70,7 @@ def _reject_reason(entity: Entity, null_keys: str, keep_malformed: bool) -> Colu
         reason = F.when(any_null(entity.keys), "null key").otherwise(reason)
     if not keep_malformed:
         for name in entity.timestamps:
-            bad = F.col(name).isNotNull() & parse_timestamp(name).isNull()
+            bad = F.col(name).isNotNull() & ~evidence.can_be_read(entity, name)
             reason = F.when(bad, "bad timestamp").otherwise(reason)
         reason = F.when(F.col(CORRUPT).isNotNull(), "malformed").otherwise(reason)
     return reason
@@ -85,10 +95,16 @@ def write_raw(
     """One scan of the source into a new attempt of the load, rejected rows marked in place.
 
     Returns what was seen on the way: rows and rejected rows, and the range of the accepted first
-    keys. The attempt is published when it is complete, unless the source had no rows.
+    keys, and what the values tell of formats to be found from the data. The attempt is published
+    when it is complete, unless the source had no rows.
     """
     _checked(csv_options)
-    rows = read_csv(spark, source, entity.schema, corrupt_column=CORRUPT, **csv_options)
+    try:
+        rows = read_csv(spark, source, entity.schema, corrupt_column=CORRUPT, **csv_options)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise SourceMissing(str(source)) from error
+        raise
     sequence = next_sequence(spark, base, RAW, entity.name, load_id)
     attempt, seen = uuid.uuid4().hex, Observation()
     reason = F.col("reject_reason")
@@ -107,11 +123,13 @@ def write_raw(
         F.count(reason).alias("rejected"),
         F.min(key).alias("low"),
         F.max(key).alias("high"),
+        *evidence.counted(entity, F.col(CORRUPT).isNull()),
     )
     path = attempt_path(base, RAW, entity.name, load_id, attempt)
     raw.write.option("maxRecordsPerFile", max_records or 0).parquet(path)
     facts = dict(seen.get)
     if facts["rows"]:
+        evidence.keep(spark, base, entity, load_id, attempt, facts)
         publish(spark, base, RAW, entity.name, load_id, attempt, sequence)
     return facts
 
@@ -142,7 +160,11 @@ def merge_into_trusted(
     merge replaces its own rows and inserts nothing twice. A load merged with ``whole_raw`` holds
     rows of other loads: it is refused without it, and the other way round. Two merges of one
     entity must not run at once.
+
+    Timestamps whose format is found from the data are read by the evidence of this load and those
+    before it (``whole_raw``: of all); if that leaves it open, ``UndecidedFormat`` is raised.
     """
+    detected = evidence.detected_formats(spark, base, entity, None if whole_raw else load_id)
     policy = "whole" if whole_raw else "own"
     before = published(spark, base, TRUSTED, entity.name).get(load_id)
     if before and before.policy != policy:
@@ -168,7 +190,7 @@ def merge_into_trusted(
         source_duplicates=source_duplicates,
         order_by=order_by,
     )
-    fresh = to_trusted(absent, entity)
+    fresh = to_trusted(absent, entity, detected)
     folders: tuple[str, ...] = ()
     if entity.year_of:
         fresh = _by_year(fresh, entity.year_of)
@@ -208,7 +230,9 @@ def load_entity(
     """CSV to raw to trusted. Returns the outcome, one row that is also kept in ``load_log``.
 
     The status is ``OK``, ``MISSING`` or ``EMPTY`` (no such source, or no rows in it; nothing is
-    written) or ``ERROR`` with a message, unless ``on_error='raise'``.
+    written), ``AMBIGUOUS`` or ``CONFLICTING`` with a message if the format of a timestamp is to be found
+    from the data and isn't decided by them (the raw rows are kept, none enters the trusted table), or
+    ``ERROR`` with a message, unless ``on_error='raise'``. The counts are those reached until then.
 
     The defaults are safe to repeat: give the ``load_id`` of a load that failed, and the same
     source, to run it again. Readers see its former rows until the new ones are complete.
@@ -223,8 +247,11 @@ def load_entity(
     load_id = load_id or uuid.uuid4().hex
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
         raise ValueError(f"load_id {load_id!r} names a folder: letters, digits, '_', '.', '-' only")
+    _checked(csv_options)
+    status, message = "OK", None
+    facts: Mapping = {"rows": 0, "rejected": 0}
+    files = rows_raw = inserted = 0
     try:
-        _checked(csv_options)
         facts = write_raw(
             spark,
             entity,
@@ -236,40 +263,32 @@ def load_entity(
             keep_malformed=keep_malformed,
             **csv_options,
         )
-        if not facts["rows"]:
-            return _outcome(spark, base, entity.name, load_id, "EMPTY", 0, 0, 0, 0, 0, None)
-        raw = read_layer(spark, base, RAW, entity.name, entity.raw_table_schema, load_id)
-        files, rows_raw = len(raw.inputFiles()), raw.count()
-        inserted = merge_into_trusted(
-            spark,
-            entity,
-            base,
-            load_id,
-            null_keys=null_keys,
-            source_duplicates=source_duplicates,
-            whole_raw=whole_raw,
-            facts=facts,
-        )
+        if facts["rows"]:
+            raw = read_layer(spark, base, RAW, entity.name, entity.raw_table_schema, load_id)
+            files, rows_raw = len(raw.inputFiles()), raw.count()
+            inserted = merge_into_trusted(
+                spark,
+                entity,
+                base,
+                load_id,
+                null_keys=null_keys,
+                source_duplicates=source_duplicates,
+                whole_raw=whole_raw,
+                facts=facts,
+            )
+        else:
+            status = "EMPTY"
+    except SourceMissing:
+        status = "MISSING"
+    except evidence.UndecidedFormat as undecided:
+        status, message = undecided.status, str(undecided)
     except Exception as error:
-        if isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND":
-            return _outcome(spark, base, entity.name, load_id, "MISSING", 0, 0, 0, 0, 0, None)
         if on_error == "raise" or isinstance(error, ValueError):
             raise
+        status = "ERROR"
         message = str(error).strip().splitlines()[0] if str(error).strip() else repr(error)
-        return _outcome(spark, base, entity.name, load_id, "ERROR", 0, 0, 0, 0, 0, message)
-    return _outcome(
-        spark,
-        base,
-        entity.name,
-        load_id,
-        "OK",
-        facts["rows"],
-        facts["rejected"],
-        files,
-        rows_raw,
-        inserted,
-        None,
-    )
+    counts = (facts["rows"], facts["rejected"], files, rows_raw, inserted)
+    return _outcome(spark, base, entity.name, load_id, status, *counts, message)
 
 
 def quarantine(spark: SparkSession, base: str, entity: Entity) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwell.entities import ENTITIES, Entity
-from tierwell.functions.times import DEFAULT_YEAR, parse_timestamp
+from tierwell.functions.times import DEFAULT_YEAR
 from tierwell.operators.counts import (
     Dimension,
     groups_above_mean,
@@ -16,6 +16,7 @@ from tierwell.operators.counts import (
     quarterly_counts,
     quarterly_counts_literal,
 )
+from tierwell.sources import evidence
 from tierwell.sources.layers import RAW, TRUSTED, read_layer
 
 
@@ -25,8 +26,9 @@ def _table(spark: SparkSession, base: str, layer: str, entity: Entity) -> DataFr
     rows = read_layer(spark, base, layer, entity.name, schema)
     if raw:
         rows = rows.filter(F.col("reject_reason").isNull())
+        detected = evidence.detected_formats(spark, base, entity)
         for name in entity.timestamps:
-            rows = rows.withColumn(name, parse_timestamp(name))
+            rows = rows.withColumn(name, evidence.time_of(entity, name, detected))
     return rows
 
 
