@@ -29,6 +29,7 @@ from tierwell.plans.reports import (
     hires_by_quarter,
     report_status,
 )
+from tierwell.plans.statements import create_tables, run_statement
 from tierwell.session import new_shared_path, session, shared_folder, staged
 from tierwell.sources.csvs import (
     accepted_rows,
@@ -56,6 +57,7 @@ __all__ = [
     "assign_batches",
     "batch_counts",
     "between_dates",
+    "create_tables",
     "create_views",
     "csv_status",
     "departments_above_mean",
@@ -87,6 +89,7 @@ __all__ = [
     "read_layer",
     "report_status",
     "run_pipeline",
+    "run_statement",
     "session",
     "shared_folder",
     "staged",

@@ -25,9 +25,9 @@ from tierwell.entities import DETECT, Entity
 from tierwell.functions import formats, records, times
 from tierwell.operators import counts, merge, numbering
 from tierwell.operators.counts import Dimension
-from tierwell.plans import loads, reports
+from tierwell.plans import loads, reports, statements
 from tierwell.session import new_shared_path, staged
-from tierwell.sources import csvs, layers
+from tierwell.sources import catalogue, csvs, layers
 
 YEAR = 1997
 
@@ -945,3 +945,86 @@ def detected_loads(spark: SparkSession, folder: str) -> DataFrame:
     days = rows.agg(F.sum(F.dayofmonth("DATETIME")).alias("days"))
     made = reduce(DataFrame.unionByName, outcomes).crossJoin(F.broadcast(days))
     return made.select("load_id", "status", "rows_read", "rows_trusted", "days")
+
+
+# --- statements that write, tables laid out by key -----------------------------------------------
+
+
+INSERT_ABSENT = """
+    INSERT INTO TRUSTED.DEPARTMENT (ID, DEPARTMENT)
+    SELECT r.ID, r.DEPARTMENT FROM RAW.DEPARTMENT AS r
+    WHERE r.reject_reason IS NULL
+      AND NOT EXISTS (SELECT 1 FROM TRUSTED.DEPARTMENT AS t WHERE t.ID = r.ID)
+"""
+
+
+@check(
+    """
+    SELECT step, COUNT(*) FILTER (WHERE there) AS orders,
+           COUNT(*) FILTER (WHERE there AND label = 'old') AS old,
+           coalesce(SUM(o_orderkey) FILTER (WHERE there), 0)::BIGINT AS keys
+    FROM (SELECT step, o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'old' ELSE 'new' END AS label,
+                 step = 'second' OR (step IN ('first', 'failed') AND o_orderdate < TIMESTAMP '1998-01-01') AS there
+          FROM orders, (VALUES ('first'), ('failed'), ('second')) steps(step))
+    GROUP BY step
+    """
+)
+def statement_insert(spark: SparkSession, folder: str) -> DataFrame:
+    """Older orders by a statement, then all orders: once by a statement that fails on its way, then by the
+    same statement as at first. What readers see after each."""
+    base = new_shared_path(spark, "layers")
+    entities = {"department": SUPPLIER}
+    orders = table(spark, folder, "orders")
+    old = orders.filter(F.col("o_orderdate") < F.lit(LOADED_BEFORE).cast("timestamp_ntz"))
+
+    def seen(step: str) -> DataFrame:
+        rows = layers.read_layer(spark, base, layers.TRUSTED, SUPPLIER.name, SUPPLIER.trusted_table_schema)
+        return staged(
+            rows.agg(
+                F.count("*").alias("orders"),
+                F.count_if(F.col("DEPARTMENT") == "old").alias("old"),
+                F.coalesce(F.sum("ID"), F.lit(0)).alias("keys"),
+            ).select(F.lit(step).alias("step"), "*")
+        )
+
+    def received(load_id: str, rows: DataFrame, label: str) -> None:
+        path = f"{base}/source/{load_id}.csv"
+        rows.select("o_orderkey", F.lit(label)).write.csv(path)
+        loads.write_raw(spark, SUPPLIER, path, base, load_id)
+
+    received("old", old, "old")
+    statements.run_statement(spark, base, INSERT_ABSENT, entities=entities)
+    steps = [seen("first")]
+    received("all", orders, "new")
+    # No label is a number.
+    failing = INSERT_ABSENT.replace("r.DEPARTMENT FROM", "CAST(r.DEPARTMENT || r.ID AS BIGINT) FROM")
+    try:
+        statements.run_statement(spark, base, failing, entities=entities)
+    except Exception as error:
+        if "CAST_INVALID_INPUT" in str(error):
+            steps.append(seen("failed"))
+    statements.run_statement(spark, base, INSERT_ABSENT, entities=entities)
+    steps.append(seen("second"))
+    return reduce(DataFrame.unionByName, steps)
+
+
+@check(
+    """
+    SELECT o_orderkey AS "ID",
+           CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN o_orderstatus
+                ELSE lower(o_orderstatus) END AS "DEPARTMENT"
+    FROM orders
+    """
+)
+def insert_if_absent_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads into a table laid out by key: older orders, then all of them changed; the second once more."""
+    base = new_shared_path(spark, "layers")
+    entity = replace(SUPPLIER, buckets=8)
+    target, source = _orders(spark, folder)
+    for load_id, rows in (("a", target), ("b", source), ("b", None)):
+        path = f"{base}/source/{load_id}.csv"
+        if rows is not None:
+            rows.select("o_orderkey", "o_orderstatus").write.csv(path)
+        loads.load_entity(spark, entity, path, base, load_id=load_id, on_error="raise")
+    with catalogue.registered(spark, base, layers.TRUSTED, entity) as name:
+        return staged(spark.table(name).select("ID", "DEPARTMENT"))

@@ -26,7 +26,9 @@ class Entity:
     ``schema`` gives the columns by position, ``keys`` what the merge compares, ``timestamps``
     the text columns that become timestamps in the trusted layer. ``year_of`` names the timestamp
     by whose year the trusted table is partitioned. ``formats`` names the format of timestamps that
-    are not ISO text: a pattern, ``epoch``, or ``DETECT`` to find it from the data.
+    are not ISO text: a pattern, ``epoch``, or ``DETECT`` to find it from the data. ``buckets`` lays the
+    trusted table out by hash of the key in so many files a load (and year), sorted; it must not
+    change once rows are there.
     """
 
     name: str
@@ -35,6 +37,7 @@ class Entity:
     timestamps: tuple[str, ...] = ()
     year_of: str | None = None
     formats: tuple[tuple[str, str], ...] = ()
+    buckets: int | None = None
 
     def format_of(self, name: str) -> str | None:
         return dict(self.formats).get(name)

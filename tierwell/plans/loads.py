@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Mapping
+from contextlib import ExitStack
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -16,7 +17,7 @@ from tierwell.functions.formats import Detected
 from tierwell.functions.times import DEFAULT_YEAR
 from tierwell.operators.merge import absent_rows, any_null
 from tierwell.plans.reports import departments_above_mean, hires_by_quarter
-from tierwell.sources import evidence
+from tierwell.sources import catalogue, evidence
 from tierwell.sources.csvs import CORRUPT, read_csv
 from tierwell.sources.layers import (
     RAW,
@@ -142,6 +143,44 @@ def _by_year(rows: DataFrame, ts: str) -> DataFrame:
     return rows.withColumn("event_year", F.year(ts)).hint("rebalance", "event_year")
 
 
+def write_trusted(
+    spark: SparkSession,
+    rows: DataFrame,
+    entity: Entity,
+    base: str,
+    load_id: str,
+    attempt: str,
+    table: str | None = None,
+) -> int:
+    """Write rows of the trusted schema to an attempt, in the entity's layout; returns how many.
+    ``table`` is the catalogue table of a bucketed entity, if there is one already."""
+    seen = Observation()
+    folders: tuple[str, ...] = ()
+    if entity.year_of:
+        rows = _by_year(rows, entity.year_of)
+        folders = ("event_year",)
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if not entity.buckets:
+        path = attempt_path(base, TRUSTED, entity.name, load_id, attempt)
+        rows.write.partitionBy(*folders).parquet(path)
+    elif table:
+        catalogue.insert(rows, table, load_id, attempt)
+    else:
+        with catalogue.registered(spark, base, TRUSTED, entity) as table:
+            catalogue.insert(rows, table, load_id, attempt)
+    return seen.get["rows"]
+
+
+def _merged_before(
+    spark: SparkSession, base: str, entity: Entity, without: str, table: str | None
+) -> DataFrame:
+    """The trusted rows of all loads but one: by key where the table is laid out so."""
+    if table:
+        return spark.table(table)
+    schema = entity.trusted_table_schema
+    return read_layer(spark, base, TRUSTED, entity.name, schema, without=without)
+
+
 def merge_into_trusted(
     spark: SparkSession,
     entity: Entity,
@@ -168,40 +207,38 @@ def merge_into_trusted(
     policy = "whole" if whole_raw else "own"
     before = published(spark, base, TRUSTED, entity.name).get(load_id)
     if before and before.policy != policy:
-        raise ValueError(f"load {load_id!r} was merged with whole_raw={before.policy == 'whole'}")
+        how = {"own": "whole_raw=False", "whole": "whole_raw=True"}.get(before.policy, "a statement")
+        raise ValueError(f"load {load_id!r} was merged with {how}")
     order_by = ("load_sequence", "load_id", *ARRIVAL) if whole_raw else ARRIVAL
     one = None if whole_raw else load_id
     raw = read_layer(spark, base, RAW, entity.name, entity.raw_table_schema, one)
     accepted = raw.filter(F.col("reject_reason").isNull())
     accepted = accepted.select(*entity.schema.names, *order_by)
 
-    others = read_layer(
-        spark, base, TRUSTED, entity.name, entity.trusted_table_schema, without=load_id
-    )
-    if facts and not whole_raw and len(entity.keys) == 1 and facts["low"] is not None:
-        # Row groups outside the load's key range need not be read.
-        others = others.filter(F.col(entity.keys[0]).between(facts["low"], facts["high"]))
-
-    absent = absent_rows(
-        accepted,
-        others,
-        entity.keys,
-        null_keys=null_keys,
-        source_duplicates=source_duplicates,
-        order_by=order_by,
-    )
-    fresh = to_trusted(absent, entity, detected)
-    folders: tuple[str, ...] = ()
-    if entity.year_of:
-        fresh = _by_year(fresh, entity.year_of)
-        folders = ("event_year",)
-    attempt, seen = uuid.uuid4().hex, Observation()
-    fresh = fresh.observe(seen, F.count(F.lit(1)).alias("rows"))
-    path = attempt_path(base, TRUSTED, entity.name, load_id, attempt)
-    fresh.write.partitionBy(*folders).parquet(path)
+    attempt = uuid.uuid4().hex
+    with ExitStack() as stack:
+        table = None
+        if entity.buckets:
+            table = stack.enter_context(
+                catalogue.registered(spark, base, TRUSTED, entity, hidden=load_id)
+            )
+        others = _merged_before(spark, base, entity, load_id, table)
+        if facts and not whole_raw and len(entity.keys) == 1 and facts["low"] is not None:
+            # Row groups outside the load's key range need not be read.
+            others = others.filter(F.col(entity.keys[0]).between(facts["low"], facts["high"]))
+        absent = absent_rows(
+            accepted,
+            others,
+            entity.keys,
+            null_keys=null_keys,
+            source_duplicates=source_duplicates,
+            order_by=order_by,
+        )
+        fresh = to_trusted(absent, entity, detected)
+        inserted = write_trusted(spark, fresh, entity, base, load_id, attempt, table)
     sequence = next_sequence(spark, base, TRUSTED, entity.name, load_id)
     publish(spark, base, TRUSTED, entity.name, load_id, attempt, sequence, policy)
-    return seen.get["rows"]
+    return inserted
 
 
 def _outcome(spark: SparkSession, base: str, *values) -> DataFrame:
@@ -213,6 +250,14 @@ def _outcome(spark: SparkSession, base: str, *values) -> DataFrame:
     return outcome
 
 
+def checked_load_id(load_id: str | None) -> str:
+    """The load's name, a new one if there is none."""
+    load_id = load_id or uuid.uuid4().hex
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
+        raise ValueError(f"load_id {load_id!r} names a folder: letters, digits, '_', '.', '-' only")
+    return load_id
+
+
 def load_entity(
     spark: SparkSession,
     entity: Entity,
@@ -244,9 +289,7 @@ def load_entity(
     ``max_records`` bounds the rows of a raw file, the batch of this sink; without it a split of the
     source becomes one file.
     """
-    load_id = load_id or uuid.uuid4().hex
-    if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
-        raise ValueError(f"load_id {load_id!r} names a folder: letters, digits, '_', '.', '-' only")
+    load_id = checked_load_id(load_id)
     _checked(csv_options)
     status, message = "OK", None
     facts: Mapping = {"rows": 0, "rejected": 0}
