@@ -31,6 +31,7 @@ from tierwell.plans.reports import (
 )
 from tierwell.plans.statements import create_tables, run_statement
 from tierwell.session import new_shared_path, session, shared_folder, staged
+from tierwell.sources.appends import append_resumably, read_appended
 from tierwell.sources.csvs import (
     accepted_rows,
     csv_status,
@@ -54,6 +55,7 @@ __all__ = [
     "accepted_rows",
     "append_in_batches",
     "append_jdbc",
+    "append_resumably",
     "assign_batches",
     "batch_counts",
     "between_dates",
@@ -83,6 +85,7 @@ __all__ = [
     "quarantined_rows",
     "quarterly_counts",
     "quarterly_counts_literal",
+    "read_appended",
     "read_csv",
     "read_detected",
     "read_jdbc",

@@ -27,7 +27,7 @@ from tierwell.operators import counts, merge, numbering
 from tierwell.operators.counts import Dimension
 from tierwell.plans import loads, reports, statements
 from tierwell.session import new_shared_path, staged
-from tierwell.sources import catalogue, csvs, layers
+from tierwell.sources import appends, catalogue, csvs, layers
 
 YEAR = 1997
 
@@ -197,7 +197,7 @@ def groups_above_mean_literal(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @check(
-    'SELECT AVG("HIRED") AS "MEAN_HIRED" FROM '
+    'SELECT AVG("HIRED") AS mean_of_counts FROM '
     '(SELECT COUNT(*) AS "HIRED" FROM orders GROUP BY o_custkey)'
 )
 def global_mean(spark: SparkSession, folder: str) -> DataFrame:
@@ -1028,3 +1028,63 @@ def insert_if_absent_bucketed(spark: SparkSession, folder: str) -> DataFrame:
         loads.load_entity(spark, entity, path, base, load_id=load_id, on_error="raise")
     with catalogue.registered(spark, base, layers.TRUSTED, entity) as name:
         return staged(spark.table(name).select("ID", "DEPARTMENT"))
+
+
+# --- append that goes on, reports from kept counts -----------------------------------------------
+
+
+@check(
+    """
+    SELECT o_orderkey, o_custkey, o_orderpriority,
+           CAST(ceil(n / (10 * (n // 100))) AS INT) AS ranges
+    FROM orders, (SELECT COUNT(*) AS n FROM orders)
+    """
+)
+def resumed_append(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders, of which a first run commits three ranges and stops; the next writes the others."""
+    path, orders = new_shared_path(spark, "resumed"), table(spark, folder, "orders")
+    batch = max(1, orders.count() // 100)
+    options = {"batch_rows": batch, "batches_per_commit": 10}
+    first = appends.append_resumably(orders, path, commits=3, **options)
+    rest = appends.append_resumably(orders, path, **options)
+    last = appends.append_resumably(orders, path, **options)
+    ranges = first.unionByName(rest).unionByName(last).select("first_row", "last_row").distinct()
+    rows = appends.read_appended(spark, path, orders.schema)
+    return rows.select("o_orderkey", "o_custkey", "o_orderpriority").crossJoin(
+        F.broadcast(ranges.agg(F.count("*").cast("int").alias("ranges")))
+    )
+
+
+COUNTED_ITEM = replace(ITEM, counted_by=("DEPARTMENT_ID", "JOB_ID"))
+
+
+def _counted_loads(spark: SparkSession, folder: str) -> str:
+    """Items in three loads, of which one first brought those of another, and dimensions."""
+    base = new_shared_path(spark, "layers")
+    sources = _csv_sources(spark, folder, base, spoil_times=False)
+    items = table(spark, folder, "lineitem")
+    for k in range(3):
+        items.filter(F.col("l_orderkey") % 3 == k).select(
+            "l_orderkey", "l_linenumber", _item_time(), "l_suppkey", "l_partkey"
+        ).write.csv(f"{base}/source/{k}.csv")
+    keep = {"source_duplicates": "keep", "on_error": "raise"}
+    for load_id, k in (("a", 0), ("b", 2), ("b", 1), ("c", 2)):
+        loads.load_entity(spark, COUNTED_ITEM, f"{base}/source/{k}.csv", base, load_id=load_id, **keep)
+    for entity in (SUPPLIER, PART):
+        loads.load_entity(spark, entity, sources[entity.name], base, **keep)
+    return base
+
+
+@check(QUARTERLY_SQL % WHOLE_YEAR)
+def incremental_quarterly_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The report from counts kept with three loads, one of them run again with other rows."""
+    base = _counted_loads(spark, folder)
+    entities = {**TABLES, "hired_employee": COUNTED_ITEM}
+    return reports.hires_by_quarter(spark, base, year=YEAR, entities=entities)
+
+
+@check(COMPARED_SQL % ABOVE)
+def incremental_groups_above_mean(spark: SparkSession, folder: str) -> DataFrame:
+    base = _counted_loads(spark, folder)
+    entities = {**TABLES, "hired_employee": COUNTED_ITEM}
+    return reports.departments_above_mean(spark, base, year=YEAR, entities=entities)

@@ -28,7 +28,8 @@ class Entity:
     by whose year the trusted table is partitioned. ``formats`` names the format of timestamps that
     are not ISO text: a pattern, ``epoch``, or ``DETECT`` to find it from the data. ``buckets`` lays the
     trusted table out by hash of the key in so many files a load (and year), sorted; it must not
-    change once rows are there.
+    change once rows are there. ``counted_by`` names the ids of department and job, if counts per ids are to be kept
+    with each load for the reports.
     """
 
     name: str
@@ -38,6 +39,7 @@ class Entity:
     year_of: str | None = None
     formats: tuple[tuple[str, str], ...] = ()
     buckets: int | None = None
+    counted_by: tuple[str, ...] = ()
 
     def format_of(self, name: str) -> str | None:
         return dict(self.formats).get(name)

@@ -12,6 +12,7 @@ from tierwell.functions.times import DEFAULT_YEAR, between_year_dates, in_year
 QUARTERS = (1, 2, 3, 4)
 # Fixed value: the label of ids without one.
 UNKNOWN = "UNKNOWN"
+MEAN = "mean_of_counts"
 
 
 @dataclass(frozen=True)
@@ -85,12 +86,16 @@ def _per_quarter(
     # Counting per pair of ids before the joins leaves one narrow row per pair, quarter and task to
     # shuffle, so neither a hot id nor a hot orphan is moved row by row. A sum of counts over
     # matching dimension rows equals the count of joined rows, also where dimension ids repeat.
-    # Counted again between the joins, a hot department has one row for each job label left.
     per_ids = rows.groupBy(
         F.col(department_id).alias("_department_id"),
         F.col(job_id).alias("_job_id"),
         F.quarter(ts).alias("_quarter"),
     ).agg(F.count(F.lit(1)).alias("_rows"))
+    return _per_labels(per_ids, department, job)
+
+
+def _per_labels(per_ids: DataFrame, department: Dimension, job: Dimension) -> DataFrame:
+    # Counted again between the joins, a hot department has one row for each job label left.
     with_job = _left_join_spreading_nulls(
         per_ids, job.named("_job_key", "_job"), "_job_id", "_job_key", "_department_id"
     )
@@ -115,6 +120,83 @@ def _per_quarter(
     ).orderBy("DEPARTMENT", "JOB")
 
 
+# --- counts that add up --------------------------------------------------------------------------
+
+
+def partial_counts(
+    fact: DataFrame,
+    ts: str = "DATETIME",
+    department_id: str = "DEPARTMENT_ID",
+    job_id: str = "JOB_ID",
+    row_id: str = "ID",
+) -> DataFrame:
+    """What all reports need of some rows of the fact: counts per year, quarter and pair of ids.
+
+    ``rows``, those with an id (``with_id``), and those up to the first instant of Dec 31 (``upto_literal``). Counts of
+    parts of the fact are added up by the reports, so a part is counted once, when it comes.
+    """
+    last_day = (F.month(ts) == 12) & (F.dayofmonth(ts) == 31)
+    midnight = F.col(ts) == F.date_trunc("day", ts).cast(fact.schema[ts].dataType)
+    return (
+        fact.filter(F.col(ts).isNotNull())
+        .groupBy(
+            F.year(ts).alias("year"),
+            F.quarter(ts).alias("quarter"),
+            F.col(department_id).alias("department_id"),
+            F.col(job_id).alias("job_id"),
+        )
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count(row_id).alias("with_id"),
+            F.count_if(~last_day | midnight).alias("upto_literal"),
+        )
+    )
+
+
+def quarterly_from_partials(
+    partials: DataFrame,
+    department: Dimension,
+    job: Dimension,
+    year: int = DEFAULT_YEAR,
+    literal: bool = False,
+) -> DataFrame:
+    """``quarterly_counts``, or its literal form, of the rows that the partial counts are of."""
+    per_ids = (
+        partials.filter(F.col("year") == year)
+        .groupBy(
+            F.col("department_id").alias("_department_id"),
+            F.col("job_id").alias("_job_id"),
+            F.col("quarter").alias("_quarter"),
+        )
+        .agg(F.sum("upto_literal" if literal else "rows").alias("_rows"))
+        .filter("_rows > 0")
+    )
+    return _per_labels(per_ids, department, job)
+
+
+def yearly_from_partials(
+    partials: DataFrame,
+    department: Dimension,
+    year: int = DEFAULT_YEAR,
+    include_empty_groups: bool = False,
+) -> DataFrame:
+    """``yearly_counts`` of the rows that the partial counts are of."""
+    per_id = (
+        partials.filter(F.col("year") == year)
+        .groupBy(F.col("department_id").alias("_department_id"))
+        .agg(F.sum("with_id").alias("_hired"))
+    )
+    return _counts_of_departments(per_id, department, include_empty_groups)
+
+
+def groups_above_mean_from_partials(
+    partials: DataFrame, department: Dimension, literal: bool = False, **arguments
+) -> DataFrame:
+    """``groups_above_mean``, or its literal form, of the rows that the partial counts are of."""
+    counts = yearly_from_partials(partials, department, **arguments)
+    return _compared_with_mean(counts, "left" if literal else "inner")
+
+
 def yearly_counts(
     fact: DataFrame,
     department: Dimension,
@@ -132,6 +214,12 @@ def yearly_counts(
     per_id = rows.groupBy(F.col(department_id).alias("_department_id")).agg(
         F.count(row_id).alias("_hired")
     )
+    return _counts_of_departments(per_id, department, include_empty_groups)
+
+
+def _counts_of_departments(
+    per_id: DataFrame, department: Dimension, include_empty_groups: bool
+) -> DataFrame:
     how = "left" if include_empty_groups else "inner"
     labelled = department.named("ID", "DEPARTMENT").join(
         per_id, F.col("ID") == F.col("_department_id"), how
@@ -142,13 +230,13 @@ def yearly_counts(
 
 def mean_of_counts(counts: DataFrame, count: str = "HIRED") -> DataFrame:
     """One row: the mean over all groups."""
-    return counts.agg(F.avg(count).alias("MEAN_HIRED"))
+    return counts.agg(F.avg(count).alias(MEAN))
 
 
 def _compared_with_mean(counts: DataFrame, how: str) -> DataFrame:
     # The mean is one row, so its broadcast does not grow; the counts' shuffle is run once and
     # read by both sides.
-    above = F.col("HIRED") > F.col("MEAN_HIRED")
+    above = F.col("HIRED") > F.col(MEAN)
     return (
         counts.join(F.broadcast(mean_of_counts(counts)), above, how)
         .select("ID", "DEPARTMENT", "HIRED")

@@ -51,17 +51,26 @@ def number_rows(
     )
 
 
-def number_table_rows(table: DataFrame, name: str = "row_number") -> DataFrame:
+def file_starts(table: DataFrame) -> DataFrame:
+    """For each file of a stored table the number of rows, and of those in the files before it, by
+    name. One row per file, staged, so that Spark knows its size when it chooses a join."""
+    file = F.col("_metadata.file_path").alias("_file")
+    sizes = table.select(file).groupBy("_file").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_file")) - F.col("_size")
+    return staged(sizes.select("_file", "_size", before.alias("_start")), "starts")
+
+
+def number_table_rows(
+    table: DataFrame, name: str = "row_number", starts: DataFrame | None = None
+) -> DataFrame:
     """Dense numbers 1..n for the rows of a stored Parquet table, by file and place in the file.
 
     ``table`` is as read, before any filter. No row is staged: Parquet knows each row's place, and a
-    scan without columns counts the rows per file. Those counts, one row per file, are staged, so
-    that Spark knows their size when it chooses the join. The order of files is that of their names.
+    scan without columns counts the rows per file. The order of files is that of their names. Some files of
+    a table get the numbers they have in it if ``starts`` are the ``file_starts`` of the whole.
     """
+    starts = (file_starts(table) if starts is None else starts).select("_file", "_start")
     file = F.col("_metadata.file_path").alias("_file")
-    sizes = table.select(file).groupBy("_file").agg(F.count(F.lit(1)).alias("_size"))
-    before = F.sum("_size").over(Window.orderBy("_file")) - F.col("_size")
-    starts = staged(sizes.select("_file", before.alias("_start")), "starts")
     placed = table.select("*", file, F.col("_metadata.row_index").alias("_place"))
     return (
         placed.join(starts, "_file")

@@ -16,6 +16,7 @@ from tierwell.entities import DEPARTMENT, HIRED_EMPLOYEE, JOB, Entity
 from tierwell.functions.formats import Detected
 from tierwell.functions.times import DEFAULT_YEAR
 from tierwell.operators.merge import absent_rows, any_null
+from tierwell.plans.partials import keep_partials
 from tierwell.plans.reports import departments_above_mean, hires_by_quarter
 from tierwell.sources import catalogue, evidence
 from tierwell.sources.csvs import CORRUPT, read_csv
@@ -236,6 +237,7 @@ def merge_into_trusted(
         )
         fresh = to_trusted(absent, entity, detected)
         inserted = write_trusted(spark, fresh, entity, base, load_id, attempt, table)
+    keep_partials(spark, base, entity, load_id, attempt)
     sequence = next_sequence(spark, base, TRUSTED, entity.name, load_id)
     publish(spark, base, TRUSTED, entity.name, load_id, attempt, sequence, policy)
     return inserted

@@ -12,10 +12,13 @@ from tierwell.functions.times import DEFAULT_YEAR
 from tierwell.operators.counts import (
     Dimension,
     groups_above_mean,
+    groups_above_mean_from_partials,
     groups_above_mean_literal,
     quarterly_counts,
     quarterly_counts_literal,
+    quarterly_from_partials,
 )
+from tierwell.plans.partials import read_partials
 from tierwell.sources import evidence
 from tierwell.sources.layers import RAW, TRUSTED, read_layer
 
@@ -62,15 +65,17 @@ def hires_by_quarter(
     literal: bool = False,
     entities: Mapping[str, Entity] | None = None,
 ) -> DataFrame:
-    """DEPARTMENT, JOB, Q1..Q4: hires of the year per department and job, sorted by label."""
+    """DEPARTMENT, JOB, Q1..Q4: hires of the year per department and job, sorted by label.
+
+    Of hires whose counts are kept with each load (``counted_by``) only those counts are read."""
     entities = entities or ENTITIES
+    hires = entities["hired_employee"]
+    department = Dimension(_table(spark, base, layer, entities["department"]), "ID", "DEPARTMENT")
+    job = Dimension(_table(spark, base, layer, entities["job"]), "ID", "JOB")
+    if hires.counted_by and layer.lower() == TRUSTED:
+        return quarterly_from_partials(read_partials(spark, base, hires), department, job, year, literal)
     report = quarterly_counts_literal if literal else quarterly_counts
-    return report(
-        _hires(spark, base, layer, entities["hired_employee"], year),
-        Dimension(_table(spark, base, layer, entities["department"]), "ID", "DEPARTMENT"),
-        Dimension(_table(spark, base, layer, entities["job"]), "ID", "JOB"),
-        year=year,
-    )
+    return report(_hires(spark, base, layer, hires, year), department, job, year=year)
 
 
 def departments_above_mean(
@@ -82,15 +87,18 @@ def departments_above_mean(
     include_empty_groups: bool = False,
     entities: Mapping[str, Entity] | None = None,
 ) -> DataFrame:
-    """ID, DEPARTMENT, HIRED: departments that hired more than the mean, largest first."""
+    """ID, DEPARTMENT, HIRED: departments that hired more than the mean, largest first.
+
+    Of hires whose counts are kept with each load (``counted_by``) only those counts are read."""
     entities = entities or ENTITIES
+    hires = entities["hired_employee"]
+    department = Dimension(_table(spark, base, layer, entities["department"]), "ID", "DEPARTMENT")
+    options = {"year": year, "include_empty_groups": include_empty_groups}
+    if hires.counted_by and layer.lower() == TRUSTED:
+        partials = read_partials(spark, base, hires)
+        return groups_above_mean_from_partials(partials, department, literal, **options)
     report = groups_above_mean_literal if literal else groups_above_mean
-    return report(
-        _hires(spark, base, layer, entities["hired_employee"], year),
-        Dimension(_table(spark, base, layer, entities["department"]), "ID", "DEPARTMENT"),
-        year=year,
-        include_empty_groups=include_empty_groups,
-    )
+    return report(_hires(spark, base, layer, hires, year), department, **options)
 
 
 def report_status(report: DataFrame) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tierwell.entities import ENTITIES, Entity
 from tierwell.plans.loads import checked_load_id, write_trusted
+from tierwell.plans.partials import keep_partials
 from tierwell.sources import catalogue
 from tierwell.sources.layers import (
     RAW,
@@ -18,6 +19,7 @@ from tierwell.sources.layers import (
     attempt_path,
     layer_path,
     next_sequence,
+    path_exists,
     publish,
     published,
 )
@@ -54,11 +56,6 @@ def create_tables(
     return names
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def run_statement(
     spark: SparkSession,
     base: str,
@@ -87,7 +84,7 @@ def run_statement(
     written = []
     for layer, entity in tables:
         path = attempt_path(base, layer, entity.name, load_id, attempt)
-        if not _exists(spark, path):
+        if not path_exists(spark, path):
             continue
         schema = catalogue.table_schema(entity, layer)
         reader = spark.read.schema(schema).option("basePath", layer_path(base, layer, entity.name))
@@ -96,6 +93,8 @@ def run_statement(
             # The statement can't know the folders of the years: its rows are written to them now.
             final = uuid.uuid4().hex
             write_trusted(spark, rows.select(*entity.trusted_schema.names), entity, base, load_id, final)
+        if layer == TRUSTED:
+            keep_partials(spark, base, entity, load_id, final)
         count = rows.count()
         sequence = next_sequence(spark, base, layer, entity.name, load_id)
         publish(spark, base, layer, entity.name, load_id, final, sequence, STATEMENT)

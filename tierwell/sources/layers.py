@@ -51,6 +51,11 @@ def _entries(spark: SparkSession, base: str, layer: str, table: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def published(spark: SparkSession, base: str, layer: str, table: str) -> dict[str, Attempt]:
     """The attempt of each load that counts: the last one published. One entry a load."""
     path, files = _entries(spark, base, layer, table)
@@ -126,17 +131,24 @@ def read_layer(
     return reader.parquet(*paths).select(*schema.names)
 
 
+#: What is kept beside the attempts of a layer, in folders named as theirs.
+BESIDE = {RAW: "evidence", TRUSTED: "counts"}
+
+
 def drop_unpublished(spark: SparkSession, base: str, layer: str, table: str) -> int:
-    """Delete the folders of attempts that failed or were replaced; returns how many. Not while a
-    load or a report of the table runs."""
+    """Delete the folders of attempts that failed or were replaced, and what is kept beside them; returns
+    how many attempts. Not while a load or a report of the table runs."""
     keep = {a.attempt for a in published(spark, base, layer, table).values()}
-    root = spark._jvm.org.apache.hadoop.fs.Path(layer_path(base, layer, table))
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "load_id=*/attempt=*"))
-    old = [s.getPath() for s in found or () if s.getPath().getName().split("=")[1] not in keep]
-    for path in old:
-        files.delete(path, True)
-    return len(old)
+    dropped = 0
+    for folder in (layer_path(base, layer, table), layer_path(base, BESIDE[layer.lower()], table)):
+        root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "load_id=*/attempt=*"))
+        old = [s.getPath() for s in found or () if s.getPath().getName().split("=")[1] not in keep]
+        for path in old:
+            files.delete(path, True)
+        dropped = dropped or len(old)
+    return dropped
 
 
 def append_in_batches(df: DataFrame, path: str, max_records: int | None = None) -> None:
