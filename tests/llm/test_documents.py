@@ -469,11 +469,15 @@ def test_classifiers_take_edge_cases(docs, rows, labels, spark):
     assert quality.accepted(docs, labels).columns == docs.columns
 
 
-def test_offending_sentences_are_located():
+def sample_of(spark, rows):
+    return spark.createDataFrame([(k, m, t) for k, (t, m) in enumerate(rows)], "doc_id long, mark int, text string")
+
+
+def test_offending_sentences_are_located(spark):
     clean = ["the quick fox. it runs home! all is well", "a calm day\nbirds sing. rain falls"]
     rows = [(clean[k % 2] + f" item {k}", 0) for k in range(200)]
     rows += [(clean[k % 2] + f". you utter moron. bye {k}", 1) for k in range(200)]
-    model = toxicity.fit(rows)
+    model = toxicity.fit(sample_of(spark, rows))
     text = "birds sing. you utter moron. all is well"
     worst = max(model.sentences(text), key=lambda s: s[2])
     assert text[worst[0] : worst[1]].strip() == "you utter moron"
@@ -482,6 +486,26 @@ def test_offending_sentences_are_located():
     long = "birds sing. rain falls. unheard words\n" * 20_000
     assert model.score(long) < 0.5 <= model.score(long + "you utter moron")
     assert model.score("nothing known here. " * 20_000) == model.score("") == model.score(None)
+    table = spark.createDataFrame(
+        [(1, text), (1, text), (2, None), (None, "you utter moron! Oh you utter moron"), (3, ""), (4, long + "you utter moron")],
+        "doc_id long, text string",
+    )
+    found = sorted((r.doc_id or 0, r.start, r.stop) for r in toxicity.offending(table, model).collect())
+    at = (text.index(". you") + 1, text.index(". all"))
+    assert found == [(0, 0, 15), (0, 16, 35), (1, *at), (1, *at), (4, len(long), len(long) + 15)]
+
+
+def test_training_reads_whole_texts(spark):
+    """The only word that tells the classes apart stands behind 30,000 characters."""
+    filler = "birds sing and rain falls on a calm day. " * 750
+    texts = [(k, f"{filler} item{k}. " + ("you utter moron" if k % 2 else "good bye now")) for k in range(120)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "doc_id % 2 AS toxic", "1 - doc_id % 2 AS quality")
+    for name, made in (("toxic", toxicity.scored(docs, labels)), ("quality", quality.scored(docs, labels))):
+        got = made.join(labels, "doc_id").where("held_out").collect()
+        assert len(got) > 10 and all((r.score >= 0.5) == (r[name] == 1) for r in got)
+    where = toxicity.scored(docs, labels).where("doc_id % 2 = 1").collect()
+    assert all(r.n_offending == 1 and r.worst_start > 30_000 for r in where)
 
 
 # all

@@ -8,9 +8,11 @@ with the spread of the first: repetition shows in the difference. A network of t
 logit, and a temperature, fitted on a fifth of the training rows which the network hasn't seen,
 makes it a probability.
 
-The classifier (vocabulary, vectors, network, temperature) is fitted on the driver from a bounded
-sample of the labelled training rows: at most `SAMPLE` of each label, those with the smallest
-hashes of doc_id, the first `SAMPLE_CHARS` characters of each. Scoring reads whole texts.
+The classifier is fitted on a bounded sample of the labelled training rows: at most `SAMPLE` of each
+label, those with the smallest hashes of doc_id. Their whole texts are read in tasks, which count words, add
+up word vectors and pool documents; the driver gets the words that stand there three times or
+more, a matrix of word vectors from each task, a row of numbers for each document, and no text. It fits network and
+temperature.
 
 Cases: null and empty texts are scored as documents without words. Null labels and labels without a
 document are left out; of a doc_id's repeated rows one is learned from. Without rows of both labels every score is the smoothed share of label 1
@@ -26,17 +28,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwell.llm.common import ROWS_AT_ONCE, held_out, per_batch
+from tierwell.llm.common import ROWS_AT_ONCE, held_out, per_batch, stable
 
 SAMPLE = 1500
-SAMPLE_CHARS = 20_000
 DIMENSIONS = 48
 NONZERO = 4
-VOCABULARY = 8_000
+#: A word is one of the vocabulary from so many occurrences in the sample on.
+COMMON = 3
+#: Tasks that read the sample.
+READERS = 16
 HIDDEN = 24
 REACH = 2
 
@@ -107,8 +112,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -40, 40).astype(float)))
 
 
-def trained_on(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> list[tuple[str, int]]:
-    """The bounded sample of labelled training rows: (text, label), one for each doc_id and label."""
+def trained_on(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
+    """The bounded sample of labelled training rows: doc_id, mark and whole text, one row for each doc_id
+    and label."""
     marks = labels.select(F.col("doc_id").alias("marked"), F.col(label).cast("int").alias("mark"))
     marks = marks.where("mark in (0, 1)").where(~held_out(F.col("marked"))).distinct()
     chosen = []
@@ -116,47 +122,96 @@ def trained_on(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> l
         ids = marks.where(F.col("mark") == mark).orderBy(F.xxhash64("marked"), "marked").limit(sample)
         chosen.append(ids)
     wanted = chosen[0].union(chosen[1])
-    texts = docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = texts.join(F.broadcast(wanted), F.col("doc_id") == F.col("marked"))
     rows = rows.groupBy("doc_id", "mark").agg(F.min("text").alias("text"))  # a doc_id may repeat
-    return [(r.text, r.mark) for r in sorted(rows.collect(), key=lambda r: (r.doc_id, r.text, r.mark))]
+    return stable(rows.repartition(READERS, "doc_id").sortWithinPartitions("doc_id", "mark"))
 
 
-def word_vectors(texts: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    counts = Counter(w for t in texts for w in TOKEN.findall(t))
-    common = [w for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY] if n > 2]
+def vocabulary(rows: DataFrame) -> dict[str, int]:
+    """The sample's common words and all shapes, numbered: unknown, words by frequency, shapes."""
+
+    def make():
+        def work(texts):
+            words = Counter(w for t in texts for w in TOKEN.findall(t))
+            shapes = Counter(map(shape, words))
+            both = [(words, False), (shapes, True)]
+            return {
+                "word": [w for counts, _ in both for w in counts],
+                "n": [n for counts, _ in both for n in counts.values()],
+                "is_shape": [kind for counts, kind in both for _ in counts],
+            }
+
+        return work
+
+    counts = per_batch(rows.select("text"), "word string, n long, is_shape boolean", make)
+    counts = counts.groupBy("word", "is_shape").agg(F.sum("n").alias("n"))
+    counts = counts.where(F.col("is_shape") | (F.col("n") >= COMMON))
+    found = sorted(map(tuple, counts.collect()), key=lambda r: (r[1], 0 if r[1] else -r[2], r[0]))
     words = {"<unknown>": 0}
-    for word in [*common, *sorted({shape(w) for w in counts})]:
+    for word, *_ in found:
         words.setdefault(word, len(words))
+    return words
+
+
+def word_vectors(rows: DataFrame, words: dict[str, int]) -> np.ndarray:
+    """The words' own index vectors, which keep rare ones apart, and a tenth of those of their neighbours in
+    the sample; a shape's neighbours are those before the words that have it."""
     index = np.stack([index_vector(w) for w in words])
-    vectors = index.copy()  # a word's own index vector keeps rare words apart
-    for text in texts:
-        found = TOKEN.findall(text)
-        ids = np.array([words.get(w, words.get(shape(w), 0)) for w in found], np.int64)
-        shapes = np.array([words.get(shape(w), 0) for w in found], np.int64)
-        for reach in range(1, REACH + 1):
-            if len(ids) > reach:
-                for a, b in ((ids[:-reach], ids[reach:]), (ids[reach:], ids[:-reach])):
-                    np.add.at(vectors, a, 0.1 * index[b])
-                np.add.at(vectors, shapes[reach:], 0.1 * index[ids[:-reach]])
-    return words, vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)
-
-
-def fit(rows: list[tuple[str, int]], steps: int = 400, seed: int = 7) -> Model:
-    texts, marks = [t for t, _ in rows], np.array([m for _, m in rows], np.float32)
-    base = float((marks.sum() + 1) / (len(marks) + 2))
-    if len(set(marks.tolist())) < 2:
+
+    def run(batches):
+        total, used = np.zeros_like(index, np.float64), False
+        for batch in batches:
+            for text in batch.column("text"):
+                found = TOKEN.findall(text.as_py())
+                ids = np.array([words.get(w, words.get(shape(w), 0)) for w in found], np.int64)
+                shapes = np.array([words.get(shape(w), 0) for w in found], np.int64)
+                for reach in range(1, REACH + 1):
+                    if len(ids) > reach:
+                        used = True
+                        for a, b in ((ids[:-reach], ids[reach:]), (ids[reach:], ids[:-reach])):
+                            np.add.at(total, a, index[b])
+                        np.add.at(total, shapes[reach:], index[ids[:-reach]])
+        if used:
+            yield pa.RecordBatch.from_pydict({"vectors": [total.astype(np.int32).tobytes()]})
+
+    vectors = np.zeros(index.shape, np.int64)  # sums of whole numbers, equal in any order
+    for row in rows.select("text").mapInArrow(run, "vectors binary").toLocalIterator():
+        vectors += np.frombuffer(row.vectors, np.int32).reshape(index.shape)
+    made = index + np.float32(0.1) * vectors.astype(np.float32)
+    return made / np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-6)
+
+
+def pooled_rows(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """The sample's marks and pooled documents, in order of doc_id and mark."""
+
+    def make():
+        return lambda ids, marks, texts: {
+            "doc_id": ids, "mark": marks, "pooled": [model.pooled(t).tobytes() for t in texts]
+        }
+
+    found = per_batch(rows.select("doc_id", "mark", "text"), "doc_id long, mark int, pooled binary", make).collect()
+    found.sort(key=lambda r: (r.doc_id, r.mark))
+    x = [np.frombuffer(r.pooled, np.float32) for r in found]
+    return np.array([r.mark for r in found], np.float32), np.stack(x) if x else np.empty((0, 0))
+
+
+def fit(rows: DataFrame, steps: int = 400, seed: int = 7) -> Model:
+    """The model of the sample ``rows`` (of `trained_on`)."""
+    n = {r.mark: r.n for r in rows.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).collect()}
+    base = float((n.get(1, 0) + 1) / (sum(n.values()) + 2))
+    if len(n) < 2:
         nothing = np.zeros(1, np.float32)
         return Model({}, nothing, nothing, nothing, None, 1.0, base)
-    words, vectors = word_vectors(texts)
-    model = Model(words, vectors, 0, 1, None, 1.0, base)
-    x = np.stack([model.pooled(t) for t in texts])
+    words = vocabulary(rows)
+    model = Model(words, word_vectors(rows, words), 0, 1, None, 1.0, base)
+    marks, x = pooled_rows(rows, model)
     model.middle, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-3
     z = (x - model.middle) / model.scale
     random = np.random.default_rng(seed)
-    check = random.permutation(len(rows)) % 5 == 0
+    check = random.permutation(len(marks)) % 5 == 0
     if len(set(marks[check].tolist())) < 2 or len(set(marks[~check].tolist())) < 2:
-        check = np.zeros(len(rows), bool)
+        check = np.zeros(len(marks), bool)
     weight = np.where(marks > 0, 0.5 / marks.mean(), 0.5 / (1 - marks.mean()))
     weights = [
         random.normal(0, z.shape[1] ** -0.5, (z.shape[1], HIDDEN)),

@@ -42,7 +42,8 @@ def word_tokenizer() -> str:
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = toxicity.scored(documents(spark, sf_dir), labels(spark, sf_dir))
-    return made.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return made.select("doc_id", "held_out", "score", predicted, *made.columns[3:])
 
 
 def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,10 +9,9 @@ trained from the labels of documents alone; the scores then say which sentences
 Features are words and their first `STEM` letters, so that inflected forms count together. Only those
 are kept whose share of toxic and of other documents differs by `CONTRAST` standard errors or more.
 
-The model is fitted on the driver from a bounded sample of the labelled training rows: at most
-`SAMPLE` of each label, those with the smallest hashes of doc_id, the first `SAMPLE_CHARS`
-characters of each. At most `VOCABULARY` features are kept, the most telling ones, so the model is
-bounded too. Scoring reads whole texts.
+The model is fitted on a bounded sample of the labelled training rows: at most `SAMPLE` of each label,
+those with the smallest hashes of doc_id. Their whole texts are read in tasks; the driver gets the
+telling features and their places in sentences, and no text.
 
 Cases: null and empty texts have no sentences; their score is the bias's alone. Null labels and
 labels without a document are left out; without both labels every score is the smoothed share of
@@ -34,13 +33,13 @@ from tierwell.llm.common import held_out, per_batch
 from tierwell.llm.quality import trained_on
 
 SAMPLE = 3000
-SAMPLE_CHARS = 20_000
 STEM = 4
 CONTRAST = 6.0
-VOCABULARY = 2_000
 #: A sentence from this score on is named.
 OFFENDING = 0.5
 
+SCORED = "doc_id long, score double, n_offending int, worst_start int, worst_stop int, worst_score double"
+
 SENTENCE = re.compile(r"[.!?\n]+")
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -79,15 +78,19 @@ class Model:
             at = cut.end() if cut else end
         return found
 
-    def score(self, text: str | None) -> float:
-        """The noisy-or of the sentences."""
+    def located(self, text: str | None, least: float) -> tuple[float, list[tuple[int, int, float]]]:
+        """The noisy-or of the sentences, and those that give offence."""
         if self.fixed is not None:
-            return self.fixed
-        lowered, clean = (text or "").lower(), softplus(self.bias)
+            return self.fixed, []
+        clean, found = softplus(self.bias), []
         # Texts without any weighted feature, nearly all, need no look at their sentences.
-        if not self.weights.keys().isdisjoint(features(LETTERS.findall(lowered))):
-            clean += sum(self.evidence(LETTERS.findall(s)) for s in SENTENCE.split(lowered))
-        return float(-np.expm1(-clean))
+        if not self.weights.keys().isdisjoint(features(LETTERS.findall((text or "").lower()))):
+            found = self.sentences(text)
+            clean -= sum(np.log1p(-min(score, 1 - 1e-16)) for _, _, score in found)
+        return float(-np.expm1(-clean)), [s for s in found if s[2] >= least]
+
+    def score(self, text: str | None) -> float:
+        return self.located(text, OFFENDING)[0]
 
 
 def bag(text: str) -> list[set[str]]:
@@ -96,33 +99,60 @@ def bag(text: str) -> list[set[str]]:
     return [features(words) for words in found if words]
 
 
-def telling(rows: list[tuple[str, int]], marks: np.ndarray) -> list[str]:
-    """The features that set toxic documents apart, most telling first."""
-    seen = [Counter(), Counter()]
-    for text, mark in rows:
-        seen[mark].update(set().union(*bag(text)))
-    ones, zeros = marks.sum(), len(marks) - marks.sum()
-    found = []
-    for w in seen[0].keys() | seen[1].keys():
-        share = (seen[0][w] + seen[1][w]) / len(marks)
-        error = np.sqrt(share * (1 - share) * (1 / ones + 1 / zeros))
-        z = abs(seen[1][w] / ones - seen[0][w] / zeros) / max(error, 1e-9)
-        if z >= CONTRAST:
-            found.append((-z, w))
-    return [w for _, w in sorted(found)[:VOCABULARY]]
-
-
-def fit(rows: list[tuple[str, int]], steps: int = 300) -> Model:
-    """Gradient steps on the log likelihood of the noisy-or, with a penalty on the weights."""
-    marks = np.array([m for _, m in rows], np.float64)
-    if len(set(marks.tolist())) < 2:
-        return Model(0.0, fixed=float((marks.sum() + 1) / (len(marks) + 2)))
-    words = telling(rows, marks)
-    number = {w: k for k, w in enumerate(words)}
+def telling(rows: DataFrame, ones: int, zeros: int) -> list[str]:
+    """The features that set toxic documents of the sample apart, most telling first."""
+
+    def make():
+        def work(marks, texts):
+            seen = [Counter(), Counter()]
+            for mark, text in zip(marks, texts, strict=True):
+                seen[mark].update(set().union(*bag(text)))
+            found = list(seen[0].keys() | seen[1].keys())
+            return {"word": found, "zeros": [seen[0][w] for w in found], "ones": [seen[1][w] for w in found]}
+
+        return work
+
+    counts = per_batch(rows.select("mark", "text"), "word string, zeros long, ones long", make)
+    counts = counts.groupBy("word").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
+    share = (F.col("zeros") + F.col("ones")) / (ones + zeros)
+    error = F.sqrt(share * (1 - share) * (1 / ones + 1 / zeros))
+    z = F.abs(F.col("ones") / ones - F.col("zeros") / zeros) / F.greatest(error, F.lit(1e-9))
+    found = counts.select("word", F.round(z, 9).alias("z")).where(F.col("z") >= CONTRAST)
+    return [w for _, w in sorted((-r.z, r.word) for r in found.collect())]
+
+
+def bags(rows: DataFrame, number: dict[str, int]) -> list[tuple[int, list[list[int]]]]:
+    """For each text of the sample its mark and the numbers of the telling features of each sentence."""
+
+    def make():
+        def work(ids, marks, texts):
+            found = [[sorted(number[w] for w in s if w in number) for s in bag(t)] for t in texts]
+            return {"doc_id": ids, "mark": marks, "known": [[s for s in f if s] for f in found],
+                    "n_sentences": [len(f) for f in found]}
+
+        return work
+
+    schema = "doc_id long, mark int, known array<array<int>>, n_sentences int"
+    found = per_batch(rows.select("doc_id", "mark", "text"), schema, make).collect()
+    return [
+        (r.mark, [*r.known, *[[]] * (r.n_sentences - len(r.known))])
+        for r in sorted(found, key=lambda r: (r.doc_id, r.mark))
+    ]
+
+
+def fit(rows: DataFrame, steps: int = 300) -> Model:
+    """Gradient steps on the log likelihood of the noisy-or, with a penalty on the weights, for the sample
+    ``rows`` (of `trained_on`). Its texts are read in tasks; the driver gets the telling features and
+    which of them each sentence has."""
+    n = {r.mark: r.n for r in rows.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(n) < 2:
+        return Model(0.0, fixed=float((n.get(1, 0) + 1) / (sum(n.values()) + 2)))
+    words = telling(rows, n[1], n[0])
+    found = bags(rows, {w: k for k, w in enumerate(words)})
+    marks = np.array([m for m, _ in found], np.float64)
     feature, sentence, document = [], [], []
-    for k, (text, _) in enumerate(rows):  # cut again: the bags of all texts are too many to keep
-        for s in bag(text):
-            known = [number[w] for w in s if w in number]
+    for k, (_, sentences) in enumerate(found):
+        for known in sentences:
             feature += known
             sentence += [len(document)] * len(known)
             document.append(k)
@@ -134,9 +164,9 @@ def fit(rows: list[tuple[str, int]], steps: int = 300) -> Model:
         z = bias + np.bincount(sentence, weights[feature], len(document))
         counted = z >= bias  # the others are no evidence
         excess = np.where(counted, softplus(z) - softplus(bias), 0.0)
-        clean = softplus(bias) + np.bincount(document, excess, len(rows))  # -log(no offence)
+        clean = softplus(bias) + np.bincount(document, excess, len(found))  # -log(no offence)
         pull = np.where(marks > 0, 1 / np.maximum(np.expm1(np.minimum(clean, 50)), 1e-9), -1.0)
-        each, leak = pull * weight / len(rows), 1 / (1 + np.exp(-bias))
+        each, leak = pull * weight / len(found), 1 / (1 + np.exp(-bias))
         push = np.where(counted, each[document] / (1 + np.exp(-z)), 0.0)
         of_bias = push.sum() + leak * (each.sum() - each[document][counted].sum())
         grad = np.append(np.bincount(feature, push[sentence], len(words)) - 1e-4 * weights, of_bias)
@@ -149,18 +179,32 @@ def fit(rows: list[tuple[str, int]], steps: int = 300) -> Model:
 
 
 def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Model:
-    return fit([(t[:SAMPLE_CHARS], m) for t, m in trained_on(docs, labels, label, sample)])
+    return fit(trained_on(docs, labels, label, sample))
 
 
 def scored(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> DataFrame:
-    """doc_id, held_out and score of each row."""
+    """doc_id, held_out and score of each row, how many of its sentences give offence, and place (code
+    points) and score of the worst, the first of equals; null without one."""
     model = trained(docs, labels, label, sample)
 
     def make():
-        return lambda ids, texts: {"doc_id": ids, "score": [model.score(t) for t in texts]}
+        def work(ids, texts):
+            out = {name.split()[0]: [] for name in SCORED.split(", ")} | {"doc_id": ids}
+            for text in texts:
+                score, found = model.located(text, OFFENDING)
+                worst = max(found, key=lambda s: (s[2], -s[0]), default=(None,) * 3)
+                out["score"].append(score)
+                out["n_offending"].append(len(found))
+                for name, value in zip(("worst_start", "worst_stop", "worst_score"), worst, strict=True):
+                    out[name].append(value)
+            return out
 
-    made = per_batch(docs.select("doc_id", "text"), "doc_id long, score double", make)
-    return made.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")
+        return work
+
+    made = per_batch(docs.select("doc_id", "text"), SCORED, make)
+    return made.withColumn("held_out", held_out(F.col("doc_id"))).select(
+        "doc_id", "held_out", "score", "n_offending", "worst_start", "worst_stop", "worst_score"
+    )
 
 
 def offending(docs: DataFrame, model: Model, least: float = OFFENDING) -> DataFrame:
