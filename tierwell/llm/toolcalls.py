@@ -18,13 +18,16 @@ one); cycle (the call waits for itself; level null); orphan (a result without a
 waits for an unknown call has level 0.
 
 Cases: rows without conv_id or call_id can't be linked and are left out. Null names, arguments and
-contents are invalid or null in the record. Empty tables give an empty result; other columns aren't
+contents are invalid or null in the record. Arguments that are no JSON, hold NaN or a number beyond
+all bounds, or are nested too deep, are text in the record and invalid. A schema that says what can't be
+checked is refused before the job. Empty tables give an empty result; other columns aren't
 read.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,34 +44,89 @@ KINDS = {
     "boolean": lambda v: isinstance(v, bool),
     "array": lambda v: isinstance(v, list),
     "object": lambda v: isinstance(v, dict),
+    "null": lambda v: v is None,
 }
 
 
-def canonical(value) -> str:
-    """JSON with sorted keys, without spaces, in UTF-8."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+LONE = re.compile("[\ud800-\udfff]")
+
+# What a schema may say of a value, and of which kinds of value it says it.
+BOUNDS = {
+    "minLength": (str, lambda v, n: len(v) >= n),
+    "maxLength": (str, lambda v, n: len(v) <= n),
+    "minimum": ((int, float), lambda v, n: v >= n),
+    "maximum": ((int, float), lambda v, n: v <= n),
+    "minItems": (list, lambda v, n: len(v) >= n),
+    "maxItems": (list, lambda v, n: len(v) <= n),
+}
+WORDS = {"type", "enum", "properties", "required", "additionalProperties", "items", *BOUNDS}
 
 
-def valid(arguments, schema: dict | None) -> bool:
-    """``schema`` has properties (name: {type, minLength, minimum}), required, and
-    additionalProperties (true unless said)."""
-    if schema is None or not isinstance(arguments, dict):
+def canonical(value) -> str:
+    """JSON with sorted keys, without spaces, in UTF-8; halves of surrogate pairs stay escaped."""
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return LONE.sub(lambda half: f"\\u{ord(half[0]):04x}", text)
+
+
+def no_number(name: str):
+    raise ValueError(f"{name} is no JSON")
+
+
+def parsed(text: str | None):
+    """The value of JSON text, and the text itself if it is none: not JSON, a number beyond all bounds, or
+    nested too deep to be read or written."""
+    if text is None:
+        return None
+    try:
+        value = json.loads(text, parse_constant=no_number)
+        canonical(value)
+    except (ValueError, RecursionError):
+        return text
+    return value
+
+
+def checked(schema: dict) -> dict:
+    """The schema, if `valid` can apply all it says; else a ValueError."""
+    if not isinstance(schema, dict) or not schema.keys() <= WORDS:
+        raise ValueError(f"schema {schema!r} says more than can be checked")
+    kinds = schema.get("type", [])
+    if not set([kinds] if isinstance(kinds, str) else kinds) <= KINDS.keys():
+        raise ValueError(f"schema type {kinds!r} is unknown")
+    inner = [*schema.get("properties", {}).values(), *[schema[w] for w in ("items", "additionalProperties") if w in schema]]
+    for one in inner:
+        if not isinstance(one, bool):
+            checked(one)
+    return schema
+
+
+def valid(value, schema: dict) -> bool:
+    """Whether a JSON value is as the schema says: type (one or several), enum, bounds, and for objects
+    and arrays properties, required, additionalProperties (false, or a schema) and items."""
+    kinds = schema.get("type")
+    if kinds is not None and not any(KINDS[k](value) for k in ([kinds] if isinstance(kinds, str) else kinds)):
         return False
-    properties = schema.get("properties", {})
-    if any(name not in arguments for name in schema.get("required", ())):
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
         return False
-    for name, value in arguments.items():
-        rule = properties.get(name)
-        if rule is None:
-            if not schema.get("additionalProperties", True):
-                return False
-        elif (
-            not KINDS[rule["type"]](value)
-            or (isinstance(value, str) and len(value) < rule.get("minLength", 0))
-            or ("minimum" in rule and value < rule["minimum"])
-        ):
+    for word, (kind, holds) in BOUNDS.items():
+        if word in schema and isinstance(value, kind) and not isinstance(value, bool) and not holds(value, schema[word]):
             return False
-    return True
+    if isinstance(value, dict):
+        properties, more = schema.get("properties", {}), schema.get("additionalProperties", True)
+        if any(name not in value for name in schema.get("required", ())):
+            return False
+        for name, one in value.items():
+            rule = properties.get(name, more)
+            if rule is False or (isinstance(rule, dict) and not valid(one, rule)):
+                return False
+    items = schema.get("items", True)
+    if isinstance(value, list) and isinstance(items, dict):
+        return all(valid(one, items) for one in value)
+    return not (isinstance(value, list) and value and items is False)
+
+
+def fits(arguments, schema: dict | None) -> bool:
+    """Whether a call's arguments are an object of the schema of its name."""
+    return schema is not None and isinstance(arguments, dict) and valid(arguments, schema)
 
 
 def ranked(rows: DataFrame, fields: list[str], prefix: str) -> DataFrame:
@@ -146,6 +204,7 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Da
 def records(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """conv_id, call_id, level, status, n_calls, n_results (rows of the identifier) and the canonical
     record of each different call and result; rank and rows of both."""
+    schemas = {name: checked(schema) for name, schema in schemas.items()}
     calls = stable(levels(ranked(calls, ["name", "arguments", "after"], "call")))
     results = ranked(results, ["content"], "result")
     first_calls, first_results = calls.where("call_rank = 1"), results.where("result_rank = 1")
@@ -161,14 +220,11 @@ def records(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> D
             out = {"status": [], "record": []}
             rows = zip(call_ids, levels_, n_calls, n_results, names, arguments, afters, contents, strict=True)
             for call_id, level, called, answered, name, text, after, content in rows:
-                try:
-                    value = json.loads(text) if text is not None else None
-                except ValueError:
-                    value = text
+                value = parsed(text)
                 status = (
                     "orphan" if not called
                     else "cycle" if level is None
-                    else "invalid" if not valid(value, schemas.get(name))
+                    else "invalid" if not fits(value, schemas.get(name))
                     else "ok" if answered
                     else "no_result"
                 )
