@@ -27,6 +27,18 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column's name as `F.col` takes it, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def row_hash(df: DataFrame) -> F.Column:
+    """A hash of all columns of a row, maps included."""
+    plain = [c for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()]
+    maps = [F.to_json(F.struct(F.col(quoted(c)))) for c in df.columns if c not in plain]
+    return F.xxhash64(*[F.col(quoted(c)) for c in plain], *maps)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach: `spark.checkpoint.dir`, else the session's warehouse."""
     return (

@@ -13,10 +13,10 @@ source is cut into by digest, then sums within the blocks. Sums are whole number
 their order doesn't matter, and a run again gives the same rows. The offset is taken from the
 source's digest.
 
-Cases: a null or blank text has size 0 and takes no words. Null sources are a source, null doc_ids
-come first within their class. Repeated rows are documents of their own. With no words at all every
-target is 0. An empty table gives an empty result. Other columns are carried along unread; the
-helper columns have names of their own, starting with `mix_`.
+Cases: a null or blank text has size 0 and takes no words. Null sources are a source. Repeated rows are documents of their own. With no words at all every
+target is 0. An empty table gives an empty result. Other columns are carried along in a struct, so
+their names can't clash with the helpers'. Rows without a doc_id are put in order by a hash of the row, as
+are rows of one doc_id, so the mix doesn't depend on how the rows are partitioned.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierwell.llm.common import WORD, stable
+from tierwell.llm.common import WORD, quoted, stable
 
 CAP = 3
 BLOCK = 16_384
@@ -76,17 +76,23 @@ def targets(sizes: DataFrame, cap: int = CAP) -> DataFrame:
     )
 
 
-def copied(docs: DataFrame, source: str = "source", cap: int = CAP, seed: str = "mix") -> DataFrame:
-    """The rows of ``docs`` with mix_size, mix_words (of the source), mix_target and mix_copies.
-
-    ``docs`` has doc_id, text and the source, or mix_size in place of the text."""
-    if "mix_size" not in docs.columns:
-        docs = docs.withColumn("mix_size", word_count(F.col("text")))
-    rows = docs.withColumns(
+def _taken(docs: DataFrame, size: str | None, source: str, cap: int, seed: str) -> DataFrame:
+    """Each row of ``docs`` as the struct mix_row, with mix_size, mix_words, mix_target and mix_copies."""
+    own = {c: F.col(quoted(c)) for c in docs.columns}
+    others = [c for name, c in own.items() if name != "text"]
+    # Rows with equal ties are alike, so it doesn't matter which of them is taken.
+    tie = F.xxhash64(F.to_json(F.struct(*others)), *([own["text"]] if "text" in own else []))
+    rows = docs.select(
+        F.struct(*own.values()).alias("mix_row"),
+        (own[size].cast("long") if size else word_count(own["text"])).alias("mix_size"),
+        own[source].alias("mix_source"),
+        own["doc_id"].alias("mix_id"),
+        tie.alias("mix_tie"),
+    )
+    rows = rows.withColumns(
         {
-            "mix_source": F.col(source),
             "mix_class": size_class(F.col("mix_size")),
-            "mix_digest": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))),
+            "mix_digest": F.md5(F.coalesce(F.col("mix_id").cast("string"), F.hex("mix_tie"))),
         }
     )
     classes = stable(
@@ -132,23 +138,38 @@ def copied(docs: DataFrame, source: str = "source", cap: int = CAP, seed: str =
         & (F.col("mix_class") == F.col("k1"))
         & (F.col("mix_block") == F.col("k2")),
     ).drop("k0", "k1", "k2")
-    inside = Window.partitionBy(*block).orderBy("mix_digest", "doc_id", "mix_size")
+    inside = Window.partitionBy(*block).orderBy("mix_digest", "mix_id", "mix_size", "mix_tie")
     upto = (
         F.col("mix_before")
         + F.sum("mix_units").over(inside.rowsBetween(Window.unboundedPreceding, 0))
         + F.col("mix_offset")
     )
     crossed = F.shiftright(upto, UNIT_BITS) - F.shiftright(upto - F.col("mix_units"), UNIT_BITS)
-    return rows.withColumn("mix_copies", crossed).select(
-        *docs.columns, *(["mix_words", "mix_target", "mix_copies"])
-    )
+    return rows.withColumn("mix_copies", crossed).select("mix_row", *MADE)
+
+
+MADE = ("mix_size", "mix_words", "mix_target", "mix_copies")
+
+
+def copied(
+    docs: DataFrame, source: str = "source", cap: int = CAP, seed: str = "mix", size: str | None = None
+) -> DataFrame:
+    """The rows of ``docs`` with mix_size, mix_words (of the source), mix_target and mix_copies, in place
+    of columns that have these names already.
+
+    ``docs`` has doc_id, the source, and text or the column ``size`` with the words of each."""
+    made = _taken(docs, size, source, cap, seed)
+    kept = [c for c in docs.columns if c.lower() not in MADE]
+    return made.select(*[F.col("mix_row")[c].alias(c) for c in kept], *MADE)
 
 
-def mixed(docs: DataFrame, **settings) -> DataFrame:
+def mixed(
+    docs: DataFrame, source: str = "source", cap: int = CAP, seed: str = "mix", size: str | None = None
+) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    taken = copied(docs, **settings).where("mix_copies > 0")
+    taken = _taken(docs, size, source, cap, seed).where("mix_copies > 0")
     again = F.explode(F.array_repeat(F.lit(1), F.col("mix_copies").cast("int")))
-    return taken.withColumn("mix_copy", again).select(*docs.columns)
+    return taken.select("mix_row", again.alias("mix_copy")).select("mix_row.*")
 
 
 #: The same in one window over each source.

@@ -69,8 +69,9 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    sized = docs.select("doc_id", "source", mixing.word_count(docs.text).alias("mix_size"))
-    return mixing.copied(sized).select(
+    words = mixing.word_count(docs.text).alias("words")
+    sized = docs.select("doc_id", "source", words, F.xxhash64("text").alias("text_hash"))
+    return mixing.copied(sized, size="words").select(
         "doc_id",
         F.col("mix_size").alias("size"),
         F.col("mix_words").alias("source_size"),

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwell.llm.common import per_batch, stable
+from tierwell.llm.common import per_batch, row_hash, stable
 
 #: Natives of a shard.
 SHARD = 16_384
@@ -284,7 +284,7 @@ def without_near_copies(docs: DataFrame, shingle: int = 3, bits: int = 2) -> Dat
 
     So of rows under one doc_id each is judged by its own text, and of exact repeats one stays."""
     own = next(f"row_hash{k}" for k in range(len(docs.columns) + 1) if f"row_hash{k}" not in docs.columns)
-    hashed = docs.withColumn(own, F.xxhash64(*docs.columns))
+    hashed = docs.withColumn(own, row_hash(docs))
     printed = stable(fingerprints(hashed, shingle, (own,)))
     row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", own)
     named = stable(printed.groupBy("fingerprint").agg(F.min(row).alias("first")))
@@ -293,4 +293,4 @@ def without_near_copies(docs: DataFrame, shingle: int = 3, bits: int = 2) -> Dat
     least = grouped.groupBy(F.coalesce("root", "fingerprint")).agg(F.min("first").alias("first"))
     kept = least.select(F.col("first.doc_id").alias("i"), F.col(f"first.{own}").alias("h"))
     same = hashed.doc_id.eqNullSafe(kept.i) & (hashed[own] == kept.h)
-    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).select(docs.columns)
+    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)

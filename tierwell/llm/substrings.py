@@ -34,8 +34,9 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tierwell.llm.common import per_batch, stable
+from tierwell.llm.common import per_batch, quoted, stable
 
 WINDOW = 50
 PREFIX = 10
@@ -105,8 +106,9 @@ def row_key(doc_id: int | None, text: bytes) -> int:
 def packed(docs: DataFrame, carried: list[str] | None = None) -> DataFrame:
     """doc_id, row key and compressed text, and the columns ``carried`` as a struct ``rest``."""
     rest = [c for c in carried or () if c not in ("doc_id", "text")]
-    docs = docs.select("doc_id", "text", *([F.struct(*rest).alias("rest")] if rest else []))
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name == "rest"]
+    docs = docs.select("doc_id", "text", *([F.struct(*map(quoted, rest)).alias("rest")] if rest else []))
+    schema = T.StructType.fromDDL("doc_id long, row_key long, packed binary, no_text boolean")
+    schema = T.StructType([*schema, *[f for f in docs.schema if f.name == "rest"]])
 
     def make():
         squeeze = zstandard.ZstdCompressor(level=3).compress
@@ -123,8 +125,7 @@ def packed(docs: DataFrame, carried: list[str] | None = None) -> DataFrame:
 
         return work
 
-    names = ["doc_id long", "row_key long", "packed binary", "no_text boolean", *fields]
-    return per_batch(docs, ", ".join(names), make)
+    return per_batch(docs, schema, make)
 
 
 def anchors(docs: DataFrame, window: int, prefix: int) -> DataFrame:
@@ -368,7 +369,8 @@ def kept_texts(docs: DataFrame, **settings) -> DataFrame:
 
     rows = with_ranges(docs, rest, **settings)
     columns = ["doc_id", "packed", "no_text", "ranges", *(["rest"] if rest else [])]
-    fields = [f"rest {rows.schema['rest'].dataType.simpleString()}"] if rest else []
-    made = per_batch(rows.select(*columns), ", ".join(["doc_id long", "text string", *fields]), make)
+    schema = T.StructType.fromDDL("doc_id long, text string")
+    schema = T.StructType([*schema, *[f for f in rows.schema if f.name == "rest"]])
+    made = per_batch(rows.select(*columns), schema, make)
     own = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return made.select(*[(own.get(c) if c in own else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
+    return made.select(*[(own.get(c) if c in own else F.col("rest")[c]).alias(c) for c in docs.columns])
