@@ -169,14 +169,16 @@ def word_vectors(rows: DataFrame, words: dict[str, int]) -> np.ndarray:
                 for reach in range(1, REACH + 1):
                     if len(ids) > reach:
                         used = True
-                        for a, b in ((ids[:-reach], ids[reach:]), (ids[reach:], ids[:-reach])):
-                            np.add.at(total, a, index[b])
-                        np.add.at(total, shapes[reach:], index[ids[:-reach]])
+                        near = ((ids[:-reach], ids[reach:]), (ids[reach:], ids[:-reach]), (shapes[reach:], ids[:-reach]))
+                        for a, b in near:
+                            order = np.argsort(a, kind="stable")
+                            kinds, starts = np.unique(a[order], return_index=True)
+                            total[kinds] += np.add.reduceat(index[b[order]], starts)
         if used:
             yield pa.RecordBatch.from_pydict({"vectors": [total.astype(np.int32).tobytes()]})
 
     vectors = np.zeros(index.shape, np.int64)  # sums of whole numbers, equal in any order
-    for row in rows.select("text").mapInArrow(run, "vectors binary").toLocalIterator():
+    for row in rows.select("text").mapInArrow(run, "vectors binary").collect():
         vectors += np.frombuffer(row.vectors, np.int32).reshape(index.shape)
     made = index + np.float32(0.1) * vectors.astype(np.float32)
     return made / np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-6)
