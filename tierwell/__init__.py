@@ -2,7 +2,7 @@
 
 from tierwell.entities import DEPARTMENT, DETECT, ENTITIES, HIRED_EMPLOYEE, JOB, Entity
 from tierwell.functions.formats import detect, read_detected
-from tierwell.functions.records import json_records, write_json
+from tierwell.functions.records import json_records, write_json, write_ordered
 from tierwell.functions.times import between_dates, in_year, parse_timestamp
 from tierwell.operators.counts import (
     Dimension,
@@ -22,7 +22,7 @@ from tierwell.operators.numbering import (
     number_rows,
     number_table_rows,
 )
-from tierwell.plans.loads import load_entity, merge_into_trusted, run_pipeline
+from tierwell.plans.loads import load_entity, load_together, merge_into_trusted, run_pipeline
 from tierwell.plans.reports import (
     create_views,
     departments_above_mean,
@@ -74,6 +74,7 @@ __all__ = [
     "label_or_default",
     "layer_path",
     "load_entity",
+    "load_together",
     "mean_of_counts",
     "merge_into_trusted",
     "new_shared_path",
@@ -98,5 +99,6 @@ __all__ = [
     "staged",
     "without_corrupt",
     "write_json",
+    "write_ordered",
     "yearly_counts",
 ]

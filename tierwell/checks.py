@@ -1088,3 +1088,36 @@ def incremental_groups_above_mean(spark: SparkSession, folder: str) -> DataFrame
     base = _counted_loads(spark, folder)
     entities = {**TABLES, "hired_employee": COUNTED_ITEM}
     return reports.departments_above_mean(spark, base, year=YEAR, entities=entities)
+
+
+# --- order that outlives the sink ----------------------------------------------------------------
+
+
+@check(
+    f"""
+    SELECT ROW_NUMBER() OVER (ORDER BY "HIRED" DESC, "ID") AS place, rank, "ID", "HIRED"
+    FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY "HIRED" DESC, "ID") AS rank FROM ({COMPARED_SQL % ALL}))
+    """
+)
+def ordered_report(spark: SparkSession, folder: str) -> DataFrame:
+    """A report as written: the place of each row is that in the files, in order of their names."""
+    path = new_shared_path(spark, "ordered")
+    report = groups_above_mean_literal(spark, folder)
+    records.write_ordered(report, path, [F.desc("HIRED"), "ID"], format="parquet")
+    placed = numbering.number_table_rows(spark.read.parquet(path), "place")
+    return placed.select("place", "rank", "ID", "HIRED")
+
+
+@check(
+    """
+    SELECT ROW_NUMBER() OVER (ORDER BY l_shipdate, l_suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS rank,
+           l_shipdate, l_suppkey FROM lineitem
+    """
+)
+def ordered_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for a whole table, written by all tasks; ranks by file and place are those in the rows."""
+    path = new_shared_path(spark, "ordered")
+    columns = ["l_shipdate", "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
+    records.write_ordered(table(spark, folder, "lineitem").select(columns), path, columns, "own", "parquet")
+    placed = numbering.number_table_rows(spark.read.parquet(path), "rank")
+    return placed.filter("rank = own").select("rank", "l_shipdate", "l_suppkey")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierwell.operators.numbering import number_rows
+
 
 def json_records(df: DataFrame, keep_nulls: bool = False) -> DataFrame:
     """One column ``json`` with one object per row; null fields are left out unless kept."""
@@ -16,3 +20,21 @@ def write_json(df: DataFrame, path: str, keep_nulls: bool = False, mode: str = "
     """The same objects as JSON lines, written by the executors."""
     options = {"ignoreNullFields": str(not keep_nulls).lower()}
     df.write.options(**options).mode(mode).json(path)
+
+
+def write_ordered(
+    df: DataFrame,
+    path: str,
+    order_by: Sequence[str | Column],
+    rank: str = "rank",
+    format: str = "json",
+    mode: str = "error",
+    **options,
+) -> None:
+    """Rows in an order that outlives the sink: each has its rank, 1 and so on, and files in order of their
+    names hold the rows in order. All tasks sort and write; ties are in order of arrival.
+
+    JSON objects keep null fields, so that each row has all of them."""
+    numbered = number_rows(df, order_by, name=rank).orderBy(rank)
+    options = {"ignoreNullFields": "false", **options} if format == "json" else options
+    numbered.select(rank, *df.columns).write.format(format).options(**options).mode(mode).save(path)
