@@ -23,6 +23,7 @@ from tierwell.operators.numbering import (
     number_table_rows,
 )
 from tierwell.plans.loads import load_entity, load_together, merge_into_trusted, run_pipeline
+from tierwell.plans.numbers import number_loads
 from tierwell.plans.reports import (
     create_views,
     departments_above_mean,
@@ -32,6 +33,7 @@ from tierwell.plans.reports import (
 from tierwell.plans.statements import create_tables, run_statement
 from tierwell.session import new_shared_path, session, shared_folder, staged
 from tierwell.sources.appends import append_resumably, read_appended
+from tierwell.sources.compaction import compact
 from tierwell.sources.csvs import (
     accepted_rows,
     csv_status,
@@ -59,6 +61,7 @@ __all__ = [
     "assign_batches",
     "batch_counts",
     "between_dates",
+    "compact",
     "create_tables",
     "create_views",
     "csv_status",
@@ -78,6 +81,7 @@ __all__ = [
     "mean_of_counts",
     "merge_into_trusted",
     "new_shared_path",
+    "number_loads",
     "number_of_batches",
     "number_rows",
     "number_table_rows",

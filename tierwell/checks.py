@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     IntegerType,
@@ -25,9 +25,9 @@ from tierwell.entities import DETECT, Entity
 from tierwell.functions import formats, records, times
 from tierwell.operators import counts, merge, numbering
 from tierwell.operators.counts import Dimension
-from tierwell.plans import loads, reports, statements
+from tierwell.plans import loads, numbers, reports, statements
 from tierwell.session import new_shared_path, staged
-from tierwell.sources import appends, catalogue, csvs, layers
+from tierwell.sources import appends, catalogue, compaction, csvs, layers
 
 YEAR = 1997
 
@@ -1121,3 +1121,70 @@ def ordered_rows(spark: SparkSession, folder: str) -> DataFrame:
     records.write_ordered(table(spark, folder, "lineitem").select(columns), path, columns, "own", "parquet")
     placed = numbering.number_table_rows(spark.read.parquet(path), "rank")
     return placed.filter("rank = own").select("rank", "l_shipdate", "l_suppkey")
+
+
+# --- packed layers, numbers over loads -----------------------------------------------------------
+
+
+def _third(spark: SparkSession, folder: str, base: str, k: int) -> str:
+    """A third of the items, by order, as a CSV file in order of date and key."""
+    path = f"{base}/source/{k}.csv"
+    items = table(spark, folder, "lineitem").filter(F.col("l_orderkey") % 3 == k)
+    items.orderBy("l_shipdate", "l_orderkey", "l_linenumber").select(
+        "l_orderkey", "l_linenumber", _item_time(), "l_suppkey", "l_partkey"
+    ).write.csv(path)
+    return path
+
+
+@check(
+    """
+    SELECT l_orderkey AS "ID", l_linenumber AS "LINE", l_shipdate AS "DATETIME",
+           l_suppkey AS "DEPARTMENT_ID", l_partkey AS "JOB_ID", TRUE AS fewer
+    FROM lineitem
+    """
+)
+def compacted_layer(spark: SparkSession, folder: str) -> DataFrame:
+    """Three loads of small files, packed before the last of them is run again, and packed again."""
+    base = new_shared_path(spark, "layers")
+    paths = [_third(spark, folder, base, k) for k in range(3)]
+    keep = {"source_duplicates": "keep", "on_error": "raise"}
+    before = 0
+
+    def rows() -> DataFrame:
+        return layers.read_layer(spark, base, layers.TRUSTED, ITEM.name, ITEM.trusted_table_schema)
+
+    for k, path in enumerate(paths):
+        loads.load_entity(spark, ITEM, path, base, load_id=f"l{k}", **keep)
+        before += len(rows().inputFiles())
+    compaction.compact(spark, base, layers.TRUSTED, ITEM)
+    loads.load_entity(spark, ITEM, paths[2], base, load_id="l2", **keep)
+    compaction.compact(spark, base, layers.TRUSTED, ITEM)
+    layers.drop_unpublished(spark, base, layers.TRUSTED, ITEM.name)
+    fewer = F.lit(len(rows().inputFiles()) < before)
+    return rows().select(*ITEM.schema.names, fewer.alias("fewer"))
+
+
+@check(
+    """
+    WITH counted AS (SELECT l_orderkey % 3 AS k, COUNT(*) AS n FROM lineitem GROUP BY 1)
+    SELECT 'l' || k AS load_id, SUM(n) OVER (ORDER BY k)::BIGINT - n + 1 AS first_number,
+           SUM(n) OVER (ORDER BY k)::BIGINT AS last_number, n AS numbers, n AS rows, 0 AS out_of_order
+    FROM counted
+    """
+)
+def numbers_across_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Three loads, of which the first is run again last: numbers dense over all, in order of arrival."""
+    base = new_shared_path(spark, "layers")
+    paths = [_third(spark, folder, base, k) for k in range(3)]
+    for k in (0, 1, 2, 0):
+        loads.write_raw(spark, ITEM, paths[k], base, f"l{k}")
+    rows = numbers.number_loads(spark, base, ITEM)
+    per_file = Window.partitionBy("load_id", "source_file").orderBy("row_number")
+    back = (F.col("DATETIME") < F.lag("DATETIME").over(per_file)).cast("int")
+    return rows.withColumn("back", back).groupBy("load_id").agg(
+        F.min("row_number").alias("first_number"),
+        F.max("row_number").alias("last_number"),
+        F.count_distinct("row_number").alias("numbers"),
+        F.count("*").alias("rows"),
+        F.coalesce(F.sum("back"), F.lit(0)).cast("int").alias("out_of_order"),
+    )

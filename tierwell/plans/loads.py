@@ -136,7 +136,7 @@ def write_raw(
     facts = dict(seen.get)
     if facts["rows"]:
         evidence.keep(spark, base, entity, load_id, attempt, facts)
-        publish(spark, base, RAW, entity.name, load_id, attempt, sequence)
+        publish(spark, base, RAW, entity.name, load_id, attempt, sequence, rows=facts["rows"])
     return facts
 
 
@@ -243,7 +243,7 @@ def merge_into_trusted(
         inserted = write_trusted(spark, fresh, entity, base, load_id, attempt, table)
     keep_partials(spark, base, entity, load_id, attempt)
     sequence = next_sequence(spark, base, TRUSTED, entity.name, load_id)
-    publish(spark, base, TRUSTED, entity.name, load_id, attempt, sequence, policy)
+    publish(spark, base, TRUSTED, entity.name, load_id, attempt, sequence, policy, inserted)
     return inserted
 
 

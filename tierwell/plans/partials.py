@@ -14,7 +14,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tierwell.entities import Entity
 from tierwell.operators.counts import partial_counts
-from tierwell.sources.layers import TRUSTED, attempt_path, layer_path, no_rows, path_exists, published
+from tierwell.sources.layers import TRUSTED, attempt_path, layer_path, no_rows, path_exists, published, read_layer
 
 
 def partials_schema(entity: Entity) -> StructType:
@@ -36,20 +36,18 @@ def _path(base: str, entity: Entity, load_id: str, attempt: str) -> str:
     return f"{base.rstrip('/')}/counts/{entity.name}/load_id={load_id}/attempt={attempt}"
 
 
-def _counted(spark: SparkSession, base: str, entity: Entity, load_id: str, attempt: str) -> DataFrame:
+def _counted(rows: DataFrame, entity: Entity) -> DataFrame:
     department_id, job_id = entity.counted_by
-    rows = (
-        spark.read.schema(entity.trusted_table_schema)
-        .option("basePath", layer_path(base, TRUSTED, entity.name))
-        .parquet(attempt_path(base, TRUSTED, entity.name, load_id, attempt))
-    )
     return partial_counts(rows, entity.year_of, department_id, job_id, entity.keys[0])
 
 
 def keep_partials(spark: SparkSession, base: str, entity: Entity, load_id: str, attempt: str) -> None:
     """Count a complete attempt that is not published yet, if the entity has its counts kept."""
     if entity.counted_by:
-        counts = _counted(spark, base, entity, load_id, attempt)
+        reader = spark.read.schema(entity.trusted_table_schema)
+        reader = reader.option("basePath", layer_path(base, TRUSTED, entity.name))
+        rows = reader.parquet(attempt_path(base, TRUSTED, entity.name, load_id, attempt))
+        counts = _counted(rows, entity)
         counts.write.parquet(_path(base, entity, load_id, attempt))
 
 
@@ -62,5 +60,6 @@ def read_partials(spark: SparkSession, base: str, entity: Entity) -> DataFrame:
     parts = [spark.read.schema(schema).parquet(*kept)] if kept else [no_rows(spark, schema)]
     for path, a in paths.items():
         if path not in kept:
-            parts.append(_counted(spark, base, entity, a.load_id, a.attempt).select(*schema.names))
+            rows = read_layer(spark, base, TRUSTED, entity.name, entity.trusted_table_schema, a.load_id)
+            parts.append(_counted(rows, entity).select(*schema.names))
     return reduce(DataFrame.unionByName, parts)

@@ -97,7 +97,7 @@ def run_statement(
             keep_partials(spark, base, entity, load_id, final)
         count = rows.count()
         sequence = next_sequence(spark, base, layer, entity.name, load_id)
-        publish(spark, base, layer, entity.name, load_id, final, sequence, STATEMENT)
+        publish(spark, base, layer, entity.name, load_id, final, sequence, STATEMENT, count)
         written.append((layer, entity.name, load_id, count))
     create_tables(spark, base, entities)
     made = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in WRITTEN])

@@ -20,11 +20,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tierwell.entities import Entity
-from tierwell.sources.layers import RAW, attempt_path, layer_path, published
+from tierwell.sources.layers import (
+    RAW,
+    attempt_path,
+    compacted_path,
+    compactions,
+    layer_path,
+    placed_attempts,
+)
 
 #: Property that marks tables made here, and says for which folder.
 OWNER = "tierwell.base"
 PARTS = ("load_id", "attempt")
+#: What statements see as the load of rows in a compaction.
+COMPACTED = "~compacted"
 
 
 def _quoted(text: str) -> str:
@@ -44,13 +53,24 @@ def table_schema(entity: Entity, layer: str) -> StructType:
 
 
 def _partitions(spark: SparkSession, base: str, layer: str, entity: Entity, hidden: str | None):
-    """(values, folder) of each published attempt, or of each year of it."""
+    """(values, folder) of each published attempt and compaction, or of each year of it."""
+    own, copied = placed_attempts(spark, base, layer, entity.name)
+    places = [
+        (a.load_id, a.attempt, attempt_path(base, layer, entity.name, a.load_id, a.attempt))
+        for a in own
+        if a.load_id != hidden
+    ]
+    held = compactions(spark, base, layer, entity.name)
+    for name, attempts in copied.items():
+        if len(attempts) < len(held[name]) or hidden in {a.load_id for a in attempts}:
+            raise ValueError(
+                f"{layer}.{entity.name}: a compaction holds rows of a load that was run again or is hidden; "
+                "a catalogue table can't leave out a part of its files"
+            )
+        places.append((COMPACTED, name, compacted_path(base, layer, entity.name, name)))
     by_year = "event_year" in table_schema(entity, layer).names
-    for a in published(spark, base, layer, entity.name).values():
-        if a.load_id == hidden:
-            continue
-        path = attempt_path(base, layer, entity.name, a.load_id, a.attempt)
-        values = f"load_id={_quoted(a.load_id)}, attempt={_quoted(a.attempt)}"
+    for load_id, attempt, path in places:
+        values = f"load_id={_quoted(load_id)}, attempt={_quoted(attempt)}"
         if not by_year:
             yield values, path
             continue

@@ -7,6 +7,7 @@ attempt that counts, so a load that fails, or is run again, never takes away row
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,17 +33,20 @@ def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
 @dataclass(frozen=True)
 class Attempt:
     """One published attempt of a load: its place among all publications of the table, the load's
-    number among the loads, the folder's name, and how the load was merged."""
+    number among the loads, the folder's name, how the load was merged, and its rows (None if an
+    earlier release published it)."""
 
     place: int
     sequence: int
     load_id: str
     attempt: str
     policy: str
+    rows: int | None = None
 
     @property
     def entry(self) -> str:
-        return f"{self.place:012d}={self.sequence}={self.load_id}={self.attempt}={self.policy}"
+        fields = [f"{self.place:012d}", self.sequence, self.load_id, self.attempt, self.policy]
+        return "=".join(map(str, fields if self.rows is None else [*fields, self.rows]))
 
 
 def _entries(spark: SparkSession, base: str, layer: str, table: str):
@@ -64,8 +68,9 @@ def published(spark: SparkSession, base: str, layer: str, table: str) -> dict[st
     names = sorted(status.getPath().getName() for status in files.listStatus(path))
     found = {}
     for name in names:
-        place, sequence, load_id, attempt, policy = name.split("=")
-        found[load_id] = Attempt(int(place), int(sequence), load_id, attempt, policy)
+        place, sequence, load_id, attempt, policy, *rows = name.split("=")
+        count = int(rows[0]) if rows else None
+        found[load_id] = Attempt(int(place), int(sequence), load_id, attempt, policy, count)
     return found
 
 
@@ -86,6 +91,7 @@ def publish(
     attempt: str,
     sequence: int,
     policy: str = "own",
+    rows: int | None = None,
 ) -> None:
     """Make a complete attempt the one that readers see, by creating one empty file.
 
@@ -94,7 +100,7 @@ def publish(
     path, files = _entries(spark, base, layer, table)
     loads = published(spark, base, layer, table)
     place = 1 + max((a.place for a in loads.values()), default=0)
-    entry = Attempt(place, sequence, load_id, attempt, policy).entry
+    entry = Attempt(place, sequence, load_id, attempt, policy, rows).entry
     files.mkdirs(path)
     files.create(spark._jvm.org.apache.hadoop.fs.Path(path, entry), False).close()
     if load_id in loads:
@@ -105,6 +111,57 @@ def attempt_path(base: str, layer: str, table: str, load_id: str, attempt: str)
     return f"{layer_path(base, layer, table)}/load_id={load_id}/attempt={attempt}"
 
 
+# --- compactions: copies of several attempts in one folder, see `compaction` ---------------------
+
+
+def compacted_path(base: str, layer: str, table: str, name: str) -> str:
+    return f"{layer_path(base, layer, table)}-compacted/attempt={name}"
+
+
+def manifest_path(base: str, layer: str, table: str, name: str) -> str:
+    return f"{base.rstrip('/')}/published/held/{layer.lower()}/{table}/attempt={name}"
+
+
+def enter_compaction(spark: SparkSession, base: str, layer: str, table: str, name: str) -> None:
+    """Make a complete compaction one that readers see, by creating one empty file."""
+    path, files = _entries(spark, base, layer, f"{table}-compacted")
+    files.mkdirs(path)
+    files.create(spark._jvm.org.apache.hadoop.fs.Path(path, name), False).close()
+
+
+@lru_cache(maxsize=1024)
+def _held(spark: SparkSession, path: str) -> frozenset[tuple[str, str]]:
+    """The (load, attempt) pairs of a compaction; its list never changes."""
+    rows = spark.read.schema("load_id string, attempt string").json(path).collect()
+    return frozenset((r.load_id, r.attempt) for r in rows)
+
+
+def compactions(
+    spark: SparkSession, base: str, layer: str, table: str
+) -> dict[str, frozenset[tuple[str, str]]]:
+    """The (load, attempt) pairs that each entered compaction holds."""
+    path, files = _entries(spark, base, layer, f"{table}-compacted")
+    if not files.exists(path):
+        return {}
+    names = sorted(status.getPath().getName() for status in files.listStatus(path))
+    return {name: _held(spark, manifest_path(base, layer, table, name)) for name in names}
+
+
+def placed_attempts(
+    spark: SparkSession, base: str, layer: str, table: str
+) -> tuple[list[Attempt], dict[str, list[Attempt]]]:
+    """Published attempts that are read from their own folders, and those read from each compaction."""
+    own, copied = [], {}
+    held = compactions(spark, base, layer, table)
+    for a in published(spark, base, layer, table).values():
+        name = next((n for n, pairs in held.items() if (a.load_id, a.attempt) in pairs), None)
+        if name is None:
+            own.append(a)
+        else:
+            copied.setdefault(name, []).append(a)
+    return own, copied
+
+
 def read_layer(
     spark: SparkSession,
     base: str,
@@ -115,20 +172,31 @@ def read_layer(
     without: str | None = None,
 ) -> DataFrame:
     """A layer table, one load's rows of it, or those of all loads but one; a table that was never
-    written has no rows. Only published attempts are read.
+    written has no rows. Only published attempts are read, or their copies in a compaction.
 
     The schema is given, so no file is opened to infer it and partition values keep their type.
     """
-    loads = published(spark, base, layer, table)
-    paths = [
-        attempt_path(base, layer, table, a.load_id, a.attempt)
-        for a in loads.values()
-        if a.load_id != without and load_id in (None, a.load_id)
-    ]
-    if not paths:
-        return no_rows(spark, schema)
-    reader = spark.read.schema(schema).option("basePath", layer_path(base, layer, table))
-    return reader.parquet(*paths).select(*schema.names)
+    own, copied = placed_attempts(spark, base, layer, table)
+
+    def wanted(a: Attempt) -> bool:
+        return a.load_id != without and load_id in (None, a.load_id)
+
+    parts = []
+    paths = [attempt_path(base, layer, table, a.load_id, a.attempt) for a in own if wanted(a)]
+    if paths:
+        reader = spark.read.schema(schema).option("basePath", layer_path(base, layer, table))
+        parts.append(reader.parquet(*paths).select(*schema.names))
+    for name, attempts in copied.items():
+        ids = sorted(a.load_id for a in attempts if wanted(a))
+        if ids:
+            rows = spark.read.schema(schema).parquet(compacted_path(base, layer, table, name))
+            held = {i for i, _ in _held(spark, manifest_path(base, layer, table, name))}
+            left_out = sorted(held.difference(ids))
+            if left_out:
+                some = F.col("load_id").isin(ids) if len(ids) <= len(left_out) else ~F.col("load_id").isin(left_out)
+                rows = rows.filter(some)
+            parts.append(rows.select(*schema.names))
+    return reduce(DataFrame.unionByName, parts) if parts else no_rows(spark, schema)
 
 
 #: What is kept beside the attempts of a layer, in folders named as theirs.
@@ -136,19 +204,27 @@ BESIDE = {RAW: "evidence", TRUSTED: "counts"}
 
 
 def drop_unpublished(spark: SparkSession, base: str, layer: str, table: str) -> int:
-    """Delete the folders of attempts that failed or were replaced, and what is kept beside them; returns
-    how many attempts. Not while a load or a report of the table runs."""
-    keep = {a.attempt for a in published(spark, base, layer, table).values()}
-    dropped = 0
-    for folder in (layer_path(base, layer, table), layer_path(base, BESIDE[layer.lower()], table)):
-        root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    """Delete the folders of attempts that failed, were replaced or are read from a compaction, and what is
+    kept beside the first two; returns how many attempts. Not while a load or a report of the table
+    runs."""
+    own, copied = placed_attempts(spark, base, layer, table)
+    there = {a.attempt for a in own}
+    known = there | {a.attempt for attempts in copied.values() for a in attempts}
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+
+    def clear(folder: str, pattern: str, keep: set[str]) -> int:
+        root = jvm(folder)
         files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-        found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "load_id=*/attempt=*"))
+        found = files.globStatus(jvm(root, pattern))
         old = [s.getPath() for s in found or () if s.getPath().getName().split("=")[1] not in keep]
         for path in old:
             files.delete(path, True)
-        dropped = dropped or len(old)
-    return dropped
+        return len(old)
+
+    clear(layer_path(base, BESIDE[layer.lower()], table), "load_id=*/attempt=*", known)
+    entered = compactions(spark, base, layer, table).keys()
+    clear(f"{layer_path(base, layer, table)}-compacted", "attempt=*", set(entered))
+    return clear(layer_path(base, layer, table), "load_id=*/attempt=*", there)
 
 
 def append_in_batches(df: DataFrame, path: str, max_records: int | None = None) -> None:
