@@ -3,9 +3,10 @@
 import random
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 
 from tierwell import absent_rows, first_per_key, insert_if_absent
+from tierwell.operators.merge import with_place
 
 SOURCE = [(1, "a"), (1, "a2"), (None, "n"), (2, "b")]
 
@@ -105,3 +106,44 @@ def test_bad_policies_are_refused(spark):
     for policy in ({"null_keys": "x"}, {"source_duplicates": "x"}, {"source_duplicates": "first"}):
         with pytest.raises(ValueError):
             absent_rows(df, df, ["ID"], **policy)
+
+
+# --- rows fetched by place -----------------------------------------------------------------------
+
+
+@pytest.fixture
+def parts(spark):
+    """Two loads of two files, keys repeated within and across them, some null."""
+    rows = [
+        (load, f"f{file}", (file << 40) + i if file else i, None if i % 11 == 0 else (i * 7 + load) % 40, f"{load}{file}{i}")
+        for load in (1, 2) for file in (1, 0) for i in range(60)
+    ]
+    return spark.createDataFrame(rows, "load int, file string, arrival long, k int, v string").repartition(5)
+
+
+@pytest.mark.parametrize("null_keys", ["insert", "reject"])
+def test_first_by_place_is_the_first_in_order(spark, parts, null_keys):
+    order = ["load", "file", "arrival"]
+    target = spark.range(0, 40, 3).selectExpr("cast(id AS int) AS k")
+    options = {"keys": ["k"], "null_keys": null_keys, "source_duplicates": "first"}
+    by_order = absent_rows(parts, target, order_by=order, **options)
+    placed = with_place(parts, order[:-1], order[-1])
+    assert placed.select("_place").distinct().count() == parts.count()
+    by_place = absent_rows(placed, target, place="_place", **options)
+    assert sorted(map(repr, rows(by_place.drop("_place")))) == sorted(map(repr, rows(by_order)))
+    assert by_order.count() > 20
+
+
+def test_first_by_place_sorts_nothing(spark, parts, no_broadcast):
+    placed = with_place(parts, ["load", "file"], "arrival")
+    target = spark.range(5).selectExpr("cast(id AS int) AS k")
+    made = absent_rows(placed, target, ["k"], "reject", "first", place="_place")
+    text = plan(made)
+    text = text[text.index("Physical Plan") :]
+    assert "SortAggregate" not in text and "ShuffledHashJoin" in text
+    assert made.count() == 35
+
+
+def test_first_needs_an_order(spark, parts):
+    with pytest.raises(ValueError, match="order_by or place"):
+        absent_rows(parts, parts, ["k"], source_duplicates="first")

@@ -8,6 +8,14 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tierwell.session import staged
+
+# Fixed value: monotonically_increasing_id() keeps the row's place in its partition in the low
+# 33 bits and the partition's number above them.
+PLACE_BITS = 33
+
 
 def any_null(columns: Sequence[str]) -> Column:
     return reduce(or_, [F.col(c).isNull() for c in columns])
@@ -42,6 +50,32 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
     return keyed.unionByName(df.filter(any_null(keys)))
 
 
+def with_place(
+    df: DataFrame, parts: Sequence[str], within: str, name: str = "_place"
+) -> DataFrame:
+    """A long that is different for all rows and in order of ``parts``, then of ``within``.
+
+    ``parts`` name where a row comes from, such as file and split, and have few different values: they are
+    ranked, one row each, and staged, so that Spark knows their size when it chooses the join. ``within`` is
+    a number below 2**33, or one whose low 33 bits are, that differs within a part.
+    """
+    order = Window.orderBy(*parts)
+    ranks = df.select(*parts).distinct().withColumn("_rank", F.row_number().over(order))
+    ranks = staged(ranks.select(*[F.col(p).alias(f"_part{k}") for k, p in enumerate(parts)], "_rank"), "ranks")
+    same = reduce(and_, [F.col(p).eqNullSafe(F.col(f"_part{k}")) for k, p in enumerate(parts)])
+    low = F.col(within).bitwiseAND((1 << PLACE_BITS) - 1)
+    place = F.shiftleft(F.col("_rank").cast("long"), PLACE_BITS).bitwiseOR(low)
+    return df.join(ranks, same).select(*df.columns, place.alias(name))
+
+
+def _first_by_place(df: DataFrame, known: DataFrame, keys: Sequence[str], place: str) -> DataFrame:
+    # Only keys and places are aggregated, by hash, and meet the target's keys; the rows follow for the
+    # places that are left, each found once. Places differ, so no task of that join can be hot.
+    least = df.groupBy(*keys).agg(F.min(place).alias("_least"))
+    least = least.join(known.distinct(), list(keys), "left_anti").select("_least")
+    return df.join(least.hint("shuffle_hash"), F.col(place) == F.col("_least"), "left_semi")
+
+
 def absent_rows(
     source: DataFrame,
     target: DataFrame,
@@ -49,6 +83,7 @@ def absent_rows(
     null_keys: str = "insert",
     source_duplicates: str = "keep",
     order_by: Sequence[str] = (),
+    place: str | None = None,
 ) -> DataFrame:
     """Source rows whose key is not in the target.
 
@@ -59,21 +94,26 @@ def absent_rows(
     One plan for all sizes and keys: an anti join with the target's distinct keys. Spark's own
     statistics decide if those are broadcast; else both sides meet on the key, of the target each
     key once per task, and AQE splits a hot key's rows. ``first`` aggregates before that, so a
-    task sends one row per key.
+    task sends one row per key. ``place`` names a column of different longs in the order that decides,
+    in place of ``order_by``: then only keys and places are aggregated, and the rows are
+    fetched at the end.
     """
     if null_keys not in ("insert", "reject"):
         raise ValueError(f"null_keys={null_keys!r}")
     if source_duplicates not in ("keep", "first"):
         raise ValueError(f"source_duplicates={source_duplicates!r}")
-    if source_duplicates == "first" and not order_by:
-        raise ValueError("source_duplicates='first' needs order_by")
+    if source_duplicates == "first" and not order_by and not place:
+        raise ValueError("source_duplicates='first' needs order_by or place")
 
     # Rows without a key skip the join: they would all hash to one partition.
     keyed = source.filter(all_present(keys))
     known = target.filter(all_present(keys)).select(*keys)
-    if source_duplicates == "first":
-        keyed = _first_of_keyed(keyed, keys, order_by)
-    absent = keyed.join(known.distinct(), list(keys), "left_anti")
+    if source_duplicates == "first" and place:
+        absent = _first_by_place(keyed, known, keys, place)
+    else:
+        if source_duplicates == "first":
+            keyed = _first_of_keyed(keyed, keys, order_by)
+        absent = keyed.join(known.distinct(), list(keys), "left_anti")
     absent = absent.select(*source.columns)
 
     if null_keys == "insert":

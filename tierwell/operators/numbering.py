@@ -8,13 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tierwell.operators.merge import PLACE_BITS
 from tierwell.session import staged
 from tierwell.sources.layers import BATCH_ROWS
 
-# Fixed value: monotonically_increasing_id() keeps the row's place in its partition in the low
-# 33 bits and the partition's number above them.
-PLACE_BITS = 33
-
 
 def number_rows(
     df: DataFrame,

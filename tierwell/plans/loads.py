@@ -19,7 +19,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tierwell.entities import DEPARTMENT, HIRED_EMPLOYEE, JOB, Entity
 from tierwell.functions.formats import Detected
 from tierwell.functions.times import DEFAULT_YEAR
-from tierwell.operators.merge import absent_rows, any_null
+from tierwell.operators.merge import absent_rows, any_null, with_place
 from tierwell.plans.partials import keep_partials
 from tierwell.plans.reports import departments_above_mean, hires_by_quarter
 from tierwell.sources import catalogue, evidence
@@ -186,6 +186,12 @@ def _merged_before(
     return read_layer(spark, base, TRUSTED, entity.name, schema, without=without)
 
 
+def _arrived(spark: SparkSession, base: str, entity: Entity, load_id: str | None) -> bool:
+    """Whether all raw rows came from files, so that their arrival is known: not by a statement."""
+    loads = published(spark, base, RAW, entity.name).values()
+    return all(a.policy == "own" for a in loads if load_id in (None, a.load_id))
+
+
 def merge_into_trusted(
     spark: SparkSession,
     entity: Entity,
@@ -219,6 +225,10 @@ def merge_into_trusted(
     raw = read_layer(spark, base, RAW, entity.name, entity.raw_table_schema, one)
     accepted = raw.filter(F.col("reject_reason").isNull())
     accepted = accepted.select(*entity.schema.names, *order_by)
+    place = None
+    if source_duplicates == "first" and _arrived(spark, base, entity, one):
+        accepted = with_place(accepted, order_by[:-1], order_by[-1])
+        place = "_place"
 
     attempt = uuid.uuid4().hex
     with ExitStack() as stack:
@@ -238,6 +248,7 @@ def merge_into_trusted(
             null_keys=null_keys,
             source_duplicates=source_duplicates,
             order_by=order_by,
+            place=place,
         )
         fresh = to_trusted(absent, entity, detected)
         inserted = write_trusted(spark, fresh, entity, base, load_id, attempt, table)
