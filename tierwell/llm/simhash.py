@@ -286,11 +286,20 @@ def without_near_copies(docs: DataFrame, shingle: int = 3, bits: int = 2) -> Dat
     own = next(f"row_hash{k}" for k in range(len(docs.columns) + 1) if f"row_hash{k}" not in docs.columns)
     hashed = docs.withColumn(own, row_hash(docs))
     printed = stable(fingerprints(hashed, shingle, (own,)))
-    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", own)
-    named = stable(printed.groupBy("fingerprint").agg(F.min(row).alias("first")))
+    counted = printed.groupBy("fingerprint", "doc_id", own).agg(F.count(F.lit(1)).alias("times"))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", own, "times")
+    named = stable(counted.groupBy("fingerprint").agg(F.min(row).alias("first")))
     rooted = connected(links(named, bits, SHARD))
     grouped = named.join(rooted, named.fingerprint == rooted.node, "left")
     least = grouped.groupBy(F.coalesce("root", "fingerprint")).agg(F.min("first").alias("first"))
-    kept = least.select(F.col("first.doc_id").alias("i"), F.col(f"first.{own}").alias("h"))
-    same = hashed.doc_id.eqNullSafe(kept.i) & (hashed[own] == kept.h)
-    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
+    first = F.col("first")
+    kept = stable(least.select(first["doc_id"].alias("i"), first[own].alias("h"), first["times"].alias("times")))
+
+    def rows(which: DataFrame) -> DataFrame:
+        same = F.col(f"d.{own}") == F.col("k.h")
+        same &= F.col("d.doc_id").eqNullSafe(F.col("k.i"))
+        return hashed.alias("d").join(which.alias("k"), same, "left_semi")
+
+    # Only rows that are repeated exactly need to be moved to find one of each.
+    once, again = rows(kept.where("times = 1")), rows(kept.where("times > 1"))
+    return once.union(again.dropDuplicates(["doc_id", own])).drop(own)
