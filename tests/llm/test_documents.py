@@ -378,6 +378,60 @@ def test_imatch(docs, rows):
     assert imatch.fingerprints(docs).count() == total
 
 
+def plain_slots(text, band):
+    """The rule written out with whole numbers: lexicon, subsets by hash, hash of the sorted terms."""
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    own = {m.encode() for m in re.findall("[0-9a-z\x80-\U0010ffff]+", lowered)}
+    known = {xxhash.xxh64_intdigest(w) for w in own & band}
+    whole = 2**64
+
+    def digest(values, bits):
+        raw = b"".join(v.to_bytes(8, "little") for v in sorted(values))
+        return f"{xxhash.xxh64_intdigest(raw) >> (64 - bits):0{bits // 4}x}"
+
+    if not known:
+        return [digest({xxhash.xxh64_intdigest(w) for w in own}, 64), *["------"] * 32]
+    slots = [digest(known, 64)]
+    for k in range(32):
+        inside = set()
+        for v in known:
+            h = (v ^ (0x9E3779B97F4A7C15 * (k + 1) % whole)) * 0xFF51AFD7ED558CCD % whole
+            h = (h ^ (h >> 33)) * 0xC4CEB9FE1A85EC53 % whole
+            if (h ^ (h >> 33)) * 4 ** (1 + k // 8) < whole:
+                inside.add(v)
+        slots.append(digest(inside, 24) if inside else "------")
+    return slots
+
+
+def test_imatch_by_plain_rule(docs, rows):
+    n = len(rows)
+    seen = Counter()
+    for r in rows:
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in r[1] or "")
+        seen.update({m.encode() for m in re.findall("[0-9a-z\x80-\U0010ffff]+", lowered)})
+    band = {w for w, c in seen.items() if max(1, n / 2000) <= c <= max(1, n / 20)}
+    made = defaultdict(set)
+    for r in imatch.compared(docs).collect():
+        made[r.doc_id].add((r.fingerprint, r.near_next))
+    once = [r for r in rows if r[0] is not None and [x[0] for x in rows].count(r[0]) == 1]
+    for r in once:
+        assert {f for f, _ in made[r[0]]} == {"".join(plain_slots(r[1], band))}
+    ids = sorted(r[0] for r in rows if r[0] is not None)
+    text = {r[0]: r[1] for r in rows}
+    for here, after in zip(ids, ids[1:], strict=False):
+        if ids.count(here) == ids.count(after) == 1:
+            a, b = plain_slots(text[here], band), plain_slots(text[after], band)
+            filled = [(x, y) for x, y in zip(a, b, strict=True) if {x, y} != {"------"}]
+            assert {s for _, s in made[here]} == {sum(x == y for x, y in filled) / len(filled)}
+
+
+def test_texts_without_lexicon_terms_stay_apart(spark):
+    texts = [(k, f"only{k} here{k}") for k in range(20_000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    made = imatch.fingerprints(docs, np.empty(0, np.uint64))
+    assert made.select("fingerprint").distinct().count() == 20_000
+
+
 # op10
 
 

@@ -3,7 +3,8 @@
 The lexicon is every term whose share of documents lies between `RARE` and `COMMON` (a band of inverse
 document frequency), counted over all documents. A fingerprint has one slot for the whole lexicon
 and `EACH` slots for each rate of `RATES`: randomised subsets of the lexicon that a term enters by
-its hash. A slot is the hash of the sorted distinct terms that a text has of its subset, or empty.
+its hash. A slot is the hash of the sorted distinct terms that a text has of its subset, or empty: 64 bits for
+the whole lexicon, which tells texts apart, and 24 for each subset, whose equal slots are only counted.
 A text without any lexicon term has all its distinct terms in the first slot. Equal texts have equal
 fingerprints; the likeness of two is the share of equal slots among those that either one fills,
 which follows the terms that they share.
@@ -115,17 +116,18 @@ class Printer:
             inside = self.words[at] == own
             known, bits = own[inside], self.bits[at[inside]]
         if not len(known):
-            slots[0] = self.hash(own)
+            slots[0] = self.hash(own, 64)
             return slots
         filled = int(np.bitwise_or.reduce(bits))
         for k in range(len(slots)):
             if filled >> k & 1:
-                slots[k] = self.hash(known[(bits >> np.uint64(k)) & np.uint64(1) == 1])
+                inside = known[(bits >> np.uint64(k)) & np.uint64(1) == 1]
+                slots[k] = self.hash(inside, 24 if k else 64)
         return slots
 
     @staticmethod
-    def hash(values: np.ndarray) -> str:
-        return f"{xxhash.xxh64_intdigest(values.tobytes()) >> 40:06x}"
+    def hash(values: np.ndarray, bits: int) -> str:
+        return f"{xxhash.xxh64_intdigest(values.tobytes()) >> 64 - bits:0{bits // 4}x}"
 
 
 def likeness(a: list[str], b: list[str]) -> float:
