@@ -1,22 +1,26 @@
-"""Substring dedup: word windows that already start in an earlier document, by sparse suffix trees.
-
-A window is `window` consecutive words. Its anchor is the least of its `prefix`-word hashes (by
-hash, then place): equal windows have equal anchors at equal places, so only the suffixes that
-start at anchors need to be kept, about one word in twenty.
-
-1. Each text gives its distinct anchors and how many windows each has; summing up finds those of two
-   or more texts. A window whose anchor stands in one text only can't be repeated and goes no
-   further.
-2. The anchor is the prefix that splits the suffixes into groups. A group holds, for each place of
-   the anchor, the hashes of the windows around it: the nodes of depth `window` of the group's
-   tree. Anchors of up to `GROUP` windows, however few texts they are in, make groups that are cut
-   out of a sorted partition, a bounded number of windows at a time. The prefix of a more frequent
-   anchor is lengthened to the whole window: there a node needs only its smallest doc_id, which is
-   aggregated before the shuffle and joined back, so no task holds the group.
-3. A window whose node has a smaller doc_id gives a range of words. Ranges meet their text again
-   by row key, and the words in them go.
-
-Windows are compared by 64-bit hashes. Texts move between stages compressed.
+"""Substring dedup: word windows that already start in an earlier document, by prefix-partitioned suffix trees.
+
+A window is `window` consecutive words: a suffix of a text, cut off at that depth. Suffixes are
+split into groups by a prefix of words, and the tree of a group is built where the group is.
+
+1. The prefix of a window is the least of its `prefix`-word hashes (by hash, then place), its
+   anchor. Equal windows have equal anchors at equal places, so a text's suffixes that share one
+   travel together, as one segment of words. Summing up finds the anchors of two or more texts; a
+   window whose anchor stands in one text only can't be repeated and goes no further.
+2. A group of more than `GROUP` windows would not fit a task: its prefix is lengthened by `LONGER`
+   words, which splits the group, until each fits. Segments hold all words that this needs.
+   Windows that are in a larger group even with the longest prefix below `window` words are
+   leaves of very few, very large nodes: a node needs only its smallest doc_id, which is
+   aggregated before the shuffle and joined back, so no task holds them. There, and only there, a
+   node is known by the SHA-256 of its words.
+3. Groups are cut out of a sorted partition, a bounded number of bytes at a time. Equal segments
+   become one, its words are numbered, and its suffixes are sorted by these numbers, doubling the
+   depth from one word to `window`. Suffixes of equal rank are the leaves below one internal node
+   of that depth. Words decide; hashes only group.
+4. A leaf whose node has a smaller doc_id gives a range of words. Ranges of neighbouring leaves
+   join to maximal repeats. They meet their text again by row key, and the words in them go.
+
+Texts move between stages compressed.
 
 Cases: a null or blank text has no words. A null doc_id counts as larger than all. Rows with equal
 doc_id don't remove each other's words. Repeated rows are repeated in the result, ties and extra
@@ -27,9 +31,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -40,12 +47,13 @@ from tierwell.llm.common import per_batch, quoted, stable
 
 WINDOW = 50
 PREFIX = 10
-#: Anchors of more windows than this are taken as whole windows.
+#: Words by which the prefix of a group of more than GROUP windows is lengthened.
+LONGER = 10
 GROUP = 131_072
 #: Windows of a row; a longer run of windows with one anchor takes several.
 RUN = 4096
-#: Windows that a task sorts at a time.
-AT_ONCE = 1_000_000
+#: Bytes of words whose suffixes a task sorts at a time.
+AT_ONCE = 8_000_000
 
 LAST = 2**63 - 1
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -157,48 +165,80 @@ def anchors(docs: DataFrame, window: int, prefix: int) -> DataFrame:
     return per_batch(docs.select("doc_id", "text"), "row_key long, anchor long, n_windows long", make)
 
 
+RUNS = "anchor long, n_windows long, doc_id long, row_key long, start long, segment binary"
+
+
+def segments(words: list[bytes], anchor: np.ndarray, chosen: np.ndarray, window: int) -> Iterator[tuple]:
+    """(anchor, number of windows, first window, words) of each run of chosen windows with one
+    anchor, or of `RUN` of them."""
+    joined = b" ".join(words)
+    stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    cuts = np.flatnonzero((anchor[1:] != anchor[:-1]) | (chosen[1:] != chosen[:-1])) + 1
+    cuts = [0, *cuts.tolist(), len(anchor)]
+    for first, last in zip(cuts, cuts[1:]):
+        if chosen[first]:
+            for start in range(first, last, RUN):
+                n = min(RUN, last - start)
+                begin = int(stops[start - 1]) + 1 if start else 0
+                yield int(anchor[start]), n, start, joined[begin : int(stops[start + n + window - 2])]
+
+
 def suffixes(candidates: DataFrame, window: int, prefix: int) -> DataFrame:
-    """The windows whose anchors are repeated, a row for each run of windows with one anchor (or
-    `RUN` of them): anchor, whether it is frequent, doc_id, place of the first window, hash of each window.
+    """The suffixes whose anchors are repeated (`RUNS`, and whether the anchor is frequent).
 
-    ``candidates`` has doc_id, packed text, sorted anchors and which of them are frequent."""
+    ``candidates`` has doc_id, packed text, its anchors and which of them are frequent."""
 
     def make():
         open_ = zstandard.ZstdDecompressor().decompress
 
         def work(ids, texts, keys, repeated, frequent):
-            out = {k: [] for k in ("anchor", "frequent", "doc_id", "row_key", "start", "windows")}
+            out = {k: [] for k in ("anchor", "n_windows", "doc_id", "row_key", "start", "segment", "frequent")}
             for i, text, key, some, often in zip(ids, texts, keys, repeated, frequent, strict=True):
-                hashes = word_hashes(open_(text).split())
-                own = anchors_of(hashes, window, prefix).view(np.int64)
-                some = np.array(some, np.int64)
-                order = np.argsort(some)
-                some, often = some[order], np.array(often, bool)[order]
-                cuts = np.concatenate(
-                    ([0], np.flatnonzero(own[1:] != own[:-1]) + 1, [len(own)])
-                )
-                at = np.searchsorted(some, own[cuts[:-1]]).clip(max=len(some) - 1)
-                hit = np.flatnonzero(some[at] == own[cuts[:-1]])
-                whole = grams(hashes, window).view(np.int64)
-                for k in hit.tolist():
-                    for start in range(int(cuts[k]), int(cuts[k + 1]), RUN):
-                        out["anchor"].append(int(own[start]))
-                        out["frequent"].append(bool(often[at[k]]))
-                        out["doc_id"].append(LAST if i is None else i)
-                        out["row_key"].append(key)
-                        out["start"].append(start)
-                        out["windows"].append(whole[start : min(start + RUN, int(cuts[k + 1]))])
+                words = open_(text).split()
+                own = anchors_of(word_hashes(words), window, prefix).view(np.int64)
+                many = {a for a, f in zip(some, often, strict=True) if f}
+                for anchor, n, start, segment in segments(words, own, np.isin(own, some), window):
+                    out["anchor"].append(anchor)
+                    out["n_windows"].append(n)
+                    out["doc_id"].append(LAST if i is None else i)
+                    out["row_key"].append(key)
+                    out["start"].append(start)
+                    out["segment"].append(segment)
+                    out["frequent"].append(anchor in many)
             return out
 
         return work
 
     return per_batch(
         candidates.select("doc_id", "packed", "row_key", "repeated", "frequent"),
-        "anchor long, frequent boolean, doc_id long, row_key long, start int, windows array<long>",
+        RUNS + ", frequent boolean",
         make,
     )
 
 
+def lengthened(runs: DataFrame, window: int, prefix: int) -> DataFrame:
+    """The suffixes of ``runs`` by prefixes of ``prefix`` words (`RUNS`)."""
+
+    def make():
+        def work(ids, keys, starts, texts):
+            out = {k: [] for k in ("anchor", "n_windows", "doc_id", "row_key", "start", "segment")}
+            for i, key, at, text in zip(ids, keys, starts, texts, strict=True):
+                words = text.split()
+                own = anchors_of(word_hashes(words), window, prefix).view(np.int64)
+                for anchor, n, start, segment in segments(words, own, np.ones(len(own), bool), window):
+                    out["anchor"].append(anchor)
+                    out["n_windows"].append(n)
+                    out["doc_id"].append(i)
+                    out["row_key"].append(key)
+                    out["start"].append(at + start)
+                    out["segment"].append(segment)
+            return out
+
+        return work
+
+    return per_batch(runs.select("doc_id", "row_key", "start", "segment"), RUNS, make)
+
+
 def ranges_of(keys: np.ndarray, places: np.ndarray, window: int):
     """Word ranges [from, to) that the windows at ``places`` of the rows ``keys`` cover."""
     order = np.lexsort((places, keys))
@@ -210,65 +250,133 @@ def ranges_of(keys: np.ndarray, places: np.ndarray, window: int):
     return keys[starts], places[starts], places[ends] + window
 
 
+def depth_ranks(numbers: np.ndarray, depth: int) -> np.ndarray:
+    """The rank of each suffix by its first ``depth`` words, for those that have as many."""
+
+    def paired(rank: np.ndarray, step: int) -> np.ndarray:
+        if not step:
+            return rank
+        pairs = rank[:-step] * (int(rank.max(initial=0)) + 1) + rank[step:]
+        return np.unique(pairs, return_inverse=True)[1]
+
+    span, rank = 1, numbers
+    while span * 2 <= depth:
+        rank, span = paired(rank, span), span * 2
+    return paired(rank, depth - span)
+
+
+def repeats(texts: list[bytes], least: np.ndarray, window: int):
+    """The words of each text, and (text, start, stop) of the repeats that a smaller doc_id has;
+    ``least`` is the smallest doc_id of each text. All texts have ``window`` words or more."""
+    number = defaultdict()
+    number.default_factory = number.__len__
+    words = [np.array([number[w] for w in t.split()], np.int64) for t in texts]
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    begins = np.cumsum(sizes) - sizes
+    windows = sizes - window + 1
+    owner = np.repeat(np.arange(len(texts)), windows)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    # Numbers across the end of a text are ranked too, but no window starts there.
+    node = depth_ranks(np.concatenate(words), window)[begins[owner] + place]
+    first = np.full(int(node.max()) + 1, LAST)
+    np.minimum.at(first, node, least[owner])
+    again = first[node] < least[owner]
+    return sizes, ranges_of(owner[again], place[again], window)
+
+
 def repeated_in_groups(runs: DataFrame, window: int, at_once: int = AT_ONCE) -> DataFrame:
     """(row_key, start, stop) of the windows that start in a smaller doc_id too. Whole groups of
-    an anchor are taken until they hold ``at_once`` windows."""
-
-    def solve(tables) -> pa.RecordBatch:
-        table = pa.Table.from_batches(tables)
-        lists = table.column("windows").combine_chunks()
-        sizes = np.diff(lists.offsets.to_numpy())
-        nodes = lists.flatten().to_numpy()
-        doc = np.repeat(table.column("doc_id").to_numpy(), sizes)
-        key = np.repeat(table.column("row_key").to_numpy(), sizes)
-        place = np.repeat(
-            table.column("start").to_numpy() - (np.cumsum(sizes) - sizes), sizes
-        ) + np.arange(len(nodes))
-        order = np.lexsort((doc, nodes))
-        head = np.ones(len(nodes), bool)
-        head[1:] = nodes[order][1:] != nodes[order][:-1]
-        first = doc[order][np.flatnonzero(head)][np.cumsum(head) - 1]
-        again = order[doc[order] > first]
-        k, a, b = ranges_of(key[again], place[again], window)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(k, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
-            names=["row_key", "start", "stop"],
+    an anchor are taken until they hold ``at_once`` bytes."""
+
+    def solve(batches) -> pa.RecordBatch:
+        table = pa.Table.from_batches(batches)
+        doc, key, start = (table.column(c).to_numpy() for c in ("doc_id", "row_key", "start"))
+        coded = table.column("segment").combine_chunks().dictionary_encode()
+        kind = coded.indices.to_numpy()
+        least = np.full(len(coded.dictionary), LAST)
+        np.minimum.at(least, kind, doc)
+        sizes, (owner, begin, end) = repeats(coded.dictionary.to_pylist(), least, window)
+        whole = doc > least[kind]
+        rest = np.flatnonzero(~whole)
+        owned = np.bincount(owner, minlength=len(least))
+        each = owned[kind[rest]]
+        row = np.repeat(rest, each)
+        part = np.arange(len(row)) + np.repeat((np.cumsum(owned) - owned)[kind[rest]] - (np.cumsum(each) - each), each)
+        made = (
+            np.concatenate([key[whole], key[row]]),
+            np.concatenate([start[whole], start[row] + begin[part]]),
+            np.concatenate([start[whole] + sizes[kind[whole]], start[row] + end[part]]),
         )
+        return pa.RecordBatch.from_arrays([pa.array(m, pa.int64()) for m in made], names=["row_key", "start", "stop"])
 
     def run(batches):
-        waiting, held = [], 0
+        waiting, held, last = [], 0, None
         for batch in batches:
             anchor = batch.column("anchor").to_numpy()
-            sizes = np.diff(batch.column("windows").offsets.to_numpy())
-            at = 0
-            cuts = np.append(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, len(anchor)) if len(anchor) else []
-            last = waiting[-1].column("anchor")[-1].as_py() if waiting else None
+            size = np.cumsum(pc.binary_length(batch.column("segment")).to_numpy())
+            cuts = np.append(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, len(anchor)) if len(anchor) else ()
+            begin = done = 0
             for cut in cuts:  # a group ends before `cut`, unless the next batch goes on with it
-                if held >= at_once and anchor[at] != last:
+                if held >= at_once and anchor[done] != last:
+                    if done > begin:
+                        waiting.append(batch.slice(begin, done - begin))
                     yield solve(waiting)
-                    waiting, held = [], 0
-                waiting.append(batch.slice(at, cut - at))
-                held += int(sizes[at:cut].sum())
-                last, at = anchor[at], cut
+                    waiting, held, begin = [], 0, done
+                held += int(size[cut - 1]) - (int(size[done - 1]) if done else 0)
+                last, done = anchor[done], cut
+            if done > begin:
+                waiting.append(batch.slice(begin, done - begin))
         if waiting:
             yield solve(waiting)
 
     grouped = runs.repartition("anchor").sortWithinPartitions("anchor")
-    return grouped.select("anchor", "doc_id", "row_key", "start", "windows").mapInArrow(
+    return grouped.select("anchor", "doc_id", "row_key", "start", "segment").mapInArrow(
         run, "row_key long, start long, stop long"
     )
 
 
 def repeated_windows(runs: DataFrame, window: int) -> DataFrame:
-    """The same for frequent anchors: the smallest doc_id of each window is aggregated and joined."""
-    each = runs.select("doc_id", "row_key", "start", F.posexplode("windows").alias("i", "node"))
+    """The same for windows of the largest groups: the smallest doc_id of each node is aggregated and joined."""
+
+    def make():
+        def work(ids, keys, starts, texts):
+            out = {"node": [], "doc_id": [], "row_key": [], "start": [], "stop": []}
+            for i, key, at, text in zip(ids, keys, starts, texts, strict=True):
+                words = text.split()
+                for k in range(len(words) - window + 1):
+                    out["node"].append(hashlib.sha256(b" ".join(words[k : k + window])).digest())
+                    out["doc_id"].append(i)
+                    out["row_key"].append(key)
+                    out["start"].append(at + k)
+                    out["stop"].append(at + k + window)
+            return out
+
+        return work
+
+    each = per_batch(
+        runs.select("doc_id", "row_key", "start", "segment"),
+        "node binary, doc_id long, row_key long, start long, stop long",
+        make,
+    )
     first = each.groupBy(F.col("node").alias("same")).agg(F.min("doc_id").alias("first_id"))
     again = each.join(first, each.node == first.same).where("doc_id > first_id")
-    return again.select(
-        "row_key",
-        (F.col("start") + F.col("i")).cast("long").alias("start"),
-        (F.col("start") + F.col("i") + window).cast("long").alias("stop"),
-    )
+    return again.select("row_key", "start", "stop")
+
+
+def groups(runs: DataFrame, window: int, prefix: int, group: int) -> tuple[list[DataFrame], DataFrame]:
+    """The suffixes in groups of up to ``group`` windows, by length of their prefixes, and those
+    that no prefix shorter than the window brings into one."""
+    made, often = [runs.where("not frequent")], runs.where("frequent")
+    while prefix + LONGER < window and not often.isEmpty():
+        prefix += LONGER
+        split = stable(lengthened(often, window, prefix))
+        sizes = split.groupBy(F.col("anchor").alias("same")).agg(
+            (F.sum("n_windows") > group).alias("frequent"), (F.min("doc_id") < F.max("doc_id")).alias("shared")
+        )
+        split = split.join(sizes.where("shared"), split.anchor == sizes.same).drop("same", "shared")
+        made.append(split.where("not frequent"))
+        often = split.where("frequent")
+    return made, often
 
 
 def repeated_ranges(
@@ -292,10 +400,10 @@ def repeated_ranges(
         F.col("found.anchor").alias("repeated"),
         F.col("found.frequent").alias("frequent"),
     )
-    runs = stable(suffixes(candidates, window, prefix))
-    found = repeated_in_groups(runs.where("not frequent"), window).union(
-        repeated_windows(runs.where("frequent"), window)
-    )
+    made, often = groups(stable(suffixes(candidates, window, prefix)), window, prefix, group)
+    found = repeated_windows(often, window)
+    for runs in made:
+        found = found.union(repeated_in_groups(runs, window))
     return found.groupBy(F.col("row_key").alias("cut")).agg(
         F.collect_set(F.struct("start", "stop")).alias("ranges")
     )
