@@ -79,8 +79,8 @@ def test_near_copies_are_judged_by_their_own_text(spark):
         assert sorted(got, key=repr) == sorted([(3, a), (5, b), (None, c)], key=repr)
 
 
-@pytest.mark.parametrize("shard", [8, 64, 100_000])
-def test_vantage_point_links_lose_no_pair(spark, shard):
+@pytest.mark.parametrize(("shard", "levels"), [(8, 8), (64, 8), (100_000, 8), (8, 1), (8, 2), (16, 3)])
+def test_vantage_point_links_lose_no_pair(spark, shard, levels):
     rng = np.random.default_rng(shard)
     seeds = rng.integers(0, 2**64, 150, np.uint64)
     near = [s ^ np.uint64((1 << int(a)) | (1 << int(b))) for s in seeds[:60] for a, b in rng.integers(0, 64, (6, 2))]
@@ -93,7 +93,7 @@ def test_vantage_point_links_lose_no_pair(spark, shard):
     for v, r in zip(values.view(np.int64).tolist(), roots, strict=True):
         groups[r].add(v)
     df = spark.createDataFrame([(v,) for v in values.view(np.int64).tolist()], "fingerprint long")
-    found = simhash.connected(simhash.links(df, 2, shard)).collect()
+    found = simhash.connected(simhash.links(df, 2, shard, levels)).collect()
     mine = defaultdict(set)
     for r in found:
         mine[r.root] |= {r.node, r.root}
@@ -101,6 +101,21 @@ def test_vantage_point_links_lose_no_pair(spark, shard):
     assert all(root == min(g) for root, g in mine.items())
 
 
+def test_subtrees_split_nodes_further(spark):
+    """Each native has one leaf, leaves are smaller than nodes, and guests are what the bounds ask for."""
+    values = np.unique(np.random.default_rng(1).integers(0, 2**64, 4000, np.uint64))
+    rows = [(2 + k % 2, int(v), False) for k, v in enumerate(values.view(np.int64))]
+    dealt = spark.createDataFrame(rows, simhash.DEALT)
+    made = simhash.dealt_further(dealt, 0.5, 3, 2).collect()
+    natives = [(r.fingerprint, r.shard) for r in made if not r.guest]
+    assert sorted(f for f, _ in natives) == sorted(v for _, v, _ in rows)
+    assert {s >> 3 for _, s in natives} == {2, 3} and all(s >> 3 == dict((v, n) for n, v, _ in rows)[f] for f, s in natives[:50])
+    sizes = Counter(s for _, s in natives)
+    assert len(sizes) == 16 and max(sizes.values()) < 1000
+    leaf = dict(natives)
+    assert all(leaf[r.fingerprint] != r.shard and leaf[r.fingerprint] >> 3 == r.shard >> 3 for r in made if r.guest)
+
+
 # op9
 
 

@@ -8,10 +8,12 @@ partner can be; pairs are looked for between natives, and between natives and gu
 goes on splitting in memory. A shard returns a spanning star of each of its groups, not its pairs,
 so a group of n near copies costs n rows.
 
-The tree's upper part is built on a sample of 64 fingerprints a shard; it only decides where
-fingerprints go, and every one of them goes somewhere. A shard has about `SHARD` natives, so its
-memory doesn't grow with the table; the number of shards does, and with each doubling of it
-guests grow by about 1.4.
+The tree's upper part is built on samples of 64 fingerprints a leaf; it only decides where
+fingerprints go, and every one of them goes somewhere. It grows `LEVELS` levels at a time: the first
+on the driver, from a sample whose size doesn't depend on the table, the subtrees below it in tasks,
+one a node, which reach the node's fingerprints through the same shuffle. So no one holds the whole
+tree. A shard has about `SHARD` natives, so its memory doesn't grow with the table; the number of
+shards does, and with each doubling of it guests grow by about 1.4.
 
 Nulls: a null text is an empty one. Texts without words have the fingerprint zero. A null doc_id is
 a document, but no component is named after it unless nothing else is in it (then null). Repeated
@@ -20,7 +22,10 @@ rows are repeated in the result. An empty table gives an empty result. Other col
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +35,10 @@ from tierwell.llm.common import per_batch, row_hash, stable
 #: Natives of a shard.
 SHARD = 16_384
 SAMPLED_PER_SHARD = 64
+#: Levels of the tree that grow at a time, so a sample has at most SAMPLED_PER_SHARD << LEVELS fingerprints.
+LEVELS = 8
+#: Tasks that deal out the fingerprints of a node below the first levels.
+SALTS = 8
 #: Below this many a node is compared in full.
 LEAF = 256
 
@@ -113,9 +122,9 @@ def split(values: np.ndarray, guest: np.ndarray, pivot, radius: int, bits: int):
     return inside | visits, outside, guest | visits
 
 
-def route(tree, values: np.ndarray, bits: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+def route(tree, values: np.ndarray, bits: int, guest: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """(leaf, values, which of them are guests) for each leaf that gets any."""
-    found, todo = [], [(tree, values, np.zeros(len(values), bool))]
+    found, todo = [], [(tree, values, guest)]
     while todo:
         node, v, guest = todo.pop()
         if not len(v):
@@ -182,43 +191,89 @@ def shard_links(values: np.ndarray, guest: np.ndarray, bits: int) -> tuple[np.nd
     return at, root[at]
 
 
-def links(distinct: DataFrame, bits: int = 2, shard: int = SHARD) -> DataFrame:
+DEALT = "shard long, fingerprint long, guest boolean"
+
+
+def routed(tree, values: np.ndarray, guest: np.ndarray, bits: int):
+    for leaf, v, as_guest in route(tree, values.view(np.uint64), bits, guest):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(v), leaf)), pa.array(v.view(np.int64)), pa.array(as_guest)],
+            names=["shard", "fingerprint", "guest"],
+        )
+
+
+def dealt_further(dealt: DataFrame, share: float, depth: int, bits: int) -> DataFrame:
+    """The fingerprints of each node dealt to the leaves of a subtree of its own, of ``depth``
+    levels, built on a ``share`` of its natives."""
+    most = SAMPLED_PER_SHARD << depth
+
+    def grown(table):
+        values = table.column("fingerprint").to_numpy().view(np.uint64)
+        mixed = (values ^ (values >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+        values = np.sort(values[np.lexsort((values, mixed))][:most])
+        node = table.column("shard")[0].as_py()
+        return pa.table({"shard": [node], "tree": [pickle.dumps(grow(values, depth, node))]})
+
+    def deal(batches):
+        node, tree = None, None
+        for batch in batches:
+            shard = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
+            for first, last in zip(cuts, cuts[1:]):
+                part = batch.slice(first, last - first)
+                if first == last:
+                    continue
+                if shard[first] != node:
+                    node, tree = shard[first], int(shard[first])
+                seeds = [t for t in part.column(3).to_pylist() if t is not None]
+                if seeds:  # a node's subtree stands before its fingerprints
+                    tree = pickle.loads(seeds[0])
+                rows = part.filter(part.column(3).is_null())
+                guest = rows.column(2).to_numpy(zero_copy_only=False)
+                yield from routed(tree, rows.column(1).to_numpy(), guest, bits)
+
+    sampled = dealt.where(~F.col("guest") & (F.pmod(F.xxhash64("fingerprint"), F.lit(1 << 30)) < int(share * (1 << 30))))
+    trees = stable(sampled.select("shard", "fingerprint").groupBy("shard").applyInArrow(grown, "shard long, tree binary"))
+    salt = F.pmod(F.xxhash64(F.lit(1), "fingerprint"), F.lit(SALTS)).cast("int")
+    rows = dealt.select("*", F.lit(None).cast("binary").alias("tree"), salt.alias("salt"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    seeds = trees.select("shard", F.lit(0).cast("long").alias("fingerprint"), F.lit(False).alias("guest"), "tree", salts)
+    together = rows.union(seeds).repartition("shard", "salt")
+    together = together.sortWithinPartitions("shard", F.col("tree").isNull())
+    return together.select("shard", "fingerprint", "guest", "tree").mapInArrow(deal, DEALT)
+
+
+def links(distinct: DataFrame, bits: int = 2, shard: int = SHARD, levels: int = LEVELS) -> DataFrame:
     """Star edges (a, b) between the values of the column ``fingerprint``, which are distinct."""
-    spark = distinct.sparkSession
     total = distinct.count()
     depth = max(0, int(np.ceil(np.log2(max(1, total) / shard))))
+    upper = min(depth, levels)
     sampled = (
         distinct.orderBy(F.xxhash64("fingerprint"), "fingerprint")
-        .limit(SAMPLED_PER_SHARD << depth)
+        .limit(SAMPLED_PER_SHARD << upper)
         .toPandas()["fingerprint"]
         if depth
         else []
     )
-    tree = grow(np.sort(np.array(sampled, np.int64).view(np.uint64)), depth)
+    tree = grow(np.sort(np.array(sampled, np.int64).view(np.uint64)), upper)
 
     def deal(batches):
-        import pyarrow as pa
-
         for batch in batches:
-            values = batch.column(0).to_numpy().view(np.uint64)
-            for leaf, v, guest in route(tree, values, bits):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(v), leaf)), pa.array(v.view(np.int64)), pa.array(guest)],
-                    names=["shard", "fingerprint", "guest"],
-                )
+            values = batch.column(0).to_numpy()
+            yield from routed(tree, values, np.zeros(len(values), bool), bits)
 
     def in_shard(table):
-        import pyarrow as pa
-
         order = np.argsort(table.column("fingerprint").to_numpy(), kind="stable")
         values = table.column("fingerprint").to_numpy()[order]
         guest = table.column("guest").to_numpy()[order]
         a, b = shard_links(values.view(np.uint64), guest, bits)
         return pa.table({"a": values[a], "b": values[b]})
 
-    dealt = distinct.select("fingerprint").mapInArrow(
-        deal, "shard long, fingerprint long, guest boolean"
-    )
+    dealt = distinct.select("fingerprint").mapInArrow(deal, DEALT)
+    for done in range(levels, depth, levels):
+        more = min(levels, depth - done)
+        share = min(1.0, (SAMPLED_PER_SHARD << (done + more)) / total)
+        dealt = dealt_further(stable(dealt), share, more, bits)
     return dealt.groupBy("shard").applyInArrow(in_shard, "a long, b long")
 
 
