@@ -510,7 +510,34 @@ def test_mahalanobis_distance_and_estimate(spark):
     diff = x - x.mean(0)
     expected = np.einsum("ij,jk,ik->i", diff, np.linalg.inv(cov), diff)[np.argsort(x[:, 0])]
     assert np.allclose(got, expected)
-    assert abs(outliers.nearest(outliers.with_distance(df, outliers.estimate(df, 1.0)).drop("logdet"), 0.75).count() - 150) <= 15
+
+
+def test_steps_of_the_estimate_against_numpy(spark):
+    """Each step takes exactly the share, and the determinant falls as that of the nearest rows does."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(401, 5)) @ rng.normal(size=(5, 5)) * 3
+    x[:60] += 40
+    x[60:70] = x[60]  # ties
+    schema = "lang string, source string, base_failed boolean, a double, b double, c double, d double, e double"
+    df = spark.createDataFrame([("en", None, k % 7 == 0, *map(float, row)) for k, row in enumerate(x)], schema)
+    now, mean, cov = outliers.estimate(df, 1.0), x.mean(0), np.cov(x.T, bias=True) + np.diag(np.square(outliers.FLOOR))
+    dets = []
+    for _ in range(3):
+        inside = outliers.nearest(outliers.with_distance(df, now).drop("logdet"), 0.75)
+        assert abs(inside.agg({"weight": "sum"}).first()[0] - 0.75 * 401) < 1e-9
+        now = outliers.stable(outliers.estimate(inside, outliers.CONSISTENCY))
+        d2 = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+        bins = np.floor(64 * np.log2(d2 + 1e-6))
+        last = np.sort(bins)[math.ceil(0.75 * 401) - 1]
+        weight = np.where(bins < last, 1.0, (0.75 * 401 - (bins < last).sum()) / (bins == last).sum()) * (bins <= last)
+        mean = np.average(x, axis=0, weights=weight)
+        cov = np.cov(x.T, aweights=weight, bias=True) * outliers.CONSISTENCY + np.diag(np.square(outliers.FLOOR))
+        got = now.first()
+        assert np.allclose([got[f"m{i}"] for i in range(5)], mean) and math.isclose(got.logdet * 2, np.linalg.slogdet(cov)[1])
+        dets.append(got.logdet)
+    assert dets == sorted(dets, reverse=True) and abs(mean).max() < 20 < x[:60].mean()
+    best = outliers.estimates(df).first()
+    assert best.logdet <= dets[-1] + 1e-9
 
 
 # op1, op8

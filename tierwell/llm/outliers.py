@@ -9,8 +9,11 @@ centre's half; the one with the smaller determinant wins. A document whose robus
 above `CUT` is rejected.
 
 All state between the steps is one row a group (means and a Cholesky factor). The documents of
-smallest distance are found by exact counts of distances in fixed bins (a sixteenth of a doubling),
-which are aggregated before the shuffle; a hot group costs as many rows as others.
+smallest distance are found by exact counts of distances in fixed bins (a 64th of a doubling, so
+distances in one differ by about 1 %), which are aggregated before the shuffle; a hot group costs
+as many rows as others. The documents of the bin that the share ends in count with the weight that
+makes up exactly the share, so determinants of one group are of equally many documents, and ties
+need no order.
 
 `FLOOR` is added to the variances, which keeps the covariance of constant statistics from vanishing.
 In a group without any spread a single statistic may so differ by sqrt(`CUT`) = 6.8 times its
@@ -106,10 +109,15 @@ def vector() -> dict[str, Column]:
 
 
 def estimate(rows: DataFrame, scale: float) -> DataFrame:
-    """Means, Cholesky factor and log determinant of each group (g1, g2)."""
+    """Means, Cholesky factor and log determinant of each group (g1, g2), by ``weight`` if there is one."""
     pairs = [(i, j) for i in range(5) for j in range(i + 1)]
-    sums = [F.avg(n).alias(f"m{i}") for i, n in enumerate(NAMES)]
-    sums += [F.avg(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"s{i}{j}") for i, j in pairs]
+    weight = F.col("weight") if "weight" in rows.columns else F.lit(1.0)
+
+    def mean(column: Column) -> Column:
+        return F.sum(weight * column) / F.sum(weight)
+
+    sums = [mean(F.col(n)).alias(f"m{i}") for i, n in enumerate(NAMES)]
+    sums += [mean(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"s{i}{j}") for i, j in pairs]
     made = rows.groupBy("lang", "source").agg(*sums)
     made = made.withColumns(
         {
@@ -156,21 +164,24 @@ def with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 
 
 def nearest(rows: DataFrame, share: float) -> DataFrame:
-    """Of each group the ``share`` of rows with the smallest d2, up to whole bins."""
-    binned = rows.withColumn("bin", F.floor(16 * F.log2(F.col("d2") + 1e-6)).cast("int"))
+    """Of each group the ``share`` of rows with the smallest d2. Their ``weight`` is one, but for the
+    last bin, whose rows share what is left; a group's weights add up to ``share`` times its rows."""
+    binned = rows.withColumn("bin", F.floor(64 * F.log2(F.col("d2") + 1e-6)).cast("int"))
     sizes = binned.groupBy("lang", "source", "bin").agg(F.count(F.lit(1)).alias("n"))
     group = Window.partitionBy("lang", "source")
-    upto = F.sum("n").over(group.orderBy("bin")) - F.col("n")
+    before = F.sum("n").over(group.orderBy("bin")) - F.col("n")
+    wanted = share * F.sum("n").over(group) - before
     cuts = (
-        sizes.withColumn("inside", upto < share * F.sum("n").over(group))
-        .where("inside")
+        sizes.withColumn("wanted", wanted)
+        .where("wanted > 0")
         .groupBy(F.col("lang").alias("c1"), F.col("source").alias("c2"))
-        .agg(F.max("bin").alias("last"))
+        .agg(F.max(F.struct("bin", F.least(F.lit(1.0), F.col("wanted") / F.col("n")).alias("part"))).alias("last"))
     )
     cuts = stable(cuts)
+    weight = F.when(F.col("bin") < F.col("last.bin"), 1.0).otherwise(F.col("last.part"))
     return binned.join(
         cuts, F.col("lang").eqNullSafe(F.col("c1")) & F.col("source").eqNullSafe(F.col("c2"))
-    ).where("bin <= last").select(*rows.columns)
+    ).where("bin <= last.bin").select(*rows.columns, weight.alias("weight"))
 
 
 def levels(rows: DataFrame, least: int = LEAST) -> DataFrame:
