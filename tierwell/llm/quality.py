@@ -11,7 +11,7 @@ makes it a probability.
 The classifier is fitted on a bounded sample of the labelled training rows: at most `SAMPLE` of each
 label, those with the smallest hashes of doc_id. Their whole texts are read in tasks, which count words, add
 up word vectors and pool documents; the driver gets the words that stand there three times or
-more, a matrix of word vectors from each task, a row of numbers for each document, and no text. It fits network and
+more, their vectors, a row of numbers for each document, and no text. It fits network and
 temperature.
 
 Cases: null and empty texts are scored as documents without words. Null labels and labels without a
@@ -42,6 +42,8 @@ NONZERO = 4
 COMMON = 3
 #: Tasks that read the sample.
 READERS = 16
+#: Words whose vectors travel together.
+BLOCK = 2048
 HIDDEN = 24
 REACH = 2
 
@@ -174,12 +176,19 @@ def word_vectors(rows: DataFrame, words: dict[str, int]) -> np.ndarray:
                             order = np.argsort(a, kind="stable")
                             kinds, starts = np.unique(a[order], return_index=True)
                             total[kinds] += np.add.reduceat(index[b[order]], starts)
-        if used:
-            yield pa.RecordBatch.from_pydict({"vectors": [total.astype(np.int32).tobytes()]})
+        for start in range(0, len(total) if used else 0, BLOCK):
+            block = total[start : start + BLOCK].astype(np.int64)
+            yield pa.RecordBatch.from_pydict({"start": [start], "vectors": [block.tobytes()]})
+
+    def added(table):
+        blocks = (np.frombuffer(v.as_buffer(), np.int64) for v in table.column("vectors"))
+        return pa.table({"start": table.column("start")[:1], "vectors": [sum(blocks).tobytes()]})
 
     vectors = np.zeros(index.shape, np.int64)  # sums of whole numbers, equal in any order
-    for row in rows.select("text").mapInArrow(run, "vectors binary").collect():
-        vectors += np.frombuffer(row.vectors, np.int32).reshape(index.shape)
+    parts = rows.select("text").mapInArrow(run, "start long, vectors binary").groupBy("start")
+    for row in parts.applyInArrow(added, "start long, vectors binary").collect():
+        block = np.frombuffer(row.vectors, np.int64).reshape(-1, DIMENSIONS)
+        vectors[row.start : row.start + len(block)] = block
     made = index + np.float32(0.1) * vectors.astype(np.float32)
     return made / np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-6)
 
