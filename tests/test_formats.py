@@ -1,10 +1,14 @@
 """Formats found from the data, value by value and by all values together."""
 
+import re
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
 
+from tierwell.entities import DETECT, HIRED_EMPLOYEE
 from tierwell.functions import formats
+from tierwell.plans import loads
 
 
 def column(spark, values):
@@ -83,3 +87,33 @@ def test_one_aggregate_without_python(spark):
     df = column(spark, ["01/02/2021"]).agg(*formats.evidence("t", "t"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and plan.count("Exchange SinglePartition") == 1
+
+
+def test_a_value_is_matched_once(spark):
+    """Counting what decides an order, and asking if a value can be read, take the marks and times of one projection."""
+    rows = formats.with_readings(column(spark, ["01/02/2021", "13.02.2021", "1627344000", "x", None]), "t", "_r")
+    made = rows.select(formats.proof("_r").alias("_proof"), formats.readable("t", "_r").alias("can"))
+    assert [r.can for r in made.collect()] == [True, True, True, False, False]
+    counts = made.agg(*formats.evidence_of("_proof", "t"))
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(t#") == 1 and plan.count("regexp_replace(t#") == 2
+    assert counts.first().asDict() == rows.agg(*formats.evidence("t", "t")).first().asDict()
+
+
+def test_a_load_matches_a_value_once(spark, tmp_path, monkeypatch):
+    source = tmp_path / "hires.csv"
+    source.write_text("1,a,13/02/2021,1,1\n2,b,01/02/2021,1,1\n3,c,99/99/2021,1,1\n")
+    entity, plans = replace(HIRED_EMPLOYEE, formats=(("DATETIME", DETECT),)), []
+    observe = type(spark.range(1)).observe
+
+    def seen(df, *args):
+        made = observe(df, *args)
+        plans.append(made._jdf.queryExecution().optimizedPlan().toString())
+        return made
+
+    monkeypatch.setattr(type(spark.range(1)), "observe", seen)
+    facts = loads.write_raw(spark, entity, str(source), f"{tmp_path}/base", "a")
+    assert (facts["DATETIME.slash.day"], facts["DATETIME.slash.either"], facts["rejected"]) == (1, 1, 1)
+    # Apart from dates with the month's name, whose parts are only matched where one is.
+    assert len(re.findall(r"regexp_extract\(DATETIME#\d+, \^\\s\*\(\\d", plans[0])) == 1
+    assert plans[0].count("regexp_replace(DATETIME") == 2

@@ -76,22 +76,51 @@ def evidence_names(name: str) -> list[str]:
     return [f"{name}.{mark}.{kind}" for mark in SEPARATORS.values() for kind in EVIDENCE]
 
 
+def _of_mark(mark: Column, text: Column, order: str) -> Column:
+    return F.when(mark != "", _numeric(text, order))
+
+
+def with_readings(df: DataFrame, text: str, prefix: str) -> DataFrame:
+    """The mark of each value's numeric date, or empty, and its times with the day and with the month first, in
+    columns ``<prefix>_mark``, ``<prefix>_day`` and ``<prefix>_month``: matched once a row, for ``proof`` and ``readable``."""
+    column, mark = F.col(text), F.col(f"{prefix}_mark")
+    df = df.withColumn(f"{prefix}_mark", _separator(column))
+    return df.withColumns(
+        {f"{prefix}_{order}": _of_mark(mark, column, order) for order in (DAY_FIRST, MONTH_FIRST)}
+    )
+
+
+def _proof(mark: Column, day: Column, month: Column) -> Column:
+    """What a value tells of the order of day and month, as a number by separator and kind; null if nothing."""
+    kind = (
+        F.when(month.isNull(), F.when(day.isNotNull(), 0))
+        .when(day.isNull(), 1)
+        # 3/3/2021 is the same day in both orders.
+        .when(day != month, 2)
+    )
+    return F.position(mark, F.lit("".join(SEPARATORS))) * len(EVIDENCE) + kind
+
+
+def proof(prefix: str) -> Column:
+    """The proof of a value with readings, to be counted by ``evidence_of``."""
+    return _proof(*[F.col(f"{prefix}_{k}") for k in ("mark", DAY_FIRST, MONTH_FIRST)])
+
+
+def evidence_of(proofs: Column | str, name: str) -> list[Column]:
+    """Counts of proofs that decide the order of day and month: aggregates to be taken over all rows, or observed."""
+    column = F.col(proofs) if isinstance(proofs, str) else proofs
+    return [
+        F.count_if(F.coalesce(column == (at * len(EVIDENCE) + k), F.lit(False))).alias(f"{name}.{called}.{kind}")
+        for at, called in enumerate(SEPARATORS.values(), 1)
+        for k, kind in enumerate(EVIDENCE)
+    ]
+
+
 def evidence(text: Column | str, name: str) -> list[Column]:
-    """Counts that decide the order of day and month: aggregates to be taken over all rows, or observed."""
+    """The same straight from the text, which is then matched for each of the counts."""
     column = F.col(text) if isinstance(text, str) else text
     mark = _separator(column)
-    day, month = (_numeric(column, order) for order in (DAY_FIRST, MONTH_FIRST))
-    counts = []
-    for separator, called in SEPARATORS.items():
-        here = mark == separator
-        for kind, proof in (
-            ("day", day.isNotNull() & month.isNull()),
-            ("month", month.isNotNull() & day.isNull()),
-            # 3/3/2021 is the same day in both orders.
-            ("either", day.isNotNull() & month.isNotNull() & (day != month)),
-        ):
-            counts.append(F.count_if(F.coalesce(here & proof, F.lit(False))).alias(f"{name}.{called}.{kind}"))
-    return counts
+    return evidence_of(_proof(mark, *[_of_mark(mark, column, order) for order in (DAY_FIRST, MONTH_FIRST)]), name)
 
 
 def added(*parts: Mapping[str, int]) -> dict[str, int]:
@@ -132,7 +161,8 @@ def decided(counts: Mapping[str, int], name: str) -> Detected:
 
 def detect(df: DataFrame, text: str) -> Detected:
     """The format of a column, from one aggregate over all its rows."""
-    return decided(df.agg(*evidence(text, text)).first().asDict(), text)
+    read = with_readings(df.select(text), text, "_read")
+    return decided(read.select(proof("_read").alias("_proof")).agg(*evidence_of("_proof", text)).first().asDict(), text)
 
 
 def read_detected(text: Column | str, detected: Detected) -> Column:
@@ -142,18 +172,18 @@ def read_detected(text: Column | str, detected: Detected) -> Column:
     in the text is dropped, not converted.
     """
     column = F.col(text) if isinstance(text, str) else text
-    mark = _separator(column)
-    made = F.when(column.rlike(WHOLE), _whole(column))
-    for separator in SEPARATORS:
-        made = made.when(mark == separator, _numeric(column, detected.order(separator)))
-    return made.when(column.rlike(NAMED), _named(column)).otherwise(_iso(column))
+    numeric = column  # as ISO text; what has no such date stays as it is
+    for order, places in ((DAY_FIRST, "$4-$3-$1$5"), (MONTH_FIRST, "$4-$1-$3$5")):
+        marks = "".join(s for s in SEPARATORS if detected.order(s) == order)
+        if marks:
+            numeric = F.regexp_replace(numeric, NUMERIC.replace("".join(SEPARATORS), marks), places)
+    made = F.when(column.rlike(WHOLE), _whole(column)).when(column.rlike(NAMED), _named(column))
+    return made.otherwise(_iso(numeric))
 
 
-def readable(text: Column | str) -> Column:
-    """Whether a value can be read in any order of day and month."""
+def readable(text: Column | str, prefix: str) -> Column:
+    """Whether a value with readings can be read in any order of day and month."""
     column = F.col(text) if isinstance(text, str) else text
-    orders = [
-        read_detected(column, Detected(tuple((s, order) for s in SEPARATORS), OK))
-        for order in (DAY_FIRST, MONTH_FIRST)
-    ]
-    return F.coalesce(*orders).isNotNull()
+    mark, day, month = (F.col(f"{prefix}_{k}") for k in ("mark", DAY_FIRST, MONTH_FIRST))
+    made = F.when(mark != "", F.coalesce(day, month)).when(column.rlike(WHOLE), _whole(column))
+    return made.when(column.rlike(NAMED), _named(column)).otherwise(_iso(column)).isNotNull()

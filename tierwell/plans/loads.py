@@ -115,7 +115,8 @@ def write_raw(
     attempt, seen = uuid.uuid4().hex, Observation()
     reason = F.col("reject_reason")
     key = F.when(reason.isNull(), F.col(entity.keys[0]))
-    raw = rows.select(
+    proofs = evidence.proofs(entity, F.col(CORRUPT).isNull())
+    raw = evidence.read_once(rows, entity).select(
         *entity.schema.names,
         CORRUPT,
         _reject_reason(entity, null_keys, keep_malformed).alias("reject_reason"),
@@ -123,14 +124,15 @@ def write_raw(
         F.col("_metadata.file_block_start").alias("source_offset"),
         F.monotonically_increasing_id().alias("arrival"),
         F.lit(sequence).cast("long").alias("load_sequence"),
+        *[proof.alias(name) for name, proof in proofs.items()],
     ).observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
         F.count(reason).alias("rejected"),
         F.min(key).alias("low"),
         F.max(key).alias("high"),
-        *evidence.counted(entity, F.col(CORRUPT).isNull()),
-    )
+        *evidence.counted(entity),
+    ).drop(*proofs)
     path = attempt_path(base, RAW, entity.name, load_id, attempt)
     raw.write.option("maxRecordsPerFile", max_records or 0).parquet(path)
     facts = dict(seen.get)

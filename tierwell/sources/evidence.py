@@ -13,7 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwell.entities import DETECT, Entity
-from tierwell.functions.formats import OK, Detected, added, decided, evidence, evidence_names, read_detected, readable
+from tierwell.functions.formats import (
+    OK,
+    Detected,
+    added,
+    decided,
+    evidence_names,
+    evidence_of,
+    proof,
+    read_detected,
+    readable,
+    with_readings,
+)
 from tierwell.functions.times import parse_timestamp
 from tierwell.sources.layers import RAW, published
 
@@ -34,14 +45,32 @@ def time_of(entity: Entity, name: str, detected: Mapping[str, Detected] | None =
     return parse_timestamp(name, format=given)
 
 
+def _prefix(name: str) -> str:
+    return f"_read_{name}"
+
+
+def read_once(rows: DataFrame, entity: Entity) -> DataFrame:
+    """Rows with what ``can_be_read`` and ``proofs`` need of timestamps to be detected."""
+    for name in entity.detected:
+        rows = with_readings(rows, name, _prefix(name))
+    return rows
+
+
 def can_be_read(entity: Entity, name: str) -> Column:
-    """Whether the text can become a timestamp, whatever order of day and month will be found."""
-    return readable(name) if entity.format_of(name) == DETECT else time_of(entity, name).isNotNull()
+    """Whether the text can become a timestamp, whatever order of day and month will be found; of rows that were
+    ``read_once``."""
+    return readable(name, _prefix(name)) if entity.format_of(name) == DETECT else time_of(entity, name).isNotNull()
+
+
+def proofs(entity: Entity, where: Column) -> dict[str, Column]:
+    """What the rows where the condition holds tell of formats, by names of columns to be ``counted``; of rows that
+    were ``read_once``."""
+    return {f"_proof_{name}": F.when(where, proof(_prefix(name))) for name in entity.detected}
 
 
-def counted(entity: Entity, where: Column) -> list[Column]:
-    """Aggregates over a load's rows, of the rows where the condition holds."""
-    return [c for name in entity.detected for c in evidence(F.when(where, F.col(name)), name)]
+def counted(entity: Entity) -> list[Column]:
+    """Aggregates over the ``proofs`` of a load's rows."""
+    return [c for name in entity.detected for c in evidence_of(f"_proof_{name}", name)]
 
 
 def _names(entity: Entity) -> list[str]:
