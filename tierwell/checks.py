@@ -1125,6 +1125,9 @@ def ordered_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- packed layers, numbers over loads -----------------------------------------------------------
 
+# Rows that meet in one task where the check of the numbers compares them.
+ROWS_A_TASK = 1 << 18
+
 
 def _third(spark: SparkSession, folder: str, base: str, k: int) -> str:
     """A third of the items, by order, as a CSV file in order of date and key."""
@@ -1178,13 +1181,41 @@ def numbers_across_loads(spark: SparkSession, folder: str) -> DataFrame:
     paths = [_third(spark, folder, base, k) for k in range(3)]
     for k in (0, 1, 2, 0):
         loads.write_raw(spark, ITEM, paths[k], base, f"l{k}")
-    rows = numbers.number_loads(spark, base, ITEM)
-    per_file = Window.partitionBy("load_id", "source_file").orderBy("row_number")
-    back = (F.col("DATETIME") < F.lag("DATETIME").over(per_file)).cast("int")
-    return rows.withColumn("back", back).groupBy("load_id").agg(
-        F.min("row_number").alias("first_number"),
-        F.max("row_number").alias("last_number"),
-        F.count_distinct("row_number").alias("numbers"),
+    return _numbers_of_loads(numbers.number_loads(spark, base, ITEM), sum(numbers.load_rows(spark, base, ITEM).values()))
+
+
+def _numbers_of_loads(rows: DataFrame, n: int) -> DataFrame:
+    """Range, numbers and rows of each load, and how often a row is before the one before it in its file.
+
+    Rows meet by stretches of numbers, a bounded number of them in a task however large a file is; of a file's
+    stretches the last row of one is compared with the first of the next. Numbers are counted as bits of their stretch."""
+    number, tasks = F.col("row_number"), -(-n // ROWS_A_TASK)
+    stretches = rows.select("load_id", "source_file", "DATETIME", number, F.bitmap_bucket_number(number).alias("stretch"))
+    stretches = stretches.repartition(max(1, tasks), "load_id", "stretch")
+    in_stretch = Window.partitionBy("load_id", "stretch", "source_file").orderBy("row_number")
+    back = (F.col("DATETIME") < F.lag("DATETIME").over(in_stretch)).cast("int")
+    parts = stretches.withColumn("back", back).groupBy("load_id", "stretch", "source_file").agg(
+        F.min(number).alias("low"),
+        F.max(number).alias("high"),
         F.count("*").alias("rows"),
-        F.coalesce(F.sum("back"), F.lit(0)).cast("int").alias("out_of_order"),
+        F.sum("back").alias("back"),
+        F.min_by("DATETIME", number).alias("first"),
+        F.max_by("DATETIME", number).alias("last"),
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits"),
+    )
+    per_file = Window.partitionBy("load_id", "source_file").orderBy("stretch")
+    between = (F.col("first") < F.lag("last").over(per_file)).cast("int")
+    met = parts.withColumn("between", between).groupBy("load_id", "stretch").agg(
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.sum("rows").alias("rows"),
+        (F.coalesce(F.sum("back"), F.lit(0)) + F.coalesce(F.sum("between"), F.lit(0))).alias("back"),
+        F.bitmap_count(F.bitmap_or_agg("bits")).alias("numbers"),
+    )
+    return met.groupBy("load_id").agg(
+        F.min("low").alias("first_number"),
+        F.max("high").alias("last_number"),
+        F.sum("numbers").alias("numbers"),
+        F.sum("rows").alias("rows"),
+        F.sum("back").cast("int").alias("out_of_order"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,16 +13,21 @@ from tierwell.operators.numbering import number_rows, number_table_rows
 from tierwell.sources.layers import RAW, attempt_path, layer_path, no_rows, placed_attempts, published, read_layer
 
 
-def load_starts(spark: SparkSession, base: str, entity: Entity) -> dict[str, int]:
-    """The rows of all loads that arrived before each, from the counts in the publications."""
-    starts, total = {}, 0
+def load_rows(spark: SparkSession, base: str, entity: Entity) -> dict[str, int]:
+    """The rows of each load, in order of arrival, from the counts in the publications."""
+    rows = {}
     for a in sorted(published(spark, base, RAW, entity.name).values(), key=lambda a: (a.sequence, a.load_id)):
-        starts[a.load_id] = total
         if a.rows is None:  # published before counts were kept
-            total += read_layer(spark, base, RAW, entity.name, entity.raw_table_schema, a.load_id).count()
+            rows[a.load_id] = read_layer(spark, base, RAW, entity.name, entity.raw_table_schema, a.load_id).count()
         else:
-            total += a.rows
-    return starts
+            rows[a.load_id] = a.rows
+    return rows
+
+
+def load_starts(spark: SparkSession, base: str, entity: Entity) -> dict[str, int]:
+    """The rows of all loads that arrived before each."""
+    rows = load_rows(spark, base, entity)
+    return {load_id: end - rows[load_id] for load_id, end in zip(rows, accumulate(rows.values()), strict=True)}
 
 
 def number_loads(
