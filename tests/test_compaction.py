@@ -104,3 +104,13 @@ def test_years_are_outermost_and_statements_read_the_copies(spark, base, sources
 def test_tables_laid_out_by_key_are_refused(spark, base):
     with pytest.raises(ValueError, match="by key"):
         compact(spark, base, TRUSTED, replace(DEPARTMENT, buckets=4))
+
+
+def test_packing_matches_no_path_of_a_row(spark):
+    """A row's file is found by the end of its path, cut off: no regular expression for every row."""
+    from tierwell.sources import compaction
+
+    paths = ["file:/b/raw/t/load_id=l/attempt=a1/event_year=1997/p.parquet", "file:///b/raw/t/load_id=l/attempt=a2/p.parquet"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string").select(compaction._own_name("p").alias("n"))
+    assert [r.n for r in df.collect()] == ["a1/event_year=1997/p.parquet", "a2/p.parquet"]
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()

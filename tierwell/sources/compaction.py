@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -63,9 +63,10 @@ def bins(sizes: list[tuple[str, int]], target: int) -> list[list[str]]:
     return [names for _, names in made]
 
 
-def _own_name(path) -> list:
-    """Attempt, year if there is one, and name of a file."""
-    return [F.regexp_extract(path, pattern, 1) for pattern in (r"/attempt=([^/]*)", r"/event_year=([^/]*)", r"/([^/]*)$")]
+def _own_name(path: Column | str) -> Column:
+    """Attempt, year if there is one, and name of a file: its own among all attempts, where whole paths can be
+    written in several ways. Cut off, not matched, since it is done for every row."""
+    return F.substring_index(path, "/attempt=", -1)
 
 
 def _year(file: str) -> str:
@@ -105,9 +106,8 @@ def compact(
     )
     place = [(name, k) for k, names in enumerate(packed) for name in names]
     where = staged(spark.createDataFrame(place, "file string, bin int"), "bins")
-    # A file's name is its own among all attempts; paths can be written in several ways.
-    rows = rows.withColumn("_file", F.concat_ws("/", *_own_name(F.col("_metadata.file_path"))))
-    rows = rows.join(where.withColumn("_file", F.concat_ws("/", *_own_name(F.col("file")))), "_file")
+    rows = rows.withColumn("_file", _own_name(F.col("_metadata.file_path")))
+    rows = rows.join(where.withColumn("_file", _own_name("file")), "_file")
     name = uuid.uuid4().hex
     folders = ["event_year"] if "event_year" in schema.names else []
     rows.repartitionById(len(packed), "bin").select(*schema.names).write.partitionBy(*folders).parquet(
