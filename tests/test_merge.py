@@ -147,3 +147,18 @@ def test_first_by_place_sorts_nothing(spark, parts, no_broadcast):
 def test_first_needs_an_order(spark, parts):
     with pytest.raises(ValueError, match="order_by or place"):
         absent_rows(parts, parts, ["k"], source_duplicates="first")
+
+
+def test_first_by_place_aggregates_rows_of_fixed_width_whole(spark, parts, no_broadcast):
+    """One scan and one shuffle of the source, no sort, and the rows that the order gives."""
+    narrow = parts.selectExpr("load", "xxhash64(file) AS file", "arrival", "k", "IF(v < 'm', NULL, load) AS w")
+    order = ["load", "file", "arrival"]
+    target = spark.range(5).selectExpr("cast(id AS int) AS k")
+    placed = with_place(narrow, order[:-1], order[-1])
+    made = absent_rows(placed, target, ["k"], "insert", "first", place="_place")
+    by_order = absent_rows(narrow, target, ["k"], "insert", "first", order_by=order)
+    assert sorted(map(repr, rows(made.drop("_place")))) == sorted(map(repr, rows(by_order)))
+    text = plan(absent_rows(placed, target, ["k"], "reject", "first", place="_place"))
+    text = text[text.index("Physical Plan") :]
+    assert "min_by" in text and "SortAggregate" not in text and "LeftSemi" not in text
+    assert text.count("Exchange hashpartitioning(k") == 2

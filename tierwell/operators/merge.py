@@ -8,6 +8,17 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    ByteType,
+    DateType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 from pyspark.sql.window import Window
 
 from tierwell.session import staged
@@ -16,6 +27,9 @@ from tierwell.session import staged
 # 33 bits and the partition's number above them.
 PLACE_BITS = 33
 
+# Types that a hash aggregate can change in place; not those with two zeros or several NaN, which keys would lose.
+FIXED_WIDTH = (ByteType, ShortType, IntegerType, LongType, BooleanType, DateType, TimestampType, TimestampNTZType)
+
 
 def any_null(columns: Sequence[str]) -> Column:
     return reduce(or_, [F.col(c).isNull() for c in columns])
@@ -68,7 +82,23 @@ def with_place(
     return df.join(ranks, same).select(*df.columns, place.alias(name))
 
 
+def _fits_hash(df: DataFrame, keys: Sequence[str], place: str) -> bool:
+    """Whether a hash aggregate by the keys can hold the rows and gives the keys back as they are."""
+    named = {k.lower() for k in keys}
+    others = [f.dataType for f in df.schema if f.name.lower() not in named]
+    kept = [f.dataType for f in df.schema if f.name.lower() in named]
+    return all(isinstance(t, FIXED_WIDTH) for t in others) and all(
+        isinstance(t, (*FIXED_WIDTH, StringType)) for t in kept
+    )
+
+
 def _first_by_place(df: DataFrame, known: DataFrame, keys: Sequence[str], place: str) -> DataFrame:
+    if _fits_hash(df, keys, place):
+        # Rows of fixed width are aggregated whole, by hash: one scan and one shuffle, of a row a key and task.
+        named = {k.lower() for k in (*keys, place)}
+        others = [F.min_by(c, place).alias(c) for c in df.columns if c.lower() not in named]
+        first = df.groupBy(*keys).agg(F.min(place).alias(place), *others)
+        return first.join(known.distinct(), list(keys), "left_anti")
     # Only keys and places are aggregated, by hash, and meet the target's keys; the rows follow for the
     # places that are left, each found once. Places differ, so no task of that join can be hot.
     least = df.groupBy(*keys).agg(F.min(place).alias("_least"))
@@ -96,7 +126,7 @@ def absent_rows(
     key once per task, and AQE splits a hot key's rows. ``first`` aggregates before that, so a
     task sends one row per key. ``place`` names a column of different longs in the order that decides,
     in place of ``order_by``: then only keys and places are aggregated, and the rows are
-    fetched at the end.
+    fetched at the end; rows whose other columns are of fixed width are aggregated whole.
     """
     if null_keys not in ("insert", "reject"):
         raise ValueError(f"null_keys={null_keys!r}")

@@ -57,17 +57,17 @@ class SourceMissing(Exception):
 
 
 def to_trusted(
-    rows: DataFrame, entity: Entity, detected: Mapping[str, Detected] | None = None
+    rows: DataFrame, entity: Entity, detected: Mapping[str, Detected] | None = None, *others: str
 ) -> DataFrame:
-    """The entity's columns with their trusted types; ``detected`` says how timestamps are read whose
-    format is found from the data."""
+    """The entity's columns with their trusted types, and ``others`` as they are; ``detected`` says how timestamps
+    are read whose format is found from the data."""
 
     def trusted(name: str) -> Column:
         if name not in entity.timestamps:
             return F.col(name)
         return evidence.time_of(entity, name, detected).alias(name)
 
-    return rows.select(*[trusted(f.name) for f in entity.schema])
+    return rows.select(*[trusted(f.name) for f in entity.schema], *others)
 
 
 def _reject_reason(entity: Entity, null_keys: str, keep_malformed: bool) -> Column:
@@ -231,6 +231,10 @@ def merge_into_trusted(
     if source_duplicates == "first" and _arrived(spark, base, entity, one):
         accepted = with_place(accepted, order_by[:-1], order_by[-1])
         place = "_place"
+    # Timestamps in place of their text let the rows be aggregated whole.
+    typed = place is not None and not set(entity.keys) & set(entity.timestamps)
+    if typed:
+        accepted = to_trusted(accepted, entity, detected, place)
 
     attempt = uuid.uuid4().hex
     with ExitStack() as stack:
@@ -252,7 +256,7 @@ def merge_into_trusted(
             order_by=order_by,
             place=place,
         )
-        fresh = to_trusted(absent, entity, detected)
+        fresh = absent.select(*entity.schema.names) if typed else to_trusted(absent, entity, detected)
         inserted = write_trusted(spark, fresh, entity, base, load_id, attempt, table)
     keep_partials(spark, base, entity, load_id, attempt)
     sequence = next_sequence(spark, base, TRUSTED, entity.name, load_id)
